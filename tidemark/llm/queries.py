@@ -2,10 +2,25 @@
 
 from __future__ import annotations
 
-from tidemark.llm import sql, visual
+from tidemark.llm import mixing, sql, tokens, visual
 from tidemark.sources.tables import table
+from tidemark.sources.workspace import Workspace
+
+
+def _mix(make):
+    def run(spark, folder):
+        sizes = mixing.sized(table(spark, folder, "documents"), Workspace(spark))
+        return make(sizes, mixing.rates(sizes, table(spark, folder, "mix_targets")))
+
+    return run
+
 
 QUERIES = {
+    "p6_ids": lambda spark, folder: tokens.encode(table(spark, folder, "documents")),
+    "p6_round_trip": lambda spark, folder: tokens.round_trip(table(spark, folder, "documents")),
+    "p7_found": _mix(lambda sizes, rated: mixing.short_sources(rated)),
+    "p7_mix": _mix(mixing.mixed),
+    "p7_report": _mix(mixing.mix_report),
     "p8_found": lambda spark, folder: visual.same_look_pairs(table(spark, folder, "documents")),
     "p8_classes": lambda spark, folder: visual.same_look_classes(table(spark, folder, "documents")),
 }
