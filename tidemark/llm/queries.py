@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import mixing, sql, tokens, visual
+from tidemark.llm import mixing, percentiles, sampling, sql, tokens, visual
 from tidemark.sources.tables import table
 from tidemark.sources.workspace import Workspace
 
@@ -15,7 +15,30 @@ def _mix(make):
     return run
 
 
+METRICS = ["laplacian_var", "tenengrad", "rms_contrast", "entropy"]
+STATS = "synthetic_real_severe_low_level_stats"
+
+
+def _daily(spark, folder):
+    return percentiles.by_day(table(spark, folder, STATS), ["group_name", "label"], METRICS, "measured_at")
+
+
+def _percentiles(spark, folder):
+    by = ["group_name", "label"]
+    return percentiles.percentiles(percentiles.combine(_daily(spark, folder), by), by)
+
+
+def _sample(spark, folder):
+    return sampling.QuotaSample(table(spark, folder, "metadata_synthetic"), table(spark, folder, "sampling_targets"))
+
+
 QUERIES = {
+    "p1_percentiles": _percentiles,
+    "p1_daily_percentiles": lambda spark, folder: percentiles.percentiles(_daily(spark, folder), ["group_name", "label", "day"], (0.5, 0.9)),
+    "p1_daily_sketch": _daily,
+    "p2_found": lambda spark, folder: _sample(spark, folder).unfilled(),
+    "p2_sample": lambda spark, folder: _sample(spark, folder).sample(),
+    "p2_report": lambda spark, folder: _sample(spark, folder).report,
     "p6_ids": lambda spark, folder: tokens.encode(table(spark, folder, "documents")),
     "p6_round_trip": lambda spark, folder: tokens.round_trip(table(spark, folder, "documents")),
     "p7_found": _mix(lambda sizes, rated: mixing.short_sources(rated)),

@@ -2,11 +2,52 @@
 
 from __future__ import annotations
 
+import math
+
+from tidemark.functions.keys import key_sql
+from tidemark.llm.percentiles import ERROR, QUANTILES, _log_gamma
 from tidemark.llm.visual import form_sql
 
 _FORMS = f"with f as (select doc_id, text, {form_sql('text')} as form from documents where text is not null)"
 
+_LG = repr(_log_gamma(ERROR))
+_VALUES = """
+with v as (
+  select group_name, label, cast(measured_at as date) as day, unnest(['laplacian_var', 'tenengrad', 'rms_contrast', 'entropy']) as metric,
+         unnest([laplacian_var, tenengrad, rms_contrast, entropy]) as x
+  from synthetic_real_severe_low_level_stats),
+b as (
+  select group_name, label, day, metric, sign(x)::int as sign, case when x = 0 then 0 else ceil(ln(abs(x)) / LG)::int end as bucket
+  from v where isfinite(x))
+""".replace("LG", _LG)
+
+
+def _percentiles(by: str, quantiles: tuple[float, ...]) -> str:
+    size = f"exp(bucket * {_LG}) * {2 / (math.exp(_log_gamma(ERROR)) + 1)!r}"
+    return f"""{_VALUES}, s as (select {by}, metric, sign, bucket, count(*) as n from b group by all),
+c as (
+  select *, sum(n) over (partition by {by}, metric order by sign * (bucket + 100000) rows unbounded preceding) as upto,
+         sum(n) over (partition by {by}, metric) as total
+  from s)
+select {by}, metric, q, total::bigint as n, case when sign = 0 then 0.0 else sign * {size} end as estimate
+from c, (select unnest([{", ".join(f"{q!r}::double" for q in quantiles)}]) as q) where floor(q * (total - 1)) < upto and floor(q * (total - 1)) >= upto - n"""
+
+
+_ELIGIBLE = f"""
+with e as (
+  select distinct {key_sql("image_id")} as id, label, source_label from metadata_synthetic
+  where {key_sql("image_id")} is not null and label between 1 and 5 and source_label between 1 and 5),
+a as (select label, source_label, count(*) as available from e group by all),
+n as (select count(distinct id) as n from e)
+"""
+
 SQL = {
+    "p1_daily_sketch": _VALUES + "select group_name, label, day, metric, sign, bucket, count(*) as n from b group by all",
+    "p1_percentiles": _percentiles("group_name, label", QUANTILES),
+    "p1_daily_percentiles": _percentiles("group_name, label, day", (0.5, 0.9)),
+    "p2_found": _ELIGIBLE + """
+select request_id, label, source_label from sampling_targets left join a using (label, source_label), n
+where coalesce(available, 0) < greatest(min_rows::double, target_share * sample_share * n)""",
     "p8_found": _FORMS + """
 select distinct a.doc_id as doc_a, b.doc_id as doc_b
 from f a join f b on a.form = b.form and a.text <> b.text and a.doc_id < b.doc_id where a.form <> ''""",
