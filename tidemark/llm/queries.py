@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import mixing, percentiles, sampling, sql, tokens, visual
+from tidemark.llm import clusters, mixing, percentiles, sampling, splits, sql, tokens, visual
 from tidemark.sources.tables import table
 from tidemark.sources.workspace import Workspace
 
@@ -32,7 +32,28 @@ def _sample(spark, folder):
     return sampling.QuotaSample(table(spark, folder, "metadata_synthetic"), table(spark, folder, "sampling_targets"))
 
 
+def _grid(spark, folder):
+    return clusters.Grid(table(spark, folder, STATS), Workspace(spark))
+
+
+def _ties(spark, folder):
+    return splits.Ties(table(spark, folder, "metadata"), Workspace(spark))
+
+
+def _split(make):
+    def run(spark, folder):
+        ties = _ties(spark, folder)
+        return make(ties, splits.assigned(ties))
+
+    return run
+
+
 QUERIES = {
+    "p4_found": lambda spark, folder: clusters.linked_groups(_grid(spark, folder)),
+    "p4_clusters": lambda spark, folder: clusters.described(_grid(spark, folder)),
+    "p5_found": lambda spark, folder: _ties(spark, folder).capture_pairs(),
+    "p5_splits": _split(splits.splits),
+    "p5_shares": _split(splits.shares_reached),
     "p1_percentiles": _percentiles,
     "p1_daily_percentiles": lambda spark, folder: percentiles.percentiles(_daily(spark, folder), ["group_name", "label", "day"], (0.5, 0.9)),
     "p1_daily_sketch": _daily,

@@ -100,7 +100,9 @@ class QuotaSample:
         self.categories, self.targets = list(categories), targets
         rows = eligible(images, id, self.categories)
         one = rows.groupBy("id").agg(F.min(F.struct(*self.categories)).alias("c")).select("id", *[F.col(f"c.{c}").alias(c) for c in self.categories])
-        self.ranked = bucketed_rank(one, self.categories, F.xxhash64(F.lit(SEED), "id"), ["id"])
+        # 60 bits of a digest that any engine can make, moved to the top of a bigint
+        draw = F.shiftleft(F.conv(F.substring(F.md5(F.concat(F.lit(f"{SEED}|"), F.col("id"))), 1, 15), 16, 10).cast("bigint"), 4)
+        self.ranked = bucketed_rank(one, self.categories, draw, ["id"])
         available = rows.groupBy(*self.categories).count()
         drawable = one.groupBy(*self.categories).count()
         n = one.agg(F.count(F.lit(1)).alias("count"))

@@ -6,6 +6,7 @@ import math
 
 from tidemark.functions.keys import key_sql
 from tidemark.llm.percentiles import ERROR, QUANTILES, _log_gamma
+from tidemark.llm.sampling import SEED
 from tidemark.llm.visual import form_sql
 
 _FORMS = f"with f as (select doc_id, text, {form_sql('text')} as form from documents where text is not null)"
@@ -41,7 +42,45 @@ a as (select label, source_label, count(*) as available from e group by all),
 n as (select count(distinct id) as n from e)
 """
 
+_STATS = f"""
+with recursive r as (
+  select distinct {key_sql("image_id")} as i, laplacian_var as a, tenengrad as b, rms_contrast as c, brightness_mean as d
+  from synthetic_real_severe_low_level_stats
+  where {key_sql("image_id")} is not null and isfinite(laplacian_var) and isfinite(tenengrad) and isfinite(rms_contrast) and isfinite(brightness_mean)),
+e as (
+  select distinct x.i as x, y.i as y from r x join r y on x.i <> y.i
+  and {" and ".join(f"abs(x.{m} - y.{m}) <= 0.01::double * greatest(abs(x.{m}), abs(y.{m}))" for m in "abcd")}),
+reach(i, j) as (select distinct i, i from r union select reach.i, e.y from reach join e on reach.j = e.x)
+"""
+
+_TIES = f"""
+with recursive r as (
+  select row_number() over () as n, {key_sql("image_id")} as i, {key_sql("capture_id")} as c, {key_sql("group_id")} as g, {key_sql("parent_image_id")} as p
+  from metadata),
+t as (
+  select n, 'i:' || i as k from r where i is not null union select n, 'i:' || p from r where p is not null
+  union select n, 'c:' || c from r where c is not null union select n, 'g:' || g from r where g is not null),
+e as (select distinct x.k as x, y.k as y from t x join t y using (n) where x.k <> y.k),
+reach(a, b) as (select distinct k, k from t where k like 'c:%' union select reach.a, e.y from reach join e on reach.b = e.x)
+"""
+
 SQL = {
+    "p4_found": _STATS + """
+select i as image_id, min(j) as cluster_key from reach group by i having count(*) >= 8""",
+    "p5_found": _TIES + """
+select substr(a, 3) as capture_a, substr(b, 3) as capture_b from reach where a < b and b like 'c:%'""",
+    "p2_sample": _ELIGIBLE + f""",
+one as (select id, min(struct_pack(label := label, source_label := source_label)) as c from e group by id),
+ranked as (
+  select id, c.label as label, c.source_label as source_label,
+         row_number() over (partition by c order by ('0x' || substr(md5('{SEED}|' || id), 1, 15))::bigint, id) as rank
+  from one),
+told as (
+  select request_id, id, label, source_label, (rank - 0.5::double) / target_share as priority, rank <= coalesce(min_rows, 0) as floored,
+         row_number() over (partition by request_id order by rank > coalesce(min_rows, 0), (rank - 0.5::double) / target_share, label, source_label) as place,
+         max(sample_share) over (partition by request_id) as sample_share
+  from sampling_targets join ranked using (label, source_label))
+select request_id, id as image_id, label, source_label, priority from told, n where floored or place <= floor(sample_share * n)""",
     "p1_daily_sketch": _VALUES + "select group_name, label, day, metric, sign, bucket, count(*) as n from b group by all",
     "p1_percentiles": _percentiles("group_name, label", QUANTILES),
     "p1_daily_percentiles": _percentiles("group_name, label, day", (0.5, 0.9)),
