@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from tidemark.sources.workspace import Workspace
+
 #: Letters of other scripts, and the Latin letters they can't be told from.
 LOOK_ALIKES = {
     # Greek
@@ -125,7 +127,9 @@ def _keys(docs: DataFrame, id: str, text: str) -> DataFrame:
     """(id, raw, form) as 128-bit hashes, of rows whose text has a visible character. Only hashes leave the Arrow partitions."""
     form = f"nullif({form_sql('text')}, '')"
     made = _mapped(docs, id, text, {"raw": ("md5(text)", T.StringType()), "form": (f"md5({form})", T.StringType())})
-    return made.where("form is not null").select(id, F.unhex("raw").alias("raw"), F.unhex("form").alias("form"))
+    hashes = made.where("form is not null").select(id, F.unhex("raw").alias("raw"), F.unhex("form").alias("form"))
+    # read more than once below: mapped only once
+    return Workspace(docs.sparkSession).cut(hashes, "forms")
 
 
 def same_look_classes(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
