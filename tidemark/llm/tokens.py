@@ -52,19 +52,26 @@ def _cutter(path: str):
     return cut
 
 
-def words(docs: DataFrame, id: str = "doc_id", text: str = "text", path: str = TOKENIZERS) -> DataFrame:
-    """(id, pos, word) of every non-empty text, the whole text: joined in order of pos the words give it back.
-
-    Of several rows with one id the smallest text counts. Null and empty texts give no rows.
-    """
+def _cut(docs: DataFrame, id: str, text: str, path: str) -> tuple[DataFrame, DataFrame]:
+    """(id, pos, word) of the texts that Spark cuts, hash-partitioned by id up to here, and of those that the tokenizer must cut."""
     spark = docs.sparkSession
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
     placed = docs.select(F.col(id).alias("id"), F.col(text).alias("text")).where("text <> ''").repartition(parts, "id")
     one = placed.groupBy("id").agg(F.min("text").alias("text"))
     odd = F.rlike("text", F.lit(UNKNOWN))
-    cut = one.withColumn("odd", _cutter(path)(F.when(odd, F.col("text"))))
-    each = F.coalesce("odd", F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0)))
-    return cut.select(F.col("id").alias(id), F.posexplode(each).alias("pos", "word"))
+    plain = one.where(~odd).select("id", F.posexplode(F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0))).alias("pos", "word"))
+    # a Python step forgets the partitioning, so it gets only the rows that need it
+    rest = one.where(odd).select("id", F.posexplode(_cutter(path)("text")).alias("pos", "word"))
+    return plain, rest
+
+
+def words(docs: DataFrame, id: str = "doc_id", text: str = "text", path: str = TOKENIZERS) -> DataFrame:
+    """(id, pos, word) of every non-empty text, the whole text: joined in order of pos the words give it back.
+
+    Of several rows with one id the smallest text counts. Null and empty texts give no rows.
+    """
+    plain, rest = _cut(docs, id, text, path)
+    return plain.unionAll(rest).withColumnRenamed("id", id)
 
 
 def _encode(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
@@ -96,30 +103,34 @@ def encode(docs: DataFrame, id: str = "doc_id", text: str = "text", path: str =
 
     Rows with a null id come out as one row with the smallest text of them, like any repeated id. Strings of special tokens are ordinary text.
     """
-    work = Workspace(docs.sparkSession)
-    table = WordTable(docs, work, id, text, path)
-    placed = words(docs, id, text, path).join(table.hot.select("word", "ids"), "word", "left")
-    gathered = placed.groupBy(id).agg(
-        F.collect_list(F.when(F.col("ids").isNotNull(), F.struct("pos", "ids"))).alias("hot"),
-        F.collect_list(F.when(F.col("ids").isNull(), F.struct("pos", "word"))).alias("cold"),
-    )
-    gathered = work.cut(gathered, "gathered")
-    cold = gathered.select(F.col(id).alias("cold_id"), F.inline("cold")).join(table.all.select("word", "ids"), "word")
-    cold = cold.groupBy("cold_id").agg(F.collect_list(F.struct("pos", "ids")).alias("rest"))
-    parts = F.array_sort(F.concat("hot", F.coalesce("rest", F.array().cast("array<struct<pos:int,ids:array<int>>>"))))
-    whole = gathered.join(cold, gathered[id].eqNullSafe(cold["cold_id"]), "left").select(id, F.flatten(F.transform(parts, lambda x: x["ids"])).alias("ids"))
+    table = WordTable(docs, Workspace(docs.sparkSession), id, text, path)
+
+    def assembled(placed: DataFrame) -> DataFrame:
+        hot = placed.join(table.hot.select("word", "ids"), "word").groupBy("id").agg(F.collect_list(F.struct("pos", "ids")).alias("hot"))
+        cold = placed.join(table.hot.select("word"), "word", "left_anti").join(table.all.select("word", "ids"), "word")
+        cold = cold.groupBy(F.col("id").alias("cold_id")).agg(F.collect_list(F.struct("pos", "ids")).alias("cold"))
+        none = F.array().cast("array<struct<pos:int,ids:array<int>>>")
+        parts = F.array_sort(F.concat(F.coalesce("hot", none), F.coalesce("cold", none)))
+        both = hot.join(cold, F.col("id").eqNullSafe(F.col("cold_id")), "full")
+        return both.select(F.coalesce("id", "cold_id").alias(id), F.flatten(F.transform(parts, lambda x: x["ids"])).alias("ids"))
+
     empty = docs.groupBy(F.col(id)).agg(F.max(F.coalesce(F.col(text) != "", F.lit(False))).alias("any")).where("not any")
-    return whole.unionAll(empty.select(id, F.array().cast("array<int>").alias("ids")))
+    plain, rest = _cut(docs, id, text, path)
+    return assembled(plain).unionAll(assembled(rest)).unionAll(empty.select(id, F.array().cast("array<int>").alias("ids")))
 
 
 def token_counts(docs: DataFrame, id: str = "doc_id", text: str = "text", path: str = TOKENIZERS, table: WordTable | None = None) -> DataFrame:
     """(id, n_tokens bigint) of every non-empty text; the ids themselves aren't gathered."""
     table = table or WordTable(docs, Workspace(docs.sparkSession), id, text, path)
     size = F.size("ids").cast("bigint").alias("k")
-    placed = words(docs, id, text, path).join(table.hot.select("word", size), "word", "left")
-    by_doc = placed.groupBy(id).agg(F.sum(F.coalesce("k", F.lit(0))).alias("k"), F.collect_list(F.when(F.col("k").isNull(), F.col("word"))).alias("cold"))
-    rest = by_doc.select(id, F.explode("cold").alias("word")).join(table.all.select("word", size), "word").select(id, "k")
-    return by_doc.select(id, "k").unionAll(rest).groupBy(id).agg(F.sum("k").alias("n_tokens"))
+
+    def counted(placed: DataFrame) -> DataFrame:
+        hot = placed.join(table.hot.select("word", size), "word").groupBy("id").agg(F.sum("k").alias("k"))
+        cold = placed.join(table.hot.select("word"), "word", "left_anti").join(table.all.select("word", size), "word")
+        return hot.unionAll(cold.select("id", "k"))
+
+    plain, rest = _cut(docs, id, text, path)
+    return counted(plain).unionAll(counted(rest)).groupBy(F.col("id").alias(id)).agg(F.sum("k").alias("n_tokens"))
 
 
 def pieces(spark: SparkSession, path: str = TOKENIZERS) -> DataFrame:
