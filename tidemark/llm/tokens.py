@@ -20,6 +20,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
 from tidemark.sources.workspace import Workspace
@@ -44,7 +45,7 @@ def _tokenizer(path: str):
 
 
 def _cutter(path: str):
-    @pandas_udf("array<string>")
+    @pandas_udf(T.ArrayType(T.StringType()))
     def cut(texts: pd.Series) -> pd.Series:
         pre = _tokenizer(path).pre_tokenizer
         return texts.map(lambda t: None if t is None else [t[a:b] for _, (a, b) in pre.pre_tokenize_str(t)])
