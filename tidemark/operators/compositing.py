@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.derive import BOOST_BELOW
 from tidemark.operators.kernels import area_resize
+from tidemark.sources.workspace import ship
 
 #: The bounds of rotation, blur and opacity, and how much larger than the image's diagonal the deposit is made.
 ROTATION, BLUR, OPACITY, COVER = (0, 360), (15, 35), (0.10, 0.60), 1.1
@@ -110,4 +111,5 @@ def synthesized(tasks: DataFrame) -> DataFrame:
             made["label"] = made["label"].astype("Int32")
             yield made
 
+    ship(tasks.sparkSession)
     return tasks.mapInPandas(run, RESULT)

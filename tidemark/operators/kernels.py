@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
+from tidemark.sources.workspace import ship
+
 #: The statistics of an image, in the order that :func:`stats` gives them.
 STATS = T.StructType([T.StructField(n, T.DoubleType()) for n in ("laplacian_var", "tenengrad", "rms_contrast", "entropy", "brightness_mean")])
 #: The weights of red, green and blue in the grey level.
@@ -134,5 +136,6 @@ def to_gray(data: pd.Series, channels: pd.Series) -> pd.Series:
 
 def image_stats(images: DataFrame, key: str = "path") -> DataFrame:
     """(key, five statistics, phash) of a table from Spark's image source: decoded in the JVM, computed once per image in Arrow batches."""
+    ship(images.sparkSession)
     gray = images.select(F.col("image.origin").alias(key), to_gray("image.data", "image.nChannels").alias("g"), F.col("image.width").alias("w"), F.col("image.height").alias("h"))
     return gray.select(key, low_level_stats("g", "w", "h").alias("s"), perceptual_hash("g", "w", "h").alias("phash")).select(key, "s.*", "phash")

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.quotas import largest_remainder
+from tidemark.sources.workspace import ship
 
 
 def parent_child_deltas(children: DataFrame, stats: DataFrame, metrics: list[str]) -> DataFrame:
@@ -52,6 +53,7 @@ def sampled(parents: DataFrame, outcomes: DataFrame, quotas: DataFrame, caps: Da
     max(20 * quota, quota + 1) attempts, or when no parent is left. Independent of the number of workers; ties go to the smaller key.
     The loop is sequential by nature, so a split is one group; its size is that of the split's parents, reduced to ids and labels.
     """
+    ship(parents.sparkSession)
     rows = parents.join(outcomes, "image_id").join(F.broadcast(caps), "split")
     plan = quotas.select("split", F.struct("target", "priority", "source", "quota").alias("q")).groupBy("split").agg(F.collect_list("q").alias("plan"))
     joined = rows.join(F.broadcast(plan), "split")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import agreement, classification, compositing, distribution, kernels, rollup, summary
 from tidemark.plans.views import VIEWS, annotations, comparable, over_release, predictions, r6, run_classes, run_results
 from tidemark.sources.tables import table
+from tidemark.sources.workspace import ship
 
 METRICS = ["laplacian_var", "tenengrad", "rms_contrast", "entropy", "brightness_mean"]
 _SANE = " and ".join(f"isnotnull({m}) and not isnan({m}) and abs({m}) < 10000" for m in METRICS)
@@ -72,6 +73,7 @@ def _pixels(spark, folder):
 
 def _kernel(*names):
     def run(spark, folder):
+        ship(spark)
         s = _pixels(spark, folder).select("vec_id", kernels.low_level_stats("px", F.lit(8), F.lit(8)).alias("s"))
         return comparable(s.select("vec_id", *[f"s.{n}" for n in names]))
 

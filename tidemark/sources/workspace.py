@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import io
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -57,3 +60,28 @@ class Workspace:
             self._delete(self.root)
         except Exception:  # the session is gone
             pass
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the Python workers this package, once an application: zipped into the shared folder and added to their path.
+
+    Needed wherever a function of the package runs in a worker; where workers can import it anyway nothing changes.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    package = Path(__file__).resolve().parent.parent
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as z:
+        for p in sorted(package.rglob("*.py")):
+            z.write(p, p.relative_to(package.parent).as_posix())
+    path = f"{shared_folder(spark)}/tidemark-{uuid.uuid4().hex}.zip"
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = where.getFileSystem(spark._jsc.hadoopConfiguration()).create(where)
+    out.write(bytearray(packed.getvalue()))
+    out.close()
+    spark.sparkContext.addPyFile(path)
+    _shipped.add(app)
