@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.keys import key
 from tidemark.operators.ranking import bucketed_rank
+from tidemark.sources.workspace import ship
 
 SEED = 7
 
@@ -77,6 +78,7 @@ def allocate(targets: DataFrame, available: DataFrame, drawable: DataFrame, n: D
     rows = rows.join(n.select(F.col("count").alias("n_eligible")), F.lit(True)).withColumn(
         "needed", F.greatest(F.coalesce(F.col("min_rows").cast("double"), F.lit(0.0)), share * size * F.col("n_eligible"))
     )
+    ship(rows.sparkSession)
     schema = rows.withColumn("seats", F.lit(0).cast("bigint")).schema
 
     def seat(one: pd.DataFrame) -> pd.DataFrame:

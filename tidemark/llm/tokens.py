@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
-from tidemark.sources.workspace import Workspace
+from tidemark.sources.workspace import Workspace, ship
 
 TOKENIZERS = "/opt/tokenizers"
 HOT_WORDS = 65_536
@@ -56,6 +56,7 @@ def _cutter(path: str):
 def _cut(docs: DataFrame, id: str, text: str, path: str) -> tuple[DataFrame, DataFrame]:
     """(id, pos, word) of the texts that Spark cuts, hash-partitioned by id up to here, and of those that the tokenizer must cut."""
     spark = docs.sparkSession
+    ship(spark)
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
     placed = docs.select(F.col(id).alias("id"), F.col(text).alias("text")).where("text <> ''").repartition(parts, "id")
     one = placed.groupBy("id").agg(F.min("text").alias("text"))

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tidemark.sources.workspace import Workspace
+from tidemark.sources.workspace import Workspace, ship
 
 #: Letters of other scripts, and the Latin letters they can't be told from.
 LOOK_ALIKES = {
@@ -111,6 +111,7 @@ def _in_duckdb(batches: Iterator[pa.RecordBatch], select: str, schema: pa.Schema
 
 def _mapped(docs: DataFrame, id: str, text: str, columns: dict[str, tuple[str, T.DataType]]) -> DataFrame:
     """(id, *columns): DuckDB's expressions over ``text`` for every row."""
+    ship(docs.sparkSession)
     rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
     schema = T.StructType([rows.schema["id"], *[T.StructField(n, kind, True) for n, (_, kind) in columns.items()]])
     arrow = to_arrow_schema(schema)
