@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from itertools import combinations
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -20,8 +22,6 @@ def duplicate_report(df: DataFrame, id: str, digest: str, pos: str, most: int =
 
     The list is a report and holds ``most`` ids at most; membership is :func:`exact_duplicates`.
     """
-    from pyspark.sql import Window
-
     rows = df.where(F.col(digest).isNotNull()).select(F.col(digest).alias("digest"), F.col(id).alias("id"), F.col(pos).alias("pos"))
     sizes = rows.groupBy("digest").agg(F.count(F.lit(1)).alias("n_images")).where("n_images > 1")
     placed = rows.withColumn("place", F.row_number().over(Window.partitionBy("digest").orderBy("pos", "id"))).where(F.col("place") <= most)
@@ -29,38 +29,40 @@ def duplicate_report(df: DataFrame, id: str, digest: str, pos: str, most: int =
     return lists.select("digest", "n_images", F.array_join(F.transform("l", lambda x: x["id"].cast("string")), "|").alias("image_ids"))
 
 
-def near_duplicates(hashes: DataFrame, id: str = "id", bits: str = "hash", distance: int = 4, width: int = 64) -> DataFrame:
+def near_duplicates(hashes: DataFrame, bits: str = "hash", distance: int = 4, width: int = 64, blocks: int | None = None) -> DataFrame:
     """Pairs of different hashes at most ``distance`` bits apart: (hash_a, hash_b, distance), hash_a < hash_b, between distinct hash values.
 
-    Exact: the hash is cut into distance + 1 bands; two hashes within the distance agree in a band at least, so pairs meet in an equi-join on (band, bits) and the
-    distance is computed for those only. Rows with equal hashes are one value here; join ``hashes`` back for the members (:func:`near_duplicate_rows`).
+    Exact: the hash is cut into ``blocks``; two hashes within the distance agree in blocks - distance of them at least, so pairs meet in an equi-join on
+    (choice of blocks, their bits) and the distance is computed for those only. More blocks mean longer, more selective keys and more of them: distance + 1 gives
+    distance + 1 keys of width / (distance + 1) bits, distance + 2 (the default) keys twice as long. Equal hashes are one value here, whatever their
+    number; :func:`near_duplicate_rows` has their members. Null hashes are left out.
     """
-    bands = distance + 1
-    edges = [width * k // bands for k in range(bands + 1)]
-    mask = [((1 << (edges[k + 1] - edges[k])) - 1) for k in range(bands)]
+    n = blocks or distance + 2
+    edges = [width * k // n for k in range(n + 1)]
+    block = [F.shiftrightunsigned("h", edges[k]).bitwiseAND(F.lit((1 << (edges[k + 1] - edges[k])) - 1)) for k in range(n)]
+    keys = [F.array(*[block[k] for k in choice]) for choice in combinations(range(n), n - distance)]
     values = hashes.where(F.col(bits).isNotNull()).select(F.col(bits).alias("h")).distinct()
-    cut = F.array(*[F.shiftrightunsigned("h", edges[k]).bitwiseAND(F.lit(mask[k])) for k in range(bands)])
-    banded = values.select("h", F.posexplode(cut).alias("band", "part"))
+    banded = values.select("h", F.posexplode(F.array(*keys)).alias("band", "part"))
     a, b = banded.withColumnRenamed("h", "hash_a"), banded.withColumnRenamed("h", "hash_b")
     apart = F.bit_count(F.col("hash_a").bitwiseXOR(F.col("hash_b")))
     return a.join(b, ["band", "part"]).where((F.col("hash_a") < F.col("hash_b")) & (apart <= distance)).select("hash_a", "hash_b", apart.alias("distance")).distinct()
 
 
-def near_duplicate_rows(hashes: DataFrame, id: str = "id", bits: str = "hash", distance: int = 4) -> DataFrame:
+def near_duplicate_rows(hashes: DataFrame, id: str = "id", bits: str = "hash", distance: int = 4, width: int = 64) -> DataFrame:
     """(id, class_id, n_same, n_links): every row with its class of equal hashes, the class's size, and how many other classes lie within the distance.
 
     No pair of copies is expanded; null hashes don't come out.
     """
-    pairs = near_duplicates(hashes, id, bits, distance)
+    pairs = near_duplicates(hashes, bits, distance, width)
     links = pairs.select(F.col("hash_a").alias("h")).unionAll(pairs.select(F.col("hash_b").alias("h"))).groupBy("h").agg(F.count(F.lit(1)).alias("n_links"))
     classes = hashes.where(F.col(bits).isNotNull()).groupBy(F.col(bits).alias("h")).agg(F.min(id).alias("class_id"), F.count(F.lit(1)).alias("n_same"))
     both = classes.join(links, "h", "left")
     return hashes.join(both, F.col(bits) == F.col("h")).select(id, "class_id", "n_same", F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
-def between_splits(hashes: DataFrame, split: str = "split", bits: str = "hash", distance: int = 4) -> DataFrame:
+def between_splits(hashes: DataFrame, split: str = "split", bits: str = "hash", distance: int = 4, width: int = 64) -> DataFrame:
     """(left_split, right_split, n_links): near-duplicate class pairs (equal hashes included) with members in different splits."""
-    pairs = near_duplicates(hashes, bits=bits, distance=distance).select("hash_a", "hash_b")
+    pairs = near_duplicates(hashes, bits, distance, width).select("hash_a", "hash_b")
     where = hashes.where(F.col(bits).isNotNull()).select(F.col(bits).alias("h"), F.col(split).alias("s")).distinct()
     same = where.select(F.col("h").alias("hash_a"), F.col("h").alias("hash_b")).distinct()
     both = pairs.unionAll(same).join(where.select(F.col("h").alias("hash_a"), F.col("s").alias("x")), "hash_a").join(where.select(F.col("h").alias("hash_b"), F.col("s").alias("y")), "hash_b")

@@ -35,6 +35,11 @@ def _hashes(spark, folder):
     return e.select(F.col("vec_id").alias("id"), kernels.sign_hash(F.col("embedding")).alias("hash"), F.when(F.col("label") < 6, "train").when(F.col("label") < 8, "val").otherwise("test").alias("split"))
 
 
+def _short(spark, folder):
+    """The 24 lowest frequencies only, so that some hashes come close."""
+    return _hashes(spark, folder).withColumn("hash", F.col("hash").bitwiseAND(F.lit((1 << 24) - 1).cast("bigint")))
+
+
 def _balanced(r):
     parents = r.real.where("label between 1 and 3").select("split", "image_id", "capture_id")
     return lineage.balanced_parents(parents, 2, 200, "split").select("split", "turn", "image_id", "use")
@@ -73,9 +78,9 @@ QUERIES = {
     "j08_asset_lookup": over_release(lambda r: integrity.asset_lookup(r.synthetic, r.assets)),
     "j10_asset_enrich": over_release(lambda r: r.synthetic.groupBy("asset_id").agg(F.count(F.lit(1)).alias("n")).join(r.assets.groupBy("asset_id").agg(F.min("description").alias("description"), F.min("asset_split").alias("pool")), "asset_id")),
     "j11_parent_child_delta": over_release(lambda r: _deltas(r).select("image_id", "parent_image_id", *[f"delta_{m}" for m in METRICS])),
-    "j12_near_duplicates": lambda spark, folder: duplicates.near_duplicates(_hashes(spark, folder), distance=14),
-    "j12_near_duplicate_rows": lambda spark, folder: duplicates.near_duplicate_rows(_hashes(spark, folder), distance=14),
-    "j12_between_splits": lambda spark, folder: duplicates.between_splits(_hashes(spark, folder), distance=14),
+    "j12_near_duplicates": lambda spark, folder: duplicates.near_duplicates(_short(spark, folder), width=24),
+    "j12_near_duplicate_rows": lambda spark, folder: duplicates.near_duplicate_rows(_short(spark, folder), width=24),
+    "j12_between_splits": lambda spark, folder: duplicates.between_splits(_short(spark, folder), width=24),
     "j15_inventory_diff": over_release(lambda r: integrity.inventory_difference(r.master, r.images, "relative_path")),
     "j16_verify": over_release(lambda r: integrity.mismatches(*[d.where("image_id is not null").groupBy("image_id").agg(F.max("width").alias("width"), F.max("sha256").alias("sha256"), F.min("label").alias("label")) for d in (r.master, r.images)], "image_id", ["width", "sha256", "label"]).groupBy("field").agg(F.count(F.lit(1)).alias("n"))),
     "j17_partition": over_release(lambda r: integrity.partition_faults(r.images, r.master.withColumn("part", F.col("origin")), "image_id", "part")),
@@ -119,9 +124,11 @@ _BITS = """
 with b as (select vec_id as id, label, unnest(embedding) as e, generate_subscripts(embedding, 1) - 1 as i from embeddings),
 m as (select id, median(e::double) filter (i // 8 > 0 and i % 8 > 0) as med from b group by id),
 u as (select b.id, any_value(label) as label, sum(case when e::double > med then (1::hugeint << i::int) else 0 end) as u from b join m using (id) group by b.id),
-h as (select id, case when label < 6 then 'train' when label < 8 then 'val' else 'test' end as split, case when u >= 9223372036854775808 then (u - 18446744073709551616)::bigint else u::bigint end as hash from u),
-v as (select distinct hash from h),
-near as (select a.hash as hash_a, b.hash as hash_b, bit_count(xor(a.hash, b.hash))::int as distance from v a join v b on a.hash < b.hash and bit_count(xor(a.hash, b.hash)) <= 14)
+h as (select id, case when label < 6 then 'train' when label < 8 then 'val' else 'test' end as split, case when u >= 9223372036854775808 then (u - 18446744073709551616)::bigint else u::bigint end as hash from u)
+"""
+_NEAR = _BITS + """, s as (select id, split, hash & 16777215 as hash from h),
+v as (select distinct hash from s),
+near as (select a.hash as hash_a, b.hash as hash_b, bit_count(xor(a.hash, b.hash))::int as distance from v a join v b on a.hash < b.hash and bit_count(xor(a.hash, b.hash)) <= 4)
 """
 
 
@@ -166,11 +173,11 @@ select case when s.asset_id is null then 'no_asset' when pool is null then 'unkn
 from syn s left join p using (asset_id) group by 1""",
     "j10_asset_enrich": VIEWS + "select * from (select asset_id, count(*) as n from syn group by 1) join (select asset_id, min(description) as description, min(asset_split) as pool from assets group by 1) using (asset_id)",
     "j11_parent_child_delta": _DELTA + f"select image_id, parent_image_id, {', '.join(r6(f'delta_{m}') + f' as delta_{m}' for m in METRICS)} from deltas",
-    "j12_near_duplicates": _BITS + "select * from near",
-    "j12_near_duplicate_rows": _BITS + """, l as (select hash, count(*) as n_links from (select hash_a as hash from near union all select hash_b from near) group by 1)
-select id, min(id) over (partition by hash) as class_id, count(*) over (partition by hash) as n_same, coalesce(n_links, 0) as n_links from h left join l using (hash)""",
-    "j12_between_splits": _BITS + """, p as (select hash_a, hash_b from near union all select hash, hash from v),
-q as (select distinct hash_a, hash_b, least(x.split, y.split) as left_split, greatest(x.split, y.split) as right_split from p join h x on x.hash = hash_a join h y on y.hash = hash_b where x.split <> y.split)
+    "j12_near_duplicates": _NEAR + "select * from near",
+    "j12_near_duplicate_rows": _NEAR + """, l as (select hash, count(*) as n_links from (select hash_a as hash from near union all select hash_b from near) group by 1)
+select id, min(id) over (partition by hash) as class_id, count(*) over (partition by hash) as n_same, coalesce(n_links, 0) as n_links from s left join l using (hash)""",
+    "j12_between_splits": _NEAR + """, p as (select hash_a, hash_b from near union all select hash, hash from v),
+q as (select distinct hash_a, hash_b, least(x.split, y.split) as left_split, greatest(x.split, y.split) as right_split from p join s x on x.hash = hash_a join s y on y.hash = hash_b where x.split <> y.split)
 select left_split, right_split, count(*) as n_links from q group by all""",
     "j15_inventory_diff": VIEWS + """, a as (select distinct relative_path as k from master where relative_path is not null), b as (select distinct relative_path as k from images where relative_path is not null),
 d as (select 'listed_only' as side, k from (select k from a except select k from b) union all select 'actual_only', k from (select k from b except select k from a))
