@@ -21,7 +21,7 @@ def wasserstein(values: DataFrame, *by: str, group: str, left: str, right: str,
     total = {k: F.sum(k).over(whole) for k in "ab"}
     steps = counted.select(*by, (F.lead("v").over(whole.orderBy("v")) - F.col("v")).alias("dx"), *[F.sum(k).over(upto).alias(f"c{k}") for k in "ab"], *[total[k].alias(f"t{k}") for k in "ab"])
     area = F.sum(F.coalesce(F.abs(F.col("ca") / F.col("ta") - F.col("cb") / F.col("tb")) * F.col("dx"), F.lit(0.0)))
-    return steps.where("ta > 0 and tb > 0").groupBy(*by).agg(area.alias("distance"))
+    return steps.where("ta > 0 and tb > 0").groupBy(*by).agg(area.alias("distance")).where("distance is not null")
 
 
 def components(df: DataFrame, columns: list[str], k: int = 2) -> tuple[DataFrame, DataFrame]:
