@@ -92,7 +92,7 @@ class WordTable:
         self.all = work.cut(counts.mapInArrow(lambda it: _encode(it, path), "word string, n bigint, ids array<int>"), "words")
         # the least power of two that no more than HOT_WORDS words reach: 64 numbers come to the driver
         powers = self.all.where(F.octet_length("word") <= HOT_BYTES).groupBy(F.floor(F.log2("n")).cast("int").alias("k")).count().collect()
-        reach, least = 0, 63
+        reach, least = 0, 62
         for k, n in sorted(((r["k"], r["count"]) for r in powers), reverse=True):
             if reach + n > HOT_WORDS:
                 break
