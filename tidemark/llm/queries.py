@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from tidemark.llm import clusters, mixing, percentiles, sampling, splits, sql, tokens, visual
 from tidemark.sources.tables import table
 from tidemark.sources.workspace import Workspace
@@ -23,9 +25,14 @@ def _daily(spark, folder):
     return percentiles.by_day(table(spark, folder, STATS), ["group_name", "label"], METRICS, "measured_at")
 
 
+def _comparable(df):
+    """Estimates with nine digits: powers differ between engines in the last bit."""
+    return df.withColumn("estimate", F.format_string("%.8e", "estimate").cast("double"))
+
+
 def _percentiles(spark, folder):
     by = ["group_name", "label"]
-    return percentiles.percentiles(percentiles.combine(_daily(spark, folder), by), by)
+    return _comparable(percentiles.percentiles(percentiles.combine(_daily(spark, folder), by), by))
 
 
 def _sample(spark, folder):
@@ -55,7 +62,7 @@ QUERIES = {
     "p5_splits": _split(splits.splits),
     "p5_shares": _split(splits.shares_reached),
     "p1_percentiles": _percentiles,
-    "p1_daily_percentiles": lambda spark, folder: percentiles.percentiles(_daily(spark, folder), ["group_name", "label", "day"], (0.5, 0.9)),
+    "p1_daily_percentiles": lambda spark, folder: _comparable(percentiles.percentiles(_daily(spark, folder), ["group_name", "label", "day"], (0.5, 0.9))),
     "p1_daily_sketch": _daily,
     "p2_found": lambda spark, folder: _sample(spark, folder).unfilled(),
     "p2_sample": lambda spark, folder: _sample(spark, folder).sample(),

@@ -30,7 +30,7 @@ c as (
   select *, sum(n) over (partition by {by}, metric order by sign * (bucket + 100000) rows unbounded preceding) as upto,
          sum(n) over (partition by {by}, metric) as total
   from s)
-select {by}, metric, q, total::bigint as n, case when sign = 0 then 0.0 else sign * {size} end as estimate
+select {by}, metric, q, total::bigint as n, printf('%.8e', case when sign = 0 then 0.0::double else sign * {size} end)::double as estimate
 from c, (select unnest([{", ".join(f"{q!r}::double" for q in quantiles)}]) as q) where floor(q * (total - 1)) < upto and floor(q * (total - 1)) >= upto - n"""
 
 
