@@ -142,25 +142,29 @@ def audit(real: DataFrame, synthetic: DataFrame) -> DataFrame:
 def invariants(master: DataFrame, real: DataFrame, synthetic: DataFrame, assets: DataFrame, size: tuple[int, int] | None = None) -> DataFrame:
     """Table invariants as (check, passed, violations, details): unique ids and paths, disjoint and exact union, origins, one resolution, labels, parents and assets known.
 
-    ``size``: the resolution all images must have; None asks only that it be the same for all. Expected counts are a matter of the caller.
+    ``size``: the resolution all images must have; None asks only that it be the same for all. Expected counts are a matter of the caller. What can be seen in a row
+    alone is counted in one pass over each table.
     """
+
     def repeats(df: DataFrame, key: str) -> DataFrame:
         return df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").agg(F.count(F.lit(1)).alias("v"))
 
+    def row_checks(df: DataFrame, **counts: tuple[Column, str]) -> DataFrame:
+        one = df.agg(*[c.alias(n) for n, (c, _) in counts.items()])
+        named = one.select(F.inline(F.array(*[F.struct(F.lit(n).alias("check"), F.col(n).cast("bigint").alias("violations"), F.lit(w).alias("why")) for n, (_, w) in counts.items()])))
+        return named.select("check", (F.col("violations") == 0).alias("passed"), "violations", F.concat("why", F.lit("="), F.col("violations").cast("string")).alias("details"))
+
+    bad = lambda c: F.count_if(~F.coalesce(c, F.lit(False)))
+    resolution = (bad((F.col("width") == size[0]) & (F.col("height") == size[1])), "rows") if size else (F.countDistinct("width", "height") - 1, "more")
     union = set_difference(real.select("image_id").unionByName(synthetic.select("image_id")), master, "image_id")
-    wrong = (F.col("width") != size[0]) | (F.col("height") != size[1]) if size else F.lit(False)
-    sizes = master.agg((F.countDistinct("width", "height") - 1).alias("v")) if size is None else master.agg(F.count_if(F.coalesce(wrong, F.lit(True))).alias("v"))
     tables = {"master": master, "real": real, "synthetic": synthetic}
     checks = [check(f"unique_{key}_{n}", repeats(t, key), "v", "keys") for n, t in tables.items() for key in ("image_id", "relative_path")]
     checks += [
+        row_checks(master, one_resolution=resolution, labels_in_domain=(bad(F.col("label").between(1, 5)), "rows")),
+        row_checks(real, origin_of_real=(bad(F.col("origin") == "real"), "rows")),
+        row_checks(synthetic, origin_of_synthetic=(bad(F.col("origin") == "synthetic"), "rows"), synthetic_split_equals_asset_split=(F.count_if(~F.col("synthetic_split").eqNullSafe(F.col("asset_split"))), "rows")),
         check("real_and_synthetic_disjoint", set_difference(real, synthetic, "image_id"), "in_both", "ids"),
-        check("master_lacks_no_row", union, "only_left", "ids"),
-        check("master_adds_no_row", union, "only_right", "ids"),
-        check("origin_of_real", real.agg(F.count_if(~F.col("origin").eqNullSafe(F.lit("real"))).alias("v")), "v", "rows"),
-        check("origin_of_synthetic", synthetic.agg(F.count_if(~F.col("origin").eqNullSafe(F.lit("synthetic"))).alias("v")), "v", "rows"),
-        check("one_resolution", sizes, "v", "rows" if size else "more"),
-        check("labels_in_domain", master.agg(F.count_if(~F.coalesce(F.col("label").between(1, 5), F.lit(False))).alias("v")), "v", "rows"),
-        check("synthetic_split_equals_asset_split", synthetic.agg(F.count_if(~F.col("synthetic_split").eqNullSafe(F.col("asset_split"))).alias("v")), "v", "rows"),
+        row_checks(union, master_lacks_no_row=(F.sum("only_left"), "ids"), master_adds_no_row=(F.sum("only_right"), "ids")),
         check("parents_exist", missing_from(synthetic.where("parent_image_id is not null").select(F.col("parent_image_id").alias("image_id")), real, "image_id"), "missing", "ids"),
         check("assets_exist", missing_from(synthetic.where("asset_id is not null").select("asset_id"), assets, "asset_id"), "missing", "ids"),
     ]

@@ -51,10 +51,19 @@ def sampled(parents: DataFrame, outcomes: DataFrame, quotas: DataFrame, caps: Da
     source, quota)``, ``caps(split, most)``. Each attempt takes the first source with a parent below the cap, the capture with the fewest accepted uses, and its
     least-used parent that hasn't failed for this target; it is accepted if the source label raised by the boost is the target. A target ends at its quota, after
     max(20 * quota, quota + 1) attempts, or when no parent is left. Independent of the number of workers; ties go to the smaller key.
-    The loop is sequential by nature, so a split is one group; its size is that of the split's parents, reduced to ids and labels.
+
+    The loop is sequential by nature, so a split is one group. It is bounded by the quotas, not by the data: in A attempts no more than the first A parents of a capture and
+    the first A captures of a source can be reached, so only those are handed on, and the result is that of the whole table.
     """
     ship(parents.sparkSession)
-    rows = parents.join(outcomes, "image_id").join(F.broadcast(caps), "split")
+    attempts = quotas.select("split", "target", "quota").distinct().groupBy("split").agg(F.sum(F.greatest(20 * F.col("quota"), F.col("quota") + 1)).alias("attempts"))
+    most = attempts.agg(F.max("attempts")).first()[0] or 0
+    rows = parents.join(outcomes, "image_id")
+    place = F.row_number().over(Window.partitionBy("split", "source", "capture_id").orderBy("image_id"))
+    rows = rows.withColumn("__place", place).where(F.col("__place") <= most).drop("__place")
+    place = F.row_number().over(Window.partitionBy("split", "source").orderBy("capture_id"))
+    captures = rows.select("split", "source", "capture_id").distinct().withColumn("__place", place).where(F.col("__place") <= most).drop("__place")
+    rows = rows.join(captures, ["split", "source", "capture_id"], "left_semi").join(F.broadcast(caps), "split")
     plan = quotas.select("split", F.struct("target", "priority", "source", "quota").alias("q")).groupBy("split").agg(F.collect_list("q").alias("plan"))
     joined = rows.join(F.broadcast(plan), "split")
 

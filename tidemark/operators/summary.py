@@ -61,7 +61,7 @@ def weighted_draw(df: DataFrame, id: str, label: str, draws: int, seed: int = 42
     names = sizes.select(label, "n", (F.row_number().over(Window.orderBy(label)) - 1).alias("k"))
     count = names.agg(F.count(F.lit(1)).alias("labels"))
     drawn = df.sparkSession.range(draws).select(F.col("id").alias("draw")).join(F.broadcast(count), F.lit(True)).withColumn("k", F.pmod(F.xxhash64(F.lit(seed), F.lit("l"), "draw"), F.col("labels")))
-    places = drawn.join(F.broadcast(names), "k").select("draw", label, (F.pmod(F.xxhash64(F.lit(seed), F.lit("p"), "draw"), F.col("n")) + 1).alias("place"))
+    places = drawn.join(names, "k").select("draw", label, (F.pmod(F.xxhash64(F.lit(seed), F.lit("p"), "draw"), F.col("n")) + 1).alias("place"))
     return places.join(ranked, [label, "place"]).select("draw", id)
 
 
@@ -86,7 +86,7 @@ def histogram(values: DataFrame, *by: str, bins: int = 40, value: str = "value")
     lo = F.when(F.col("__lo") == F.col("__hi"), F.col("__lo") - 0.5).otherwise(F.col("__lo"))
     hi = F.when(F.col("__lo") == F.col("__hi"), F.col("__hi") + 0.5).otherwise(F.col("__hi"))
     span = span.select(*by, lo.alias("__lo"), hi.alias("__hi"), "__n")
-    rows = values.join(F.broadcast(span), list(by)) if by else values.join(F.broadcast(span), F.lit(True))
+    rows = values.join(span, list(by)) if by else values.join(F.broadcast(span), F.lit(True))
     place = F.least(F.floor((F.col(value) - F.col("__lo")) / (F.col("__hi") - F.col("__lo")) * bins), F.lit(bins - 1)).cast("int")
     counted = rows.withColumn("bin", place).groupBy(*by, "bin").agg(F.count(F.lit(1)).alias("n"), F.max("__n").alias("__n"), F.max(F.col("__hi") - F.col("__lo")).alias("__w"))
     return counted.select(*by, "bin", "n", (F.col("n") / (F.col("__n") * F.col("__w") / bins)).alias("density"))
