@@ -35,13 +35,14 @@ class Fields:
     group: str = "group_id"
     parent: str = "parent_image_id"
     label: str = "label"
+    row: str = "relative_path"  # tells records without any key apart, where the table has it
 
 
 class Ties:
     """The ties of a table. ``hubs(hub, component)``: of every hub with a tie to another.
 
-    Null and blank keys tie nothing; a record without any key is related to none and gets a hub of its own from the hash of its row. Repeated rows change nothing. Whether a
-    parent is in the table doesn't matter: what names the same parent is tied. An empty table has no hubs.
+    Null and blank keys tie nothing; a record without any key is related to none and gets a hub of its own (records that ``fields.row`` and label don't tell apart
+    share one). Repeated rows change nothing. Whether a parent is in the table doesn't matter: what names the same parent is tied. An empty table has no hubs.
     """
 
     def __init__(self, records: DataFrame, work: Workspace, fields: Fields = Fields()):
@@ -49,8 +50,9 @@ class Ties:
         i, c, g, p = (key(x) for x in (fields.image, fields.capture, fields.group, fields.parent))
         tag = lambda t, x: F.concat(F.lit(t), x)
         label = F.when(F.col(fields.label).between(1, 5), F.col(fields.label)).otherwise(LABELS).cast("int")
-        rows = records.select(i.alias("i"), c.alias("c"), g.alias("g"), p.alias("p"), label.alias("label"))
-        none = F.concat(F.lit("n:"), F.hex(F.xxhash64("label")))
+        apart = F.col(fields.row) if fields.row in records.columns else F.lit(None)
+        rows = records.select(i.alias("i"), c.alias("c"), g.alias("g"), p.alias("p"), label.alias("label"), F.when(F.coalesce(i, c, g, p).isNull(), F.xxhash64(apart.cast("string"), label)).alias("apart"))
+        none = F.concat(F.lit("n:"), F.hex("apart"))
         self.rows = rows.withColumn("hub", F.coalesce(tag("c:", F.col("c")), tag("g:", F.col("g")), tag("i:", F.col("i")), tag("i:", F.col("p")), none))
         named = self.rows.where("not startswith(hub, 'n:')")
         # which hubs does an image key touch, as image or as parent
