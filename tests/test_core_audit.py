@@ -200,3 +200,21 @@ def test_parent_child_deltas(spark):
     stats = spark.createDataFrame([("p", 1.0), ("p", 5.0), ("c", 4.0)], "image_id string, m double")
     edges = spark.createDataFrame([("c", "p"), ("c", "p"), ("x", "p"), ("c", None)], "image_id string, parent_image_id string")
     assert rows(lineage.parent_child_deltas(edges, stats, ["m"])) == {("c", "p", 1.0, 4.0, 3.0)}
+
+
+def test_sampler_reaches_past_failures(spark):
+    """Fifteen parents fail before one fits: all of them must be in reach though the group is bounded by the quota."""
+    data = [("train", 3, "c", f"p{k:02d}") for k in range(60)]
+    outcomes = spark.createDataFrame([(f"p{k:02d}", 0 if k < 15 else 2) for k in range(60)], "image_id string, boost int")
+    plan = spark.createDataFrame([("train", 5, 1, 3, 1)], "split string, target int, priority int, source int, quota int")
+    out = lineage.sampled(spark.createDataFrame(data, "split string, source int, capture_id string, image_id string"), outcomes, plan, spark.createDataFrame([("train", 2)], "split string, most int"))
+    assert [(r["attempt"], r["image_id"], r["accepted"]) for r in out.orderBy("attempt").collect()] == [(k + 1, f"p{k:02d}", k == 15) for k in range(16)]
+    assert [tuple(r) for r in lineage.numbered(out).select("uid", "image_id").collect()] == [(1, "p15")]
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from tidemark.__main__ import main
+
+    assert main(["--list"]) == 0 and "a04_split_composition" in capsys.readouterr().out
+    with pytest.raises(SystemExit):
+        main(["--data", "x", "--out", "y", "no_such_query"])

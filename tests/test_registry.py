@@ -10,7 +10,7 @@ from tidemark.plans import registry
 
 FOLDER = "/root/testdata/sf0.001"
 #: Queries that SQL can't express: a sequential sampler, a draw, an eigenvector's sign.
-NO_SQL = {"g04_accept_reject", "a23_weighted_draw", "w13_pca_loadings", "w13_pca_scores"}
+NO_SQL = {"g04_accept_reject", "g05_running_uid", "a23_weighted_draw", "w13_pca_loadings", "w13_pca_scores"}
 there = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test data")
 
 

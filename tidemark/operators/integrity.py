@@ -98,6 +98,36 @@ def partition_faults(whole: DataFrame, parts: DataFrame, key: str, part: str) ->
     )
 
 
+def split_inheritance(children: DataFrame, parents: DataFrame) -> DataFrame:
+    """(split, n_children, n_elsewhere): children by split, and those whose parent lies in another split; unknown and null parents are neither.
+
+    A parent filed in several splits counts as inherited if one of them is the child's. Children are gathered by parent first.
+    """
+    by_parent = children.where(F.col("parent_image_id").isNotNull()).groupBy("split", F.col("parent_image_id").alias("p")).agg(F.count(F.lit(1)).alias("n"))
+    known = parents.where(F.col("image_id").isNotNull()).groupBy(F.col("image_id").alias("p")).agg(F.collect_set("split").alias("splits"))
+    judged = by_parent.join(known, "p", "left")
+    away = F.col("splits").isNotNull() & ~F.coalesce(F.array_contains("splits", F.col("split")), F.lit(False))
+    return judged.groupBy("split").agg(F.sum("n").alias("n_children"), F.coalesce(F.sum(F.when(away, F.col("n"))), F.lit(0)).alias("n_elsewhere"))
+
+
+def asset_numbering(assets: DataFrame, n: int) -> DataFrame:
+    """(asset_id, fault): ids of a_0001 .. a_n that are missing, and ids beyond them; compared as keys."""
+    wanted = assets.sparkSession.range(1, n + 1).select(F.format_string("a_%04d", F.col("id")).alias("k"), F.lit(1).alias("s"))
+    there = assets.where(F.col("asset_id").isNotNull()).select(F.col("asset_id").alias("k"), F.lit(2).alias("s"))
+    masks = wanted.unionAll(there).groupBy("k").agg(F.bit_or("s").alias("m")).where("m < 3")
+    return masks.select(F.col("k").alias("asset_id"), F.when(F.col("m") == 1, "missing").otherwise("beyond").alias("fault"))
+
+
+def missing_files(images: DataFrame, inventory: DataFrame, path: str = "relative_path") -> DataFrame:
+    """The rows whose file isn't in the inventory; a row without path lacks its file."""
+    return images.join(inventory.select(F.col("relative_path").alias("__p")).distinct(), F.col(path) == F.col("__p"), "left_anti")
+
+
+def orphan_files(inventory: DataFrame, images: DataFrame, path: str = "relative_path") -> DataFrame:
+    """The files that no row names: the reverse, which catches what an aborted build left behind."""
+    return inventory.join(images.select(F.col(path).alias("__p")).distinct(), F.col("relative_path") == F.col("__p"), "left_anti")
+
+
 def inventory_difference(listed: DataFrame, actual: DataFrame, key: str, first: int = 5) -> DataFrame:
     """(side, n, examples): keys listed but not there, and there but not listed, with the first few, sorted."""
     a = listed.select(F.col(key).alias("k"), F.lit(1).alias("s")).where("k is not null")

@@ -22,6 +22,16 @@ STATS = T.StructType([T.StructField(n, T.DoubleType()) for n in ("laplacian_var"
 LUMA = (0.299, 0.587, 0.114)
 
 
+#: Mean and deviation of the red, green and blue channel that networks expect.
+CHANNEL_MEAN, CHANNEL_STD = (0.485, 0.456, 0.406), (0.229, 0.224, 0.225)
+
+
+def normalized(value: Column, channel: Column) -> Column:
+    """A channel value of 0..255 as networks expect it: (value / 255 - mean) / deviation of channel 0, 1 or 2; null for other channels."""
+    pick = lambda x: F.try_element_at(F.array(*[F.lit(v) for v in x]), channel + 1)
+    return (value / 255.0 - pick(CHANNEL_MEAN)) / pick(CHANNEL_STD)
+
+
 def entropy(gray: np.ndarray) -> float:
     """Bits of the 256-bin histogram; 0 for no pixels."""
     if gray.size == 0:

@@ -98,6 +98,12 @@ def sampled(parents: DataFrame, outcomes: DataFrame, quotas: DataFrame, caps: Da
     return joined.groupBy("split").applyInPandas(run, "split string, target int, attempt int, image_id string, source int, accepted boolean")
 
 
+def numbered(accepted: DataFrame, order: tuple[str, ...] = ("train", "val", "test")) -> DataFrame:
+    """Accepted attempts with a running uid over the splits in ``order``: 1, 2, ... by split, target and attempt. Their number is that of the quotas."""
+    pos = F.array_position(F.array(*[F.lit(s) for s in order]), F.col("split"))
+    return accepted.where("accepted").withColumn("uid", F.row_number().over(Window.orderBy(pos, "target", "attempt")).cast("bigint"))
+
+
 def asset_pools(assets: DataFrame, ratios: DataFrame, id: str = "asset_id") -> DataFrame:
     """(id, split): the distinct assets in order of their id cut into slices by ``ratios(split, pos, ratio)``, each split getting one at least where there are enough.
 

@@ -91,6 +91,12 @@ QUERIES = {
     "i09_hamming": lambda spark, folder: _hashes(spark, folder).select("id", F.bit_count(F.col("hash").bitwiseXOR(F.lit(0x0F0F0F0F0F0F0F0F))).alias("distance")),
     "g03_balanced_parents": over_release(_balanced),
     "g04_accept_reject": _sampled,
+    "g05_running_uid": lambda spark, folder: lineage.numbered(_sampled(spark, folder)).select("uid", "split", "target", "attempt", "image_id"),
+    "v09_asset_numbering": over_release(lambda r: integrity.asset_numbering(r.assets, 60)),
+    "v13_synthetic_splits": over_release(lambda r: integrity.several_splits(r.synthetic, "image_id")),
+    "v14_split_inheritance": over_release(lambda r: integrity.split_inheritance(r.synthetic, r.real)),
+    "j22_missing_files": over_release(lambda r: integrity.missing_files(r.real.select("image_id", "relative_path"), r.master.select("relative_path"))),
+    "j22_orphan_files": over_release(lambda r: integrity.orphan_files(r.master.select("image_id", "relative_path"), r.images.select("relative_path"))),
     "checks_audit": over_release(lambda r: integrity.audit(r.real, r.synthetic)),
     "checks_invariants": over_release(lambda r: integrity.invariants(r.master, r.real, r.synthetic, r.assets, (3072, 2048))),
 }
@@ -203,6 +209,14 @@ select asset_id, split from a join t on r > last - quota and r <= last""",
 r as (select *, row_number() over (partition by split, capture_id order by use, d, image_id) as round from u),
 t as (select *, row_number() over (partition by split order by round, d, image_id, use)::int as turn from r)
 select split, turn, image_id, use from t where turn <= 200""",
+    "v09_asset_numbering": VIEWS + """, w as (select 'a_' || printf('%04d', i) as k from range(1, 61) t(i)), h as (select distinct asset_id as k from assets where asset_id is not null)
+select k as asset_id, 'missing' as fault from (select k from w except select k from h) union all select k, 'beyond' from (select k from h except select k from w)""",
+    "v13_synthetic_splits": VIEWS + "select image_id as key, count(distinct split) as n_splits from syn where image_id is not null group by 1 having count(distinct split) > 1",
+    "v14_split_inheritance": VIEWS + """select split, count(*) as n_children, count(*) filter (exists (select 1 from real where real.image_id = syn.parent_image_id)
+    and not exists (select 1 from real where real.image_id = syn.parent_image_id and real.split = syn.split)) as n_elsewhere
+from syn where parent_image_id is not null group by split""",
+    "j22_missing_files": VIEWS + "select image_id, relative_path from real where not exists (select 1 from master where master.relative_path = real.relative_path)",
+    "j22_orphan_files": VIEWS + "select image_id, relative_path from master where not exists (select 1 from images where images.relative_path = master.relative_path)",
     "checks_audit": VIEWS + _OVERLAP + """
 , c as (
   select 'no_' || field || '_overlap_' || left_split || '_' || right_split || '_real' as "check", overlap as violations, 'overlap' as why from shared

@@ -101,6 +101,11 @@ def _grid(spark, folder):
     return rollup.run_grid(one("model"), heads, one("seed"), one("setting"))
 
 
+def _normalized(spark, folder):
+    px = _pixels(spark, folder).select("vec_id", F.posexplode("px").alias("i", "v"))
+    return comparable(px.groupBy("vec_id", (F.col("i") % 3).alias("channel")).agg(F.avg(kernels.normalized(F.col("v"), F.col("i") % 3)).alias("mean")))
+
+
 def _blend(spark, folder):
     e = table(spark, folder, "embeddings")
     alpha = F.transform("embedding", lambda x: F.least(F.lit(1.0), F.abs(x.cast("double")) * 2))
@@ -150,6 +155,7 @@ QUERIES = {
     "i06_stat_bundle": _kernel("laplacian_var", "tenengrad", "rms_contrast", "entropy", "brightness_mean"),
     "i07_stat_tasks": over_release(lambda r: r.images.where(F.col("label").isin(4, 5) & F.col("image_id").isNotNull()).select(F.col("origin").alias("group_name"), "image_id", "label").distinct()),
     "i12_blend": _blend,
+    "i14_normalize": _normalized,
 }
 
 _PAIRS = VIEWS + """, p as (
@@ -281,6 +287,8 @@ select run, min(epoch) filter (since >= 7) as last_epoch from c group by run""",
     "i05_brightness": _kernel_sql("brightness_mean"),
     "i06_stat_bundle": _kernel_sql("laplacian_var", "tenengrad", "rms_contrast", "entropy", "brightness_mean"),
     "i07_stat_tasks": VIEWS + "select distinct origin as group_name, image_id, label from images where label in (4, 5) and image_id is not null",
+    "i14_normalize": f"""with e as (select vec_id, generate_subscripts(embedding, 1) - 1 as i, greatest(0, least(255, floor((unnest(embedding)::double + 1.0) * 127))) as v from embeddings)
+select vec_id, (i % 3)::int as channel, {r6("avg((v / 255.0::double - [0.485::double, 0.456, 0.406][(i % 3 + 1)::int]) / [0.229::double, 0.224, 0.225][(i % 3 + 1)::int])")} as mean from e group by 1, 2""",
     "i12_blend": """with p as (select vec_id, floor((unnest(embedding)::double + 1.0) * 127)::int as bg, least(1.0::double, abs(unnest(embedding)::double) * 2) as alpha from embeddings),
 b as (select vec_id, trunc(greatest(0, least(255, bg + ((255 - bg) - bg) * (alpha * 0.5::double))))::int as v from p)
 select vec_id, sum(v)::bigint as total, max(v) as most, min(v) as least from b group by vec_id""",

@@ -120,6 +120,11 @@ class Release:
         """Real and synthetic rows, one after the other."""
         return self.real.unionByName(self.synthetic)
 
+    def register(self) -> None:
+        """Temporary views for SQL: real, synthetic, master, assets, stats, images."""
+        for name in ("real", "synthetic", "master", "assets", "stats", "images"):
+            getattr(self, name).createOrReplaceTempView(name)
+
     def split(self, name: str, with_synthetic: bool = False) -> DataFrame:
         """One of the six official views; an unknown name is ``ValueError``."""
         if name not in ("train", "val", "test"):
