@@ -33,10 +33,10 @@ def side_by_side(values: DataFrame, group: str, left: str, right: str) -> DataFr
 
 
 def standardized(df: DataFrame, columns: list[str], floor: float = 1e-12) -> DataFrame:
-    """``df`` with z_<column>: (x - mean) / max(population std, floor). The constants are one row, joined as a scalar."""
-    one = df.agg(*[F.avg(c).alias(f"__m_{c}") for c in columns], *[F.stddev_pop(c).alias(f"__s_{c}") for c in columns])
-    z = [((F.col(c) - F.col(f"__m_{c}")) / F.greatest(F.col(f"__s_{c}"), F.lit(floor))).alias(f"z_{c}") for c in columns]
-    return df.join(F.broadcast(one), F.lit(True)).select(*df.columns, *z)
+    """``df`` with z_<column>: (x - mean) / max(population std, floor). The constants are a scalar subquery."""
+    one = df.agg(F.struct(*[F.avg(c).alias(f"m_{c}") for c in columns], *[F.stddev_pop(c).alias(f"s_{c}") for c in columns]).alias("c"))
+    z = [((F.col(c) - F.col(f"__c.m_{c}")) / F.greatest(F.col(f"__c.s_{c}"), F.lit(floor))).alias(f"z_{c}") for c in columns]
+    return df.withColumn("__c", one.scalar()).select(*df.columns, *z)
 
 
 def sampling_weights(df: DataFrame, label: str) -> DataFrame:
@@ -48,7 +48,7 @@ def class_weights(df: DataFrame, label: str, classes: int = 5) -> DataFrame:
     """Per label: n_total / (classes * n), the balanced class weight."""
     counts = df.where(F.col(label).between(1, classes)).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
     total = counts.agg(F.sum("n").alias("total"))
-    return counts.join(F.broadcast(total), F.lit(True)).select(label, "n", (F.col("total") / (classes * F.col("n"))).alias("weight"))
+    return counts.select(label, "n", (total.scalar() / (classes * F.col("n"))).alias("weight"))
 
 
 def weighted_draw(df: DataFrame, id: str, label: str, draws: int, seed: int = 42) -> DataFrame:
