@@ -32,8 +32,7 @@ def rates(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     """
     by_source = sizes.groupBy("source").agg(F.sum("n_tokens").alias("source_tokens"))
     total = sizes.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)).alias("total_tokens"))
-    # crossJoin of one row: a scalar
-    rows = targets.select("mix_id", "source", "target_share", "max_repeats", "budget_share").join(by_source, "source", "left").join(total, F.lit(True))
+    rows = targets.select("mix_id", "source", "target_share", "max_repeats", "budget_share").join(by_source, "source", "left").withColumn("total_tokens", total.scalar())
     tokens_ = F.coalesce("source_tokens", F.lit(0))
     most = F.greatest(F.coalesce(F.col("max_repeats"), F.lit(0)), F.lit(0))
     wanted = F.coalesce(F.col("target_share") * F.col("budget_share") * F.col("total_tokens"), F.lit(0.0))

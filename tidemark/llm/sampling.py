@@ -75,7 +75,7 @@ def allocate(targets: DataFrame, available: DataFrame, drawable: DataFrame, n: D
             on = on & (F.col(k) == F.col(f"__{k}"))
         rows = rows.join(other, on, "left").drop(*[f"__{k}" for k in categories]).withColumn(name, F.coalesce(name, F.lit(0)))
     share, size = F.coalesce("target_share", F.lit(0.0)), F.coalesce("sample_share", F.lit(0.0))
-    rows = rows.join(n.select(F.col("count").alias("n_eligible")), F.lit(True)).withColumn(
+    rows = rows.withColumn("n_eligible", n.scalar()).withColumn(
         "needed", F.greatest(F.coalesce(F.col("min_rows").cast("double"), F.lit(0.0)), share * size * F.col("n_eligible"))
     )
     ship(rows.sparkSession)

@@ -96,7 +96,7 @@ def bundled(components: DataFrame) -> tuple[DataFrame, DataFrame]:
     total = components.agg(F.sum(size).alias("total"))
     most = F.greatest(*labels)
     top = F.coalesce(*[F.when(F.col(c) == most, F.lit(k)) for k, c in enumerate(labels, 1)])
-    rows = components.join(total, F.lit(True)).withColumn("size", size).withColumn("stratum", top)
+    rows = components.withColumn("total", total.scalar()).withColumn("size", size).withColumn("stratum", top)
     profile = F.concat_ws("_", _class(F.col("size")), "stratum", F.floor(most * 8 / F.col("size")))
     heavy = F.col("size") > F.col("total") * HEAVY
     rows = rows.withColumn("bundle", F.when(heavy, F.concat(F.lit("h:"), "component")).otherwise(profile)).drop("total")
