@@ -14,7 +14,7 @@ def connected_components(edges: DataFrame, work: Workspace, most_rounds: int = 6
     ``edges(a, b)``: undirected, repeated edges and loops allowed, null ends ignored; a node that has only loops doesn't
     come out. Alternates the large-star and small-star steps of Kiveris et al. (2014): each round takes aggregations by
     node with map-side combining and an equi-join, so a hub of any degree isn't gathered in one task (AQE splits the hot side), and each
-    round's edges are written to the shared folder. No edge reaches the driver, only two numbers that tell whether a round changed anything.
+    round's edges are written to the shared folder. No edge reaches the driver, only three numbers that tell whether a round changed anything.
     """
     a, b = F.col("a"), F.col("b")
     now = work.cut(
@@ -26,7 +26,7 @@ def connected_components(edges: DataFrame, work: Workspace, most_rounds: int = 6
         new = work.cut(_small_star(_large_star(now)), "stars")
         work.drop(now)
         now = new
-        mark = tuple(now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b") % 1_000_003)).first())
+        mark = tuple(now.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.xxhash64("b", "a") % 1_000_003)).first())
         if mark == seen:
             break
         seen = mark
