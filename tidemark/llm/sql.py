@@ -64,12 +64,7 @@ e as (select distinct x.k as x, y.k as y from t x join t y using (n) where x.k <
 reach(a, b) as (select distinct k, k from t where k like 'c:%' union select reach.a, e.y from reach join e on reach.b = e.x)
 """
 
-SQL = {
-    "p4_found": _STATS + """
-select i as image_id, min(j) as cluster_key from reach group by i having count(*) >= 8""",
-    "p5_found": _TIES + """
-select substr(a, 3) as capture_a, substr(b, 3) as capture_b from reach where a < b and b like 'c:%'""",
-    "p2_sample": _ELIGIBLE + f""",
+_DRAWN = _ELIGIBLE + f""",
 one as (select id, min(struct_pack(label := label, source_label := source_label)) as c from e group by id),
 ranked as (
   select id, c.label as label, c.source_label as source_label,
@@ -79,8 +74,22 @@ told as (
   select request_id, id, label, source_label, (rank - 0.5::double) / target_share as priority, rank <= coalesce(min_rows, 0) as floored,
          row_number() over (partition by request_id order by rank > coalesce(min_rows, 0), (rank - 0.5::double) / target_share, label, source_label) as place,
          max(sample_share) over (partition by request_id) as sample_share
-  from sampling_targets join ranked using (label, source_label))
-select request_id, id as image_id, label, source_label, priority from told, n where floored or place <= floor(sample_share * n)""",
+  from sampling_targets join ranked using (label, source_label)),
+kept as (select request_id, id as image_id, label, source_label, priority from told, n where floored or place <= floor(sample_share * n))
+"""
+
+SQL = {
+    "p4_found": _STATS + """
+select i as image_id, min(j) as cluster_key from reach group by i having count(*) >= 8""",
+    "p5_found": _TIES + """
+select substr(a, 3) as capture_a, substr(b, 3) as capture_b from reach where a < b and b like 'c:%'""",
+    "p2_sample": _DRAWN + """
+select request_id, image_id, label, source_label, priority from kept""",
+    "p2_report": _DRAWN + """
+select request_id, label, source_label, target_share, min_rows, sample_share, coalesce(available, 0) as available, coalesce(drawable, 0) as drawable, n.n as n_eligible,
+       greatest(min_rows::double, target_share * sample_share * n.n) as needed, coalesce(seats, 0) as seats, coalesce(available, 0) >= greatest(min_rows::double, target_share * sample_share * n.n) as filled
+from sampling_targets left join a using (label, source_label) left join (select label, source_label, count(*) as drawable from ranked group by all) using (label, source_label)
+left join (select request_id, label, source_label, count(*) as seats from kept group by all) using (request_id, label, source_label), n""",
     "p1_daily_sketch": _VALUES + "select group_name, label, day, metric, sign, bucket, count(*) as n from b group by all",
     "p1_percentiles": _percentiles("group_name, label", QUANTILES),
     "p1_daily_percentiles": _percentiles("group_name, label, day", (0.5, 0.9)),
