@@ -105,11 +105,11 @@ QUERIES = {
     "o05_ecdf": over_release(lambda r: summary.ecdf(_stat_values(r).where("field = 'entropy'").select("group_name", "value"), "group_name")),
     "o06_histogram": over_release(lambda r: summary.histogram(_stat_values(r).where("group_name in ('real', 'synthetic')"), "group_name", "field")),
     "o03_head": over_release(lambda r: summary.head(r.real.where("image_id is not null").select("image_id", "ingest_ts", "label"), ["ingest_ts", "image_id", "label"], 2000)),
-    "p03_aligned": over_release(lambda r: release.aligned(r.synthetic.drop("width").withColumn("_note", F.lit("x")).withColumn("sec", F.concat(F.col("sec").cast("string"), F.lit(".0")))).groupBy("width", "sec").agg(F.count(F.lit(1)).alias("n"), F.count("asset_id").alias("n_assets"))),
-    "p05_severe": over_release(lambda r: r.images.where(F.col("label").isin(4, 5)).groupBy("origin", "label").agg(F.count(F.lit(1)).alias("n_images"))),
-    "p09_keyed_fetch": over_release(_fetched),
-    "p12_day_text": over_release(lambda r: r.real.groupBy(derive.day_text(F.col("day")).alias("day"), derive.session_text(F.col("cam_state")).alias("session")).agg(F.count(F.lit(1)).alias("n"))),
-    "p13_label_string": over_release(lambda r: comp.label_text(r.images, "split")),
+    "prj03_aligned": over_release(lambda r: release.aligned(r.synthetic.drop("width").withColumn("_note", F.lit("x")).withColumn("sec", F.concat(F.col("sec").cast("string"), F.lit(".0")))).groupBy("width", "sec").agg(F.count(F.lit(1)).alias("n"), F.count("asset_id").alias("n_assets"))),
+    "prj05_severe": over_release(lambda r: r.images.where(F.col("label").isin(4, 5)).groupBy("origin", "label").agg(F.count(F.lit(1)).alias("n_images"))),
+    "prj09_keyed_fetch": over_release(_fetched),
+    "prj12_day_text": over_release(lambda r: r.real.groupBy(derive.day_text(F.col("day")).alias("day"), derive.session_text(F.col("cam_state")).alias("session")).agg(F.count(F.lit(1)).alias("n"))),
+    "prj13_label_string": over_release(lambda r: comp.label_text(r.images, "split")),
     "w13_covariance": over_release(lambda r: summary.covariance(r.stats.where(" and ".join(f"isnotnull({m}) and not isnan({m}) and abs({m}) < {SANE}" for m in METRICS)), METRICS)),
     "w18_median": over_release(lambda r: _stat_values(r).groupBy("group_name", "field").agg(F.percentile("value", F.lit(0.5)).alias("median"), F.percentile("value", F.lit(0.9)).alias("p90"))),
 }
@@ -193,13 +193,13 @@ p as (select *, row_number() over (partition by l order by md5('42' || image_id)
   select group_name, field, value, min(value) over w as lo, max(value) over w as hi, count(*) over w as n from long where group_name in ('real', 'synthetic') window w as (partition by group_name, field))
 select group_name, field, least(floor((value - lo) / (hi - lo) * 40), 39)::int as bin, count(*) as n, {r6("count(*) / (max(s.n) * max(hi - lo) / 40)")} as density from s group by 1, 2, 3""",
     "o03_head": VIEWS + "select image_id, ingest_ts, label from real where image_id is not null order by ingest_ts, image_id, label nulls first limit 2000",
-    "p03_aligned": VIEWS + "select null::int as width, sec, count(*) as n, count(asset_id) as n_assets from syn group by sec",
-    "p05_severe": VIEWS + "select origin, label, count(*) as n_images from images where label in (4, 5) group by all",
-    "p09_keyed_fetch": VIEWS + """, w as (select image_id, min(label) as label, min(origin) as origin from master where image_id is not null group by 1),
+    "prj03_aligned": VIEWS + "select null::int as width, sec, count(*) as n, count(asset_id) as n_assets from syn group by sec",
+    "prj05_severe": VIEWS + "select origin, label, count(*) as n_images from images where label in (4, 5) group by all",
+    "prj09_keyed_fetch": VIEWS + """, w as (select image_id, min(label) as label, min(origin) as origin from master where image_id is not null group by 1),
 p as (select *, row_number() over (partition by label order by md5('42' || image_id), image_id)::int as place from w where label is not null)
 select label, place, image_id, origin from p where place <= 3""",
-    "p12_day_text": VIEWS + "select strftime(try_strptime(day, '%Y%m%d'), '%b %d') as day, replace(cam_state, '__', ' ') as session, count(*) as n from real group by 1, 2",
-    "p13_label_string": VIEWS + "select split, concat_ws(' | ', " + ", ".join(f"'L{k}:' || count(*) filter (label = {k})" for k in range(1, 6)) + ") as labels from images group by split",
+    "prj12_day_text": VIEWS + "select strftime(try_strptime(day, '%Y%m%d'), '%b %d') as day, replace(cam_state, '__', ' ') as session, count(*) as n from real group by 1, 2",
+    "prj13_label_string": VIEWS + "select split, concat_ws(' | ', " + ", ".join(f"'L{k}:' || count(*) filter (label = {k})" for k in range(1, 6)) + ") as labels from images group by split",
     "w13_covariance": VIEWS + f", z as (select {_Z} from stats where {_SANE})" + " union all ".join(f" select '{a}' as row, '{b}' as col, {r6(f'covar_samp(z_{a}, z_{b})')} as cov from z" for i, a in enumerate(METRICS) for b in METRICS[i:]),
     "w18_median": VIEWS + _LONG + f"select group_name, field, {r6('quantile_cont(value, 0.5)')} as median, {r6('quantile_cont(value, 0.9)')} as p90 from long group by all",
 }
