@@ -9,7 +9,8 @@ that arrived at or before t and wasn't withdrawn by t.
    written to the shared folder, since its numbers must not change when a lost executor's work is done again.
 3. Per (word, period) two bitmaps are built as integers with ``bit_or``: referenced keys, and keys whose parent is present through the whole
    period. Words without a set bit aren't stored, which is the compression. A parent that never leaves again is stored once, in the period it
-   arrives in, and a running OR over the periods of its word carries it on.
+   arrives in, and a running OR over the periods of its word carries it on; a stay that ends is stored twice, as switches that a running XOR
+   carries on.
 4. ``referenced & ~present`` leaves the bits that need a look: keys without a parent, and keys whose parent arrives or leaves in that period.
    They are decoded through the dictionary and only their references are compared with the exact times.
 """
@@ -134,17 +135,18 @@ def orphan_references(children: list[Child], parents: list[Parent], period: str
     )
     for_good = dictionary.where(F.col("always_since").isNotNull()).select(word, bit.alias("bit"), (first + 1).alias("period"))
     stays = dictionary.where(F.size("spans") > 0).select(word, bit.alias("bit"), F.explode("spans").alias("x"))
-    whole = stays.select("word", "bit", (number(F.col("x.since")) + 1).alias("p"), (number(F.col("x.until")) - 1).alias("q")).where("p <= q")
-    whole = whole.select("word", F.explode(F.sequence("p", "q")).alias("period"), "bit")
+    whole = stays.select("word", "bit", (number(F.col("x.since")) + 1).alias("p"), number(F.col("x.until")).alias("q")).where("p < q")
+    # a stay is two switches, on and off, however long it is: the stays of a key don't overlap
+    whole = whole.select("word", F.explode(F.array("p", "q")).alias("period"), "bit")
     none = F.lit(0).cast("bigint")
     words = (
         referenced.select("word", "period", "referenced", none.alias("settled"), none.alias("stay"))
         .unionAll(for_good.groupBy("word", "period").agg(F.bit_or("bit").alias("settled")).select("word", "period", none.alias("referenced"), "settled", none.alias("stay")))
-        .unionAll(whole.groupBy("word", "period").agg(F.bit_or("bit").alias("stay")).select("word", "period", none.alias("referenced"), none.alias("settled"), "stay"))
+        .unionAll(whole.groupBy("word", "period").agg(F.bit_xor("bit").alias("stay")).select("word", "period", none.alias("referenced"), none.alias("settled"), "stay"))
         .groupBy("word", "period").agg(*[F.bit_or(c).alias(c) for c in ("referenced", "settled", "stay")])
     )
     running = Window.partitionBy("word").orderBy("period").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    left = words.withColumn("present", F.bit_or("settled").over(running).bitwiseOR(F.col("stay"))).select(
+    left = words.withColumn("present", F.bit_or("settled").over(running).bitwiseOR(F.bit_xor("stay").over(running))).select(
         "word", "period", F.col("referenced").bitwiseAND(F.bitwise_not("present")).alias("left")
     ).where("left <> 0")
     bits = left.select("word", "period", F.explode(F.expr("filter(sequence(0, 63), i -> (shiftright(left, i) & 1) = 1)")).alias("i"))
