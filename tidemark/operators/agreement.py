@@ -75,6 +75,6 @@ def vote_rollup(votes: DataFrame) -> DataFrame:
 def agreement_summary(votes: DataFrame, pos: str) -> DataFrame:
     """One row: annotators, images, means of the pairwise measures, adjudication rate, images with a span above 1."""
     who = votes.agg(F.countDistinct("annotator").alias("n_annotators"), F.countDistinct("image_id").alias("n_images"))
-    pairs = pairwise_agreement(votes, pos).agg(*[F.avg(c).alias(f"mean_{c}") for c in ("cohen_kappa", "quadratic_weighted_kappa", "raw_agreement")])
-    images = vote_rollup(votes).agg(F.avg("needs_adjudication").alias("adjudication_rate"), F.count_if(F.col("disagreement_span") > 1).alias("images_with_span_gt_1"))
-    return who.join(pairs, F.lit(True)).join(images, F.lit(True))
+    pairs = pairwise_agreement(votes, pos).agg(F.struct(*[F.avg(c).alias(f"mean_{c}") for c in ("cohen_kappa", "quadratic_weighted_kappa", "raw_agreement")]).alias("p"))
+    images = vote_rollup(votes).agg(F.struct(F.avg("needs_adjudication").alias("adjudication_rate"), F.count_if(F.col("disagreement_span") > 1).alias("images_with_span_gt_1")).alias("i"))
+    return who.withColumns({"p": pairs.scalar(), "i": images.scalar()}).select("n_annotators", "n_images", "p.*", "i.*")

@@ -112,7 +112,7 @@ def asset_pools(assets: DataFrame, ratios: DataFrame, id: str = "asset_id") -> D
     ids = assets.where(F.col(id).isNotNull()).select(id).distinct()
     ranked = ids.withColumn("r", F.row_number().over(Window.orderBy(id)))
     n = ids.agg(F.count(F.lit(1)).alias("n"))
-    quotas = largest_remainder(ratios.join(n, F.lit(True)), [], "split", "ratio", F.col("n"))
+    quotas = largest_remainder(ratios.withColumn("n", n.scalar()), [], "split", "ratio", F.col("n"))
     every = Window.partitionBy(F.lit(1))
     missing = F.sum(F.when((F.col("quota") == 0) & (F.col("ratio") > 0), 1).otherwise(0)).over(every)
     enough = F.col("n") >= F.count(F.lit(1)).over(every)

@@ -60,7 +60,7 @@ def weighted_draw(df: DataFrame, id: str, label: str, draws: int, seed: int = 42
     sizes = ranked.groupBy(label).agg(F.max("place").alias("n"))
     names = sizes.select(label, "n", (F.row_number().over(Window.orderBy(label)) - 1).alias("k"))
     count = names.agg(F.count(F.lit(1)).alias("labels"))
-    drawn = df.sparkSession.range(draws).select(F.col("id").alias("draw")).join(F.broadcast(count), F.lit(True)).withColumn("k", F.pmod(F.xxhash64(F.lit(seed), F.lit("l"), "draw"), F.col("labels")))
+    drawn = df.sparkSession.range(draws).select(F.col("id").alias("draw")).withColumn("labels", count.scalar()).withColumn("k", F.pmod(F.xxhash64(F.lit(seed), F.lit("l"), "draw"), F.col("labels")))
     places = drawn.join(names, "k").select("draw", label, (F.pmod(F.xxhash64(F.lit(seed), F.lit("p"), "draw"), F.col("n")) + 1).alias("place"))
     return places.join(ranked, [label, "place"]).select("draw", id)
 
