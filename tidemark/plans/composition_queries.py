@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import derive, quotas
 from tidemark.operators import composition as comp
 from tidemark.operators import summary
-from tidemark.plans.views import LABELS_SQL, VIEWS, comparable, over_release, r6, runs
+from tidemark.plans.views import LABELS_SQL, VIEWS, over_release, r6
 from tidemark.sources import release
 from tidemark.sources.release import SETTINGS
 from tidemark.sources.tables import table

@@ -4,10 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.functions.quotas import largest_remainder
-from tidemark.operators import duplicates, integrity, lineage, summary
-from tidemark.operators import kernels
-from tidemark.plans.views import VIEWS, comparable, over_release, r6
+from tidemark.operators import duplicates, integrity, kernels, lineage, summary
+from tidemark.plans.views import VIEWS, over_release, r6
 from tidemark.sources import release
 from tidemark.sources.tables import table
 
