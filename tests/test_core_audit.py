@@ -218,3 +218,9 @@ def test_command_line(spark, tmp_path, capsys):
     assert main(["--list"]) == 0 and "a04_split_composition" in capsys.readouterr().out
     with pytest.raises(SystemExit):
         main(["--data", "x", "--out", "y", "no_such_query"])
+
+
+def test_first_source_with_a_free_parent(spark):
+    used = spark.createDataFrame([("train", 1, 0), ("train", 2, 3), ("val", 1, 0)], "split string, source int, n_free int")
+    order = spark.createDataFrame([("train", 3, 1, 1), ("train", 3, 2, 2), ("val", 3, 1, 1)], "split string, target int, source int, priority int")
+    assert rows(lineage.eligible_sources(used, order)) == {("train", 3, 2)}

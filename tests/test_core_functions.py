@@ -126,3 +126,14 @@ def test_capture_splits_default_to_train(spark):
     real = spark.createDataFrame([("a",), ("b",), (None,), ("c",)], "capture_id string")
     dim = spark.createDataFrame([("a", "val"), ("b", "test"), ("b", "val"), (None, "test")], "capture_id string, split string")
     assert {(r["capture_id"], r["split"]) for r in release.capture_splits(real, dim).collect()} == {("a", "val"), ("b", "test"), (None, "train"), ("c", "train")}
+
+
+def test_blockage_spelling_and_paths(spark):
+    df = spark.createDataFrame([([0.2, 0.4], "CAM-24"), ([], "cambot_07"), (None, "none")], "a array<double>, c string")
+    rows = df.select(derive.mean_blockage(F.col("a"), F.lit(0.5)).alias("m"), derive.spelled_camera(F.col("c")).alias("c")).collect()
+    assert math.isclose(rows[0]["m"], 0.15) and rows[1]["m"] is None and rows[2]["m"] is None
+    assert [r["c"] for r in rows] == ["cambot24", "cambot7", None]
+    p = spark.createDataFrame([("/r/images\\a.jpg",), ("/other/b.jpg",), (None,)], "p string")
+    assert [r[0] for r in p.select(derive.relative_path(F.col("p"), "/r/")).collect()] == ["images/a.jpg", "/other/b.jpg", None]
+    with pytest.raises(KeyError):
+        derive.absolute_path(["x"], "/r")

@@ -195,3 +195,11 @@ def test_streams(spark, tmp_path):
     q = audit.first_deliveries(stream(), "k", "ts", "30 days").writeStream.format("parquet").option("path", str(tmp_path / "first")).option("checkpointLocation", str(tmp_path / "ck2")).trigger(availableNow=True).start()
     q.awaitTermination()
     assert spark.read.parquet(str(tmp_path / "first")).groupBy("k").count().where("count > 1").count() == 0
+
+
+def test_images_are_written_by_tasks(spark, tmp_path):
+    df = spark.createDataFrame([("a/x.ppm", bytearray(b"\x01\x02\x03" * 2), 2, 1)], "path string, pixels binary, width int, height int")
+    assert sinks.write_images(df, str(tmp_path)).first()["size"] == 17
+    assert (tmp_path / "a/x.ppm").read_bytes() == b"P6\n2 1\n255\n" + b"\x01\x02\x03" * 2
+    with pytest.raises(ValueError):
+        sinks.write_images(df, str(tmp_path), "jpg")
