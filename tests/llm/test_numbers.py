@@ -169,6 +169,26 @@ def test_clusters_cover_all_records_and_name_medoids(spark):
         assert clusters.described(one).first()["medoid"] == "s5"
 
 
+def test_clusters_of_a_dense_blob_against_brute_force(spark):
+    """Cells that touch at edges and corners are neighbours by their records, and no member is unlike the record its cluster is built about."""
+    rng = random.Random(4)
+    rows = [(f"d{k:03d}", *[50 * math.exp(rng.gauss(0, 0.012)) for _ in M], "x", 1) for k in range(600)]
+    grid = clusters.Grid(spark.createDataFrame(rows, STATS), Workspace(spark))
+    assert grid.pairs.where("not certain").count() > 50
+    at = {r["image"]: r["cell"] for r in grid.rows.collect()}
+    x = np.array([r[1:5] for r in rows])
+    alike = (np.abs(x[:, None] - x[None]) <= 0.01 * np.maximum(np.abs(x[:, None]), np.abs(x[None]))).all(2)
+    want = {tuple(sorted((at[rows[i][0]], at[rows[j][0]]))) for i, j in zip(*np.nonzero(alike)) if at[rows[i][0]] != at[rows[j][0]]}
+    got = [tuple(r) for r in grid.links().collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    members = collections.defaultdict(list)
+    for r in clusters.clusters(grid).collect():
+        members[r["cluster"]].append(int(r["image"][1:]))
+    assert sorted(k for m in members.values() for k in m) == list(range(600))
+    for cell, m in members.items():
+        assert any(at[f"d{k:03d}"] == cell and alike[k, m].all() for k in m)
+
+
 def test_clusters_of_nothing(spark):
     grid = clusters.Grid(spark.createDataFrame([], STATS), Workspace(spark))
     assert clusters.linked_groups(grid).count() == 0 and clusters.clusters(grid).count() == 0 and clusters.described(grid).count() == 0

@@ -6,8 +6,9 @@ u = sign * (ln|x| / w + offset), with w just under -ln(1 - tolerance), that is a
 * Records of one unit cell are all alike. A cell stands for its records, however many there are: copies and dense groups cost one node, not pairs.
 * Cells are compared only within blocks of ``BLOCK`` cells a side (a block holds at most BLOCK**d cells, whatever the data), by their bounding boxes. A pair is
   certain (its boxes decide it) or open (only its records can).
-* Pivot rounds over the certain links: cells whose hash is smaller than that of all their neighbours are pivots and absorb them; what is
-  left goes into the next round. Then members go to the closest of the pivots in reach, and each cluster's medoid is recomputed.
+* Pivot rounds over the cells of which two records are alike: the open pairs are decided by their records first. Cells whose hash is smaller than that
+  of all their neighbours are pivots. A record goes to the closest pivot record that it is alike to; records that none is alike to go into the next pass,
+  with the links that they have among themselves. So every member is alike to the record its cluster is built about. Then each cluster's medoid is found.
 
 For groups closed under likeness (:func:`linked_groups`) the pivot clusters are joined where alike rows cross them. Open pairs are looked at record by record only if
 certain links haven't joined their cells already.
@@ -56,11 +57,22 @@ class Grid:
 
         rows = rows.select("*", *[u(F.col(f"v{i}")).alias(f"u{i}") for i in range(self.d)])
         cell = F.concat_ws("_", *[F.floor(f"u{i}").cast("string") for i in range(self.d)])
-        self.rows = work.cut(rows.withColumn("cell", cell), "grid")
+        self._gather(rows.withColumn("cell", cell))
+
+    def _gather(self, rows: DataFrame) -> None:
+        work = self.work
+        self.rows = work.cut(rows, "grid")
         boxes = [f(f"{x}{i}").alias(f"{n}{x}{i}") for i in range(self.d) for x in "uv" for n, f in (("lo", F.min), ("hi", F.max))]
         self.cells = work.cut(self.rows.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), *boxes), "cells")
         self.pairs = work.cut(self._pairs(), "pairs")
 
+    def only(self, rows: DataFrame) -> Grid:
+        """The grid of a part of the rows: boxes and pairs are those of the part."""
+        part = object.__new__(Grid)
+        part.work, part.d, part.tolerance = self.work, self.d, self.tolerance
+        part._gather(rows)
+        return part
+
     def alike(self, a: list[Column], b: list[Column]) -> Column:
         return _all([F.abs(x - y) <= F.lit(self.tolerance) * F.greatest(F.abs(x), F.abs(y)) for x, y in zip(a, b)])
 
@@ -99,6 +111,27 @@ class Grid:
         right = values.select(F.col("cell").alias("b"), *[F.col(f"v{i}").alias(f"q{i}") for i in ds])
         return open_pairs.join(left, "a").join(right, "b").where(self.alike([F.col(f"p{i}") for i in ds], [F.col(f"q{i}") for i in ds])).select("a", "b").distinct()
 
+    def links(self) -> DataFrame:
+        """(a, b): all pairs of cells of which two records are alike.
+
+        An open pair is first tried with the records that lie farthest towards each other, which settles nearly all pairs of crowded cells without comparing
+        all their records; what those don't settle is compared record by record.
+        """
+        ds, sides = range(self.d), range(2**self.d)
+        open_pairs = self.pairs.where("not certain").select("a", "b")
+        ends = []
+        for side in sides:
+            towards = reduce(lambda x, y: x + y, [F.col(f"u{i}") - F.floor(f"u{i}") if side >> i & 1 else F.floor(f"u{i}") - F.col(f"u{i}") for i in ds])
+            ends.append(F.max_by(F.array(*[F.col(f"v{i}") for i in ds]), F.struct(towards, F.array(*[F.col(f"v{i}") for i in ds]))))
+        corners = self.rows.groupBy("cell").agg(F.array(*ends).alias("ends"), F.array(*[F.floor(F.min(f"u{i}")) for i in ds]).alias("at"))
+        one = corners.select(F.col("cell").alias("a"), F.col("ends").alias("ea"), F.col("at").alias("xa"))
+        two = corners.select(F.col("cell").alias("b"), F.col("ends").alias("eb"), F.col("at").alias("xb"))
+        side = reduce(lambda x, y: x + y, [F.when(F.col("xb")[i] > F.col("xa")[i], 1 << i).otherwise(0) for i in ds])
+        faced = open_pairs.join(one, "a").join(two, "b").withColumn("p", F.get("ea", side)).withColumn("q", F.get("eb", F.lit(len(sides) - 1) - side))
+        tried = self.work.cut(faced.select("a", "b", self.alike([F.col("p")[i] for i in ds], [F.col("q")[i] for i in ds]).alias("met")), "tried")
+        rest = self.confirmed(tried.where("not met").select("a", "b"))
+        return self.work.cut(self.pairs.where("certain").select("a", "b").unionAll(tried.where("met").select("a", "b")).unionAll(rest), "cell-links")
+
 
 def _order(c: str) -> Column:
     return F.struct(F.xxhash64(c), F.col(c))
@@ -162,22 +195,34 @@ def linked_groups(grid: Grid, least: int = 8) -> DataFrame:
 
 
 def clusters(grid: Grid) -> DataFrame:
-    """(image, cell, u.., cluster): every record with the pivot cell of its cluster, after the move to the closest pivot in reach.
+    """(image, cell, u.., cluster): every record with the pivot cell of its cluster.
 
-    A pivot is in reach of a record if it owns the record's cell or a cell that a certain link joins with it; its place is the middle of its box. Records
-    without neighbours are clusters of their own.
+    The pivot record of a pivot cell is the one closest to the middle of the cell's box. A record of a linked cell joins the closest pivot record among those it is
+    alike to; the records of the pivot cell all are. What is alike to no pivot record is clustered in the next pass, which ends since a pass settles
+    its pivot cells. Cells without neighbours are clusters of their own.
     """
-    ds = range(grid.d)
-    links = grid.pairs.where("certain").select("a", "b")
-    owner = pivots(links, grid.work)
-    both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).select(F.col("a").alias("cell"), F.col("b").alias("other"))
-    reach = owner.unionAll(both.join(owner.select(F.col("cell").alias("other"), "pivot"), "other").select("cell", "pivot")).distinct()
-    places = grid.cells.select(F.col("cell").alias("pivot"), *[((F.col(f"lou{i}") + F.col(f"hiu{i}")) / 2).alias(f"c{i}") for i in ds])
-    far = F.greatest(*[F.abs(F.col(f"u{i}") - F.col(f"c{i}")) for i in ds])
-    near = grid.rows.join(reach.join(places, "pivot"), "cell").groupBy("image", "cell", *[f"u{i}" for i in ds]).agg(F.min(F.struct(far.alias("far"), F.col("pivot"))).alias("m"))
-    alone = grid.rows.join(owner, "cell", "left_anti")
-    cols = ["image", "cell", *[f"u{i}" for i in ds]]
-    return near.select(*cols, F.col("m.pivot").alias("cluster")).unionAll(alone.select(*cols, F.col("cell").alias("cluster")))
+    ds, work = range(grid.d), grid.work
+    us, vs = [f"u{i}" for i in ds], [f"v{i}" for i in ds]
+    done, left = [], grid
+    while True:
+        links = left.links()
+        owner = pivots(links, work)
+        chosen = owner.where("cell = pivot").select("pivot")
+        both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).select(F.col("a").alias("cell"), F.col("b").alias("pivot"))
+        reach = both.join(chosen, "pivot", "left_semi").unionByName(chosen.select(F.col("pivot").alias("cell"), "pivot"))
+        middle = left.cells.join(chosen, F.col("cell") == F.col("pivot"), "left_semi").select("cell", *[((F.col(f"lou{i}") + F.col(f"hiu{i}")) / 2).alias(f"c{i}") for i in ds])
+        off = F.greatest(*[F.abs(F.col(f"u{i}") - F.col(f"c{i}")) for i in ds])
+        place = F.struct(*[F.col(f"u{i}").alias(f"c{i}") for i in ds], *[F.col(f"v{i}").alias(f"w{i}") for i in ds])
+        centres = left.rows.join(middle, "cell").groupBy(F.col("cell").alias("pivot")).agg(F.min_by(place, F.struct(off, F.col("image"), *[F.col(v) for v in vs])).alias("x")).select("pivot", "x.*")
+        near = left.alike([F.col(f"v{i}") for i in ds], [F.col(f"w{i}") for i in ds])
+        pick = F.min(F.when(near, F.struct(off.alias("far"), F.col("pivot"))))
+        placed = work.cut(left.rows.join(reach.join(centres, "pivot"), "cell").groupBy("image", "cell", *us, *vs).agg(pick.alias("m")), "placed")
+        done.append(placed.where("m is not null").select("image", "cell", *us, F.col("m.pivot").alias("cluster")))
+        done.append(left.rows.join(owner, "cell", "left_anti").select("image", "cell", *us, F.col("cell").alias("cluster")))
+        rest = placed.where("m is null").select("image", *vs, *us, "cell")
+        if rest.isEmpty():
+            return reduce(DataFrame.unionAll, done)
+        left = left.only(rest)
 
 
 def described(grid: Grid, typical: int = 3) -> DataFrame:
