@@ -170,6 +170,30 @@ def test_best_epoch_needs_a_strictly_better_value(spark):
     assert rows(rollup.stopped_epochs(log, 3)) == {("r", 5)} and rows(rollup.stopped_epochs(log, 4)) == {("r", None)}
 
 
+def test_near_duplicate_queries_take_all_bits(spark, tmp_path):
+    """Close, equal and distant embeddings, against all pairs of their 64-bit hashes, which the lowest 24 bits get wrong."""
+    from tests.compare import connect, same
+    from tidemark.plans import registry
+
+    rng, data = random.Random(12), []
+    for k in range(25):
+        base = [rng.gauss(0, 1) for _ in range(64)]
+        others = [[-x if i in flips else x for i, x in enumerate(base)] for flips in (set(rng.sample(range(64), 1)), set(rng.sample(range(64), 2)), set(range(24, 64)))]
+        data += [(4 * k + n, e, rng.randrange(10)) for n, e in enumerate([base, *others])]
+    data.append((900, data[0][1], (data[0][2] + 5) % 10))
+    spark.createDataFrame(data, "vec_id bigint, embedding array<float>, label int").coalesce(1).write.parquet(str(tmp_path / "made"))
+    next((tmp_path / "made").glob("*.parquet")).rename(tmp_path / "embeddings.parquet")
+    q, sql, folder = registry.queries(), registry.oracle_sql(), str(tmp_path)
+    hashes = sorted({r["hash"] for r in q["i08_sign_hash"](spark, folder).collect()})
+    apart = {(a, b): bin((a ^ b) & ((1 << 64) - 1)).count("1") for a, b in itertools.combinations(hashes, 2)}
+    want = {(a, b, n) for (a, b), n in apart.items() if n <= 4}
+    assert len(want) >= 20 and rows(q["j12_near_duplicates_whole"](spark, folder)) == want
+    assert len({(a & 0xFFFFFF, b & 0xFFFFFF) for a, b in apart if bin((a ^ b) & 0xFFFFFF).count("1") <= 4}) > len(want)
+    base = connect(folder)
+    for name in ("j12_near_duplicates_whole", "j12_near_duplicate_rows_whole", "j12_between_splits_whole"):
+        same(spark, base, folder, q[name], sql[name])
+
+
 def test_balanced_parents_take_turns(spark):
     data = [(f"i{c}{k}", f"c{c}") for c in range(3) for k in range(20 if c == 0 else 2)]
     out = lineage.balanced_parents(spark.createDataFrame(data, "image_id string, capture_id string"), 2, 12).collect()

@@ -34,7 +34,7 @@ def _hashes(spark, folder):
 
 
 def _short(spark, folder):
-    """The 24 lowest frequencies only, so that some hashes come close."""
+    """The 24 lowest frequencies only, so that some hashes come close: for comparison with the SQL. The ``_whole`` queries take all 64."""
     return _hashes(spark, folder).withColumn("hash", F.col("hash").bitwiseAND(F.lit((1 << 24) - 1).cast("bigint")))
 
 
@@ -79,6 +79,9 @@ QUERIES = {
     "j12_near_duplicates": lambda spark, folder: duplicates.near_duplicates(_short(spark, folder), width=24),
     "j12_near_duplicate_rows": lambda spark, folder: duplicates.near_duplicate_rows(_short(spark, folder), width=24),
     "j12_between_splits": lambda spark, folder: duplicates.between_splits(_short(spark, folder), width=24),
+    "j12_near_duplicates_whole": lambda spark, folder: duplicates.near_duplicates(_hashes(spark, folder)),
+    "j12_near_duplicate_rows_whole": lambda spark, folder: duplicates.near_duplicate_rows(_hashes(spark, folder)),
+    "j12_between_splits_whole": lambda spark, folder: duplicates.between_splits(_hashes(spark, folder)),
     "j15_inventory_diff": over_release(lambda r: integrity.inventory_difference(r.master, r.images, "relative_path")),
     "j16_verify": over_release(lambda r: integrity.mismatches(*[d.where("image_id is not null").groupBy("image_id").agg(F.max("width").alias("width"), F.max("sha256").alias("sha256"), F.min("label").alias("label")) for d in (r.master, r.images)], "image_id", ["width", "sha256", "label"]).groupBy("field").agg(F.count(F.lit(1)).alias("n"))),
     "j17_partition": over_release(lambda r: integrity.partition_faults(r.images, r.master.withColumn("part", F.col("origin")), "image_id", "part")),
@@ -134,6 +137,11 @@ _NEAR = _BITS + """, s as (select id, split, hash & 16777215 as hash from h),
 v as (select distinct hash from s),
 near as (select a.hash as hash_a, b.hash as hash_b, bit_count(xor(a.hash, b.hash))::int as distance from v a join v b on a.hash < b.hash and bit_count(xor(a.hash, b.hash)) <= 4)
 """
+#: All 64 bits.
+_NEAR_WHOLE = _BITS + """, s as (select id, split, hash from h),
+v as (select distinct hash from s),
+near as (select a.hash as hash_a, b.hash as hash_b, bit_count(xor(a.hash, b.hash))::int as distance from v a join v b on a.hash < b.hash and bit_count(xor(a.hash, b.hash)) <= 4)
+"""
 
 
 def _unique(view: str, key: str) -> str:
@@ -182,6 +190,12 @@ from syn s left join p using (asset_id) group by 1""",
 select id, min(id) over (partition by hash) as class_id, count(*) over (partition by hash) as n_same, coalesce(n_links, 0) as n_links from s left join l using (hash)""",
     "j12_between_splits": _NEAR + """, p as (select hash_a, hash_b from near union all select hash, hash from v),
 q as (select distinct hash_a, hash_b, least(x.split, y.split) as left_split, greatest(x.split, y.split) as right_split from p join s x on x.hash = hash_a join s y on y.hash = hash_b where x.split <> y.split)
+select left_split, right_split, count(*) as n_links from q group by all""",
+    "j12_near_duplicates_whole": _NEAR_WHOLE + "select * from near",
+    "j12_near_duplicate_rows_whole": _NEAR_WHOLE + """, l as (select hash, count(*) as n_links from (select hash_a as hash from near union all select hash_b from near) group by 1)
+select id, min(id) over (partition by hash) as class_id, count(*) over (partition by hash) as n_same, coalesce(n_links, 0) as n_links from s left join l using (hash)""",
+    "j12_between_splits_whole": _NEAR_WHOLE + """, p as (select hash_a, hash_b from near union all select hash, hash from v),
+q as (select distinct hash_a, hash_b, least(x.split, y.split) as left_split, greatest(x.split, y.split) as right_split from p join s x on x.hash = hash_a join s y on y.hash = hash_b where x.split <> y.split)
 select left_split, right_split, count(*) as n_links from q group by all""",
     "j15_inventory_diff": VIEWS + """, a as (select distinct relative_path as k from master where relative_path is not null), b as (select distinct relative_path as k from images where relative_path is not null),
 d as (select 'listed_only' as side, k from (select k from a except select k from b) union all select 'actual_only', k from (select k from b except select k from a))
