@@ -214,6 +214,47 @@ def test_accept_reject_keeps_quota_and_cap(spark):
     assert all(min(5, r["source"] + int(r["image_id"][2:]) % 4) == r["target"] for r in good)
 
 
+def test_sampler_plan_is_the_whole_one(spark):
+    from tidemark.plans import integrity_queries
+
+    made = spark.createDataFrame([("train", 5, 3)] * 2 + [("train", 5, 2)] * 3 + [("val", 5, 2)], "synthetic_split string, label int, source_label int")
+    plan = rows(integrity_queries._plan(spark, made))
+    assert sum(q for s, t, q in {(s, t, q) for s, t, _, _, q in plan}) == 3600 and ("train", 5, 1, 2, 1680) in plan and ("train", 5, 2, 3, 1680) in plan
+    assert {(p, src) for s, t, p, src, _ in plan if (s, t) == ("val", 5)} == {(1, 3)} and ("test", 3, 1, 1, 60) in plan
+    parents = spark.createDataFrame([(f"p{k}",) for k in range(400)], "image_id string")
+    children = spark.createDataFrame([("p0", 3), ("p0", 4), (None, 1), ("gone", 1), ("p1", None)], "parent_image_id string, label_boost int")
+    boosts = dict(tuple(r) for r in integrity_queries._outcomes(parents, children).collect())
+    assert len(boosts) == 400 and boosts["p0"] == 3 and set(boosts.values()) == {1, 3, 4}
+
+
+def test_sampler_equals_a_search_of_all_parents(spark):
+    """The heaps choose as a scan of all free parents does, and a parent without outcome is tried and fails."""
+    rng = random.Random(8)
+    data = [("train", rng.choice([1, 2, 3]), f"c{rng.randrange(6)}", f"p{k:03d}") for k in range(120)]
+    boost = {d[3]: rng.randrange(4) for d in data if rng.random() < 0.8}
+    steps = {3: (1, 2), 4: (3, 2), 5: (3, 2)}
+    used, load, want = {}, {}, []
+    for t in steps:
+        got, tries, failed = 0, 0, set()
+        while got < 40 and tries < 800:
+            for src in steps[t]:
+                free = [d for d in data if d[1] == src and used.get(d[3], 0) < 2 and d[3] not in failed]
+                if free:
+                    break
+            else:
+                break
+            _, src, c, i = min(free, key=lambda d: (load.get(d[2], 0), d[2], used.get(d[3], 0), d[3]))
+            tries, good = tries + 1, i in boost and min(5, src + boost[i]) == t
+            if good:
+                used[i], load[c], got = used.get(i, 0) + 1, load.get(c, 0) + 1, got + 1
+            else:
+                failed.add(i)
+            want.append(("train", t, tries, i, src, good))
+    plan = spark.createDataFrame([("train", t, p, s, 40) for t, ss in steps.items() for p, s in enumerate(ss, 1)], "split string, target int, priority int, source int, quota int")
+    out = lineage.sampled(spark.createDataFrame(data, "split string, source int, capture_id string, image_id string"), spark.createDataFrame(list(boost.items()), "image_id string, boost int"), plan, spark.createDataFrame([("train", 2)], "split string, most int"))
+    assert sorted(tuple(r) for r in out.collect()) == sorted(want) and any(w[3] not in boost for w in want)
+
+
 def test_asset_pools_give_each_split_one(spark):
     ratios = spark.createDataFrame([("train", 1, 2800.0), ("val", 2, 400.0), ("test", 3, 400.0)], "split string, pos int, ratio double")
     pools = lambda n: [r["split"] for r in lineage.asset_pools(spark.createDataFrame([(f"A_{i:04d}",) for i in range(n)], "asset_id string"), ratios).orderBy("asset_id").collect()]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from heapq import heapify, heappop, heapreplace
+
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -47,7 +49,7 @@ def eligible_sources(used: DataFrame, priority: DataFrame) -> DataFrame:
 def sampled(parents: DataFrame, outcomes: DataFrame, quotas: DataFrame, caps: DataFrame) -> DataFrame:
     """(split, target, attempt, image_id, source, accepted): the accept/reject loop, one sequential group per split.
 
-    ``parents(split, source, capture_id, image_id)``, ``outcomes(image_id, boost)``: the label boost an attempt on the parent gives; ``quotas(split, target, priority,
+    ``parents(split, source, capture_id, image_id)``, ``outcomes(image_id, boost)``: the label boost an attempt on the parent gives, an attempt on a parent without one fails; ``quotas(split, target, priority,
     source, quota)``, ``caps(split, most)``. Each attempt takes the first source with a parent below the cap, the capture with the fewest accepted uses, and its
     least-used parent that hasn't failed for this target; it is accepted if the source label raised by the boost is the target. A target ends at its quota, after
     max(20 * quota, quota + 1) attempts, or when no parent is left. Independent of the number of workers; ties go to the smaller key.
@@ -58,7 +60,7 @@ def sampled(parents: DataFrame, outcomes: DataFrame, quotas: DataFrame, caps: Da
     ship(parents.sparkSession)
     attempts = quotas.select("split", "target", "quota").distinct().groupBy("split").agg(F.sum(F.greatest(20 * F.col("quota"), F.col("quota") + 1)).alias("attempts"))
     most = attempts.agg(F.max("attempts")).first()[0] or 0
-    rows = parents.join(outcomes, "image_id")
+    rows = parents.join(outcomes, "image_id", "left")
     place = F.row_number().over(Window.partitionBy("split", "source", "capture_id").orderBy("image_id"))
     rows = rows.withColumn("__place", place).where(F.col("__place") <= most).drop("__place")
     place = F.row_number().over(Window.partitionBy("split", "source").orderBy("capture_id"))
@@ -70,24 +72,51 @@ def sampled(parents: DataFrame, outcomes: DataFrame, quotas: DataFrame, caps: Da
     def run(key: tuple, one: pd.DataFrame) -> pd.DataFrame:
         plan = sorted((int(q["target"]), int(q["priority"]), int(q["source"]), int(q["quota"])) for q in one["plan"].iloc[0])
         most, used, load, out = int(one["most"].iloc[0]), {}, {}, []
-        pools: dict[int, list[tuple[str, str, int]]] = {}
+        pools: dict[int, dict[str, list[tuple[str, int | None]]]] = {}
         for r in one.sort_values(["capture_id", "image_id"]).itertuples(index=False):
-            pools.setdefault(int(r.source), []).append((str(r.capture_id), r.image_id, int(r.boost)))
+            pools.setdefault(int(r.source), {}).setdefault(str(r.capture_id), []).append((r.image_id, None if pd.isna(r.boost) else int(r.boost)))
+
+        def first(turns: list, heaps: dict, failed: set):
+            """The capture with the fewest accepted uses and its least-used parent; both heaps are put right where their tops are out of date."""
+            while turns:
+                n, capture = turns[0]
+                if n != load.get(capture, 0):
+                    heapreplace(turns, (load[capture], capture))
+                    continue
+                heap = heaps[capture]
+                while heap:
+                    n, image, at = heap[0]
+                    if image in failed or used.get(image, 0) >= most:
+                        heappop(heap)
+                    elif n != used.get(image, 0):
+                        heapreplace(heap, (used[image], image, at))
+                    else:
+                        return capture, image, at
+                heappop(turns)
+            return None
+
         for target in sorted({p[0] for p in plan}):
             steps = [p for p in plan if p[0] == target]
             quota, got, tries, failed = steps[0][3], 0, 0, set()
+            heaps = {}
+            for _, _, source, _ in steps:
+                pool = {c: [(used.get(p[0], 0), p[0], k) for k, p in enumerate(ps) if used.get(p[0], 0) < most] for c, ps in pools.get(source, {}).items()}
+                turns = [(load.get(c, 0), c) for c in pool]
+                for h in (turns, *pool.values()):
+                    heapify(h)
+                heaps[source] = turns, pool
             while got < quota and tries < max(20 * quota, quota + 1):
                 choice = None
                 for _, _, source, _ in steps:
-                    free = [p for p in pools.get(source, ()) if used.get(p[1], 0) < most and p[1] not in failed]
-                    if free:
-                        choice = (source, min(free, key=lambda p: (load.get(p[0], 0), p[0], used.get(p[1], 0), p[1])))
+                    if found := first(*heaps[source], failed):
+                        choice = source, found
                         break
                 if choice is None:
                     break
                 tries += 1
-                source, (capture, image, boost) = choice
-                good = min(5, source + boost) == target
+                source, (capture, image, at) = choice
+                boost = pools[source][capture][at][1]
+                good = boost is not None and min(5, source + boost) == target
                 if good:
                     used[image], load[capture], got = used.get(image, 0) + 1, load.get(capture, 0) + 1, got + 1
                 else:

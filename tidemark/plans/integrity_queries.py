@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions import quotas
 from tidemark.operators import duplicates, integrity, kernels, lineage, summary
 from tidemark.plans.views import VIEWS, over_release, r6
 from tidemark.sources import release
@@ -43,16 +47,43 @@ def _balanced(r):
     return lineage.balanced_parents(parents, 2, 200, "split").select("split", "turn", "image_id", "use")
 
 
+def _balanced_whole(r):
+    """As many turns as the split has synthetic images, and as many uses of a parent as it allows."""
+    parents = r.real.where("label between 1 and 3").select("split", "image_id", "capture_id")
+    each = [lineage.balanced_parents(parents.where(F.col("split") == s), quotas.MOST_PER_PARENT[s], n, "split") for s, n in quotas.SPLIT_QUOTAS.items()]
+    return reduce(DataFrame.unionAll, each).select("split", "turn", "image_id", "use")
+
+
+def _plan(spark, synthetic):
+    """(split, target, priority, source, quota): the fixed quotas, the allowed sources in the order of their shares in the synthetic table."""
+    seats = [(s, t, src, q) for s, total in quotas.SPLIT_QUOTAS.items() for t, q in quotas.quotas(quotas.LABEL_RATIOS, total).items() for src in quotas.SOURCES[t]]
+    allowed = spark.createDataFrame(seats, "split string, target int, source int, quota int")
+    made = synthetic.groupBy(F.col("synthetic_split").alias("split"), F.col("label").cast("int").alias("target"), F.col("source_label").cast("int").alias("source")).agg(F.count(F.lit(1)).alias("n"))
+    mix = allowed.join(made, ["split", "target", "source"], "left").withColumn("ratio", F.coalesce("n", F.lit(0)))
+    return quotas.source_priority(mix).select("split", "target", "priority", "source", "quota")
+
+
+def _outcomes(parents, synthetic):
+    """(image_id, boost): that of a parent's first synthetic child; a parent without one takes a boost by hash, each as often as the synthetic table has it."""
+    known = synthetic.where("label_boost is not null").select("parent_image_id", F.col("label_boost").cast("int").alias("boost"))
+    own = known.where("parent_image_id is not null").groupBy(F.col("parent_image_id").alias("image_id")).agg(F.min("boost").alias("own"))
+    # a label is raised by 0 to 4: five rows at most
+    counts = known.where("boost between 0 and 4").groupBy("boost").agg(F.count(F.lit(1)).alias("n"))
+    upto = F.sum("n").over(Window.orderBy("boost"))
+    steps = counts.select("boost", (upto - F.col("n")).alias("from"), upto.alias("upto"), F.sum("n").over(Window.partitionBy(F.lit(1))).alias("total"))
+    both = parents.select("image_id").join(own, "image_id", "left")
+    place = F.pmod(F.xxhash64(F.lit("42"), "image_id"), F.col("total"))
+    drawn = both.join(F.broadcast(steps), F.col("own").isNull() & (place >= F.col("from")) & (place < F.col("upto")), "left")
+    return drawn.select("image_id", F.coalesce("own", "boost").alias("boost"))
+
+
 def _sampled(spark, folder):
-    """The accept/reject loop over parents of each split; an attempt's boost is that of the parent's first synthetic child."""
+    """The accept/reject loop over parents of each split, by the quotas, ratios and caps of :mod:`tidemark.functions.quotas`."""
     r = release.Release.load(spark, folder)
     one = r.real.where("image_id is not null and capture_id is not null and label between 1 and 3").groupBy("image_id").agg(F.min(F.struct("split", "capture_id", "label")).alias("x"))
     parents = one.select("image_id", "x.split", "x.capture_id", F.col("x.label").alias("source"))
-    outcomes = r.synthetic.where("parent_image_id is not null and label_boost is not null").groupBy(F.col("parent_image_id").alias("image_id")).agg(F.min("label_boost").alias("boost"))
-    plan = [(s, t, p, src, q) for s, q in (("train", 60), ("val", 15), ("test", 15)) for t, sources in ((3, (1, 2)), (4, (2, 3)), (5, (3, 2))) for p, src in enumerate(sources, 1)]
-    quotas = spark.createDataFrame(plan, "split string, target int, priority int, source int, quota int")
-    caps = spark.createDataFrame([("train", 2), ("val", 1), ("test", 1)], "split string, most int")
-    return lineage.sampled(parents, outcomes, quotas, caps)
+    caps = spark.createDataFrame([(s,) for s in quotas.SPLITS], "split string").select("split", quotas.most_per_parent(F.col("split")).alias("most"))
+    return lineage.sampled(parents, _outcomes(parents, r.synthetic), _plan(spark, table(spark, folder, "metadata_synthetic")), caps)
 
 
 def _pools(spark, folder):
@@ -91,6 +122,7 @@ QUERIES = {
     "i08_sign_hash": lambda spark, folder: _hashes(spark, folder).select("id", "hash"),
     "i09_hamming": lambda spark, folder: _hashes(spark, folder).select("id", F.bit_count(F.col("hash").bitwiseXOR(F.lit(0x0F0F0F0F0F0F0F0F))).alias("distance")),
     "g03_balanced_parents": over_release(_balanced),
+    "g03_balanced_parents_whole": over_release(_balanced_whole),
     "g04_accept_reject": _sampled,
     "g05_running_uid": lambda spark, folder: lineage.numbered(_sampled(spark, folder)).select("uid", "split", "target", "attempt", "image_id"),
     "v09_asset_numbering": over_release(lambda r: integrity.asset_numbering(r.assets, 60)),
@@ -221,6 +253,12 @@ select asset_id, split from a join t on r > last - quota and r <= last""",
 r as (select *, row_number() over (partition by split, capture_id order by use, d, image_id) as round from u),
 t as (select *, row_number() over (partition by split order by round, d, image_id, use)::int as turn from r)
 select split, turn, image_id, use from t where turn <= 200""",
+    "g03_balanced_parents_whole": VIEWS + """, u as (
+  select split, image_id, capture_id, md5('42|' || image_id) as d, unnest(case when split = 'train' then [1, 2] else [1] end) as use
+  from (select distinct split, image_id, capture_id from real where label between 1 and 3 and image_id is not null)),
+r as (select *, row_number() over (partition by split, capture_id order by use, d, image_id) as round from u),
+t as (select *, row_number() over (partition by split order by round, d, image_id, use)::int as turn from r)
+select split, turn, image_id, use from t where turn <= case split when 'train' then 2800 else 400 end""",
     "v09_asset_numbering": VIEWS + """, w as (select 'a_' || printf('%04d', i) as k from range(1, 61) t(i)), h as (select distinct asset_id as k from assets where asset_id is not null)
 select k as asset_id, 'missing' as fault from (select k from w except select k from h) union all select k, 'beyond' from (select k from h except select k from w)""",
     "v13_synthetic_splits": VIEWS + "select image_id as key, count(distinct split) as n_splits from syn where image_id is not null group by 1 having count(distinct split) > 1",
