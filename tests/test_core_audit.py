@@ -267,6 +267,25 @@ def test_parent_child_deltas(spark):
     assert rows(lineage.parent_child_deltas(edges, stats, ["m"])) == {("c", "p", 1.0, 4.0, 3.0)}
 
 
+def test_large_and_lone_statistics_stay(spark):
+    """An image that lacks a metric keeps the other four, and finite values of any size count."""
+    from types import SimpleNamespace
+
+    from tidemark.plans import composition_queries, integrity_queries
+
+    nan, inf = float("nan"), float("inf")
+    data = [("p", 1.0, 5e4, 1.0, 1.0, 1.0), ("c", 3e9, None, 2.0, nan, 1.5), ("d", inf, 7e4, 4.0, 2.0, 0.5)]
+    stats = spark.createDataFrame([(*d[:1], 1, "real", *d[1:]) for d in data], "image_id string, measured_at int, group_name string, " + ", ".join(f"{m} double" for m in integrity_queries.METRICS))
+    edges = spark.createDataFrame([("c", "p"), ("d", "p")], "image_id string, parent_image_id string")
+    r = SimpleNamespace(stats=stats, synthetic=edges)
+    deltas = {x["image_id"]: [x[f"delta_{m}"] for m in integrity_queries.METRICS] for x in integrity_queries._deltas_whole(r).collect()}
+    assert deltas == {"c": [3e9 - 1, None, 1.0, None, 0.5], "d": [None, 2e4, 3.0, 1.0, -0.5]}
+    z = {x["image_id"]: list(x)[2:] for x in composition_queries._standardized_whole(r).collect()}
+    assert [[v is None for v in z[i]] for i in "pcd"] == [[False] * 5, [False, True, False, True, False], [True] + [False] * 4]
+    assert composition_queries._all_values(r).where("abs(value) > 1e4").count() == 3
+    assert spark.sql("select 5e4D as laplacian_var, 1D as tenengrad, 1D as rms_contrast, 1D as entropy, 1D as brightness_mean").where(composition_queries._FINITE).count() == 1
+
+
 def test_sampler_reaches_past_failures(spark):
     """Fifteen parents fail before one fits: all of them must be in reach though the group is bounded by the quota."""
     data = [("train", 3, "c", f"p{k:02d}") for k in range(60)]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions import derive, quotas
+from tidemark.functions.keys import finite
 from tidemark.operators import composition as comp
 from tidemark.operators import summary
 from tidemark.plans.views import LABELS_SQL, VIEWS, over_release, r6
@@ -14,14 +15,25 @@ from tidemark.sources.tables import table
 
 PARAMETERS = ["rotation_deg", "coverage_scale", "blur_scale_factor", "opacity", "avg_blockage", "label_boost"]
 METRICS = ["laplacian_var", "tenengrad", "rms_contrast", "entropy", "brightness_mean"]
-#: The statistics have absurd tails on purpose; what adds up squares of them is compared below this bound.
+#: The bound of the queries whose SQL has it; the ``_whole`` ones take all finite values.
 SANE = 1e4
+_FINITE = " and ".join(f"isnotnull({m}) and not isnan({m}) and abs({m}) < double('infinity')" for m in METRICS)
 
 
 def _stat_values(r):
     return summary.long(r.stats, METRICS, "group_name", "image_id").where(F.abs("value") < SANE)
 
 
+def _all_values(r):
+    return summary.long(r.stats, METRICS, "group_name", "image_id")
+
+
+def _standardized_whole(r):
+    """Each metric by its own finite values: an image that lacks one keeps the other four."""
+    known = r.stats.select("image_id", "measured_at", *[F.when(finite(F.col(m)), F.col(m)).alias(m) for m in METRICS])
+    return summary.standardized(known, METRICS).select("image_id", "measured_at", *[F.when(F.col(m).isNotNull(), F.col(f"z_{m}")).alias(f"z_{m}") for m in METRICS])
+
+
 def _settings(spark):
     rows = [(s, part, part, both) for s, parts in SETTINGS.items() for part, both in parts.items()]
     return spark.createDataFrame(rows, "setting string, part string, split string, with_synthetic boolean")
@@ -87,8 +99,10 @@ QUERIES = {
     "a07_day_session": over_release(lambda r: comp.day_sessions(r.real, ["cambot24__morning", "cambot24__evening", "cambot25__morning", "cambot25__evening"])),
     "a09_parameter_summary": over_release(lambda r: summary.described(summary.long(r.synthetic, PARAMETERS), "field")),
     "a10_group_metric_summary": over_release(lambda r: summary.side_by_side(_stat_values(r).withColumnRenamed("metric", "field"), "group_name", "real", "synthetic")),
+    "a10_group_metric_summary_whole": over_release(lambda r: summary.side_by_side(_all_values(r), "group_name", "real", "synthetic")),
     "a20_setting_manifest": lambda spark, folder: comp.setting_manifest(release.Release.load(spark, folder).images, _settings(spark)),
     "a22_standardize": over_release(lambda r: summary.standardized(r.stats.where(" and ".join(f"isnotnull({m}) and not isnan({m}) and abs({m}) < {SANE}" for m in METRICS)).select("image_id", "measured_at", *METRICS), METRICS).select("image_id", "measured_at", *[f"z_{m}" for m in METRICS])),
+    "a22_standardize_whole": over_release(_standardized_whole),
     "a23_sampling_weights": over_release(lambda r: summary.sampling_weights(r.master, "label")),
     "a24_class_weights": over_release(lambda r: summary.class_weights(r.master, "label")),
     "a23_weighted_draw": over_release(lambda r: summary.weighted_draw(r.master.where("image_id is not null").select("image_id", "label").distinct(), "image_id", "label", 1000)),
@@ -104,6 +118,7 @@ QUERIES = {
     "o04_seeded_sample": over_release(lambda r: summary.seeded_sample(r.real.withColumn("l", F.col("label").cast("string")), "l", "image_id")),
     "o05_ecdf": over_release(lambda r: summary.ecdf(_stat_values(r).where("field = 'entropy'").select("group_name", "value"), "group_name")),
     "o06_histogram": over_release(lambda r: summary.histogram(_stat_values(r).where("group_name in ('real', 'synthetic')"), "group_name", "field")),
+    "o06_histogram_whole": lambda spark, folder: summary.histogram(_all_values(release.Release.load(spark, folder)).where("group_name in ('real', 'synthetic')"), "group_name", "field"),
     "o03_head": over_release(lambda r: summary.head(r.real.where("image_id is not null").select("image_id", "ingest_ts", "label"), ["ingest_ts", "image_id", "label"], 2000)),
     "prj03_aligned": over_release(lambda r: release.aligned(r.synthetic.drop("width").withColumn("_note", F.lit("x")).withColumn("sec", F.concat(F.col("sec").cast("string"), F.lit(".0")))).groupBy("width", "sec").agg(F.count(F.lit(1)).alias("n"), F.count("asset_id").alias("n_assets"))),
     "prj05_severe": over_release(lambda r: r.images.where(F.col("label").isin(4, 5)).groupBy("origin", "label").agg(F.count(F.lit(1)).alias("n_images"))),
@@ -112,6 +127,8 @@ QUERIES = {
     "prj13_label_string": over_release(lambda r: comp.label_text(r.images, "split")),
     "w13_covariance": over_release(lambda r: summary.covariance(r.stats.where(" and ".join(f"isnotnull({m}) and not isnan({m}) and abs({m}) < {SANE}" for m in METRICS)), METRICS)),
     "w18_median": over_release(lambda r: _stat_values(r).groupBy("group_name", "field").agg(F.percentile("value", F.lit(0.5)).alias("median"), F.percentile("value", F.lit(0.9)).alias("p90"))),
+    "w13_covariance_whole": over_release(lambda r: summary.covariance(r.stats.where(_FINITE), METRICS)),
+    "w18_median_whole": over_release(lambda r: _all_values(r).groupBy("group_name", "field").agg(F.percentile("value", F.lit(0.5)).alias("median"), F.percentile("value", F.lit(0.9)).alias("p90"))),
 }
 
 
@@ -203,3 +220,12 @@ select label, place, image_id, origin from p where place <= 3""",
     "w13_covariance": VIEWS + f", z as (select {_Z} from stats where {_SANE})" + " union all ".join(f" select '{a}' as row, '{b}' as col, {r6(f'covar_samp(z_{a}, z_{b})')} as cov from z" for i, a in enumerate(METRICS) for b in METRICS[i:]),
     "w18_median": VIEWS + _LONG + f"select group_name, field, {r6('quantile_cont(value, 0.5)')} as median, {r6('quantile_cont(value, 0.9)')} as p90 from long group by all",
 }
+
+_KNOWN = ", known as (select image_id, measured_at, " + ", ".join(f"case when isfinite({m}) then {m} end as {m}" for m in METRICS) + " from stats)"
+SQL |= {
+    **{f"{n}_whole": SQL[n].replace(" and abs(value) < 10000", "") for n in ("a10_group_metric_summary", "w18_median")},
+    "a22_standardize_whole": VIEWS + _KNOWN + f"select image_id, measured_at, {', '.join(r6(f'z_{m}') + f' as z_{m}' for m in METRICS)} from (select image_id, measured_at, {_Z} from known)",
+    # densities over spans of 1e9 are too small to be rounded
+    "o06_histogram_whole": SQL["o06_histogram"].replace(" and abs(value) < 10000", "").replace(r6("count(*) / (max(s.n) * max(hi - lo) / 40)"), "count(*) / (max(s.n) * max(hi - lo) / 40)"),
+    "w13_covariance_whole": SQL["w13_covariance"].replace(_SANE, " and ".join(f"isfinite({m})" for m in METRICS)),
+}

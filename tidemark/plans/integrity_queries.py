@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import quotas
+from tidemark.functions.keys import finite
 from tidemark.operators import duplicates, integrity, kernels, lineage, summary
 from tidemark.plans.views import VIEWS, over_release, r6
 from tidemark.sources import release
@@ -27,8 +28,13 @@ def _deltas(r):
     return lineage.parent_child_deltas(r.synthetic, r.stats.where(_SANE), METRICS)
 
 
-def _delta_summary(r):
-    long = summary.long(_deltas(r), [f"delta_{m}" for m in METRICS], "image_id")
+def _deltas_whole(r):
+    """Each metric by its own finite values: an image that lacks one keeps the deltas of the other four."""
+    return lineage.parent_child_deltas(r.synthetic, r.stats.select("image_id", *[F.when(finite(F.col(m)), F.col(m)).alias(m) for m in METRICS]), METRICS)
+
+
+def _delta_summary(r, deltas=_deltas):
+    long = summary.long(deltas(r), [f"delta_{m}" for m in METRICS], "image_id")
     return summary.described(long, "field")
 
 
@@ -93,6 +99,7 @@ def _pools(spark, folder):
 
 QUERIES = {
     "a11_delta_summary": over_release(_delta_summary),
+    "a11_delta_summary_whole": over_release(lambda r: _delta_summary(r, _deltas_whole)),
     "a13_duplicate_keys": over_release(lambda r: integrity.duplicate_keys(r.real, "image_id")),
     "a13_duplicate_count": over_release(lambda r: r.master.where("image_id is not null").groupBy("image_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")),
     "a14_exact_duplicates": lambda spark, folder: duplicates.exact_duplicates(table(spark, folder, "documents").select("doc_id", F.sha2("text", 256).alias("sha")), "doc_id", "sha"),
@@ -107,6 +114,7 @@ QUERIES = {
     "j08_asset_lookup": over_release(lambda r: integrity.asset_lookup(r.synthetic, r.assets)),
     "j10_asset_enrich": over_release(lambda r: r.synthetic.groupBy("asset_id").agg(F.count(F.lit(1)).alias("n")).join(r.assets.groupBy("asset_id").agg(F.min("description").alias("description"), F.min("asset_split").alias("pool")), "asset_id")),
     "j11_parent_child_delta": over_release(lambda r: _deltas(r).select("image_id", "parent_image_id", *[f"delta_{m}" for m in METRICS])),
+    "j11_parent_child_delta_whole": over_release(lambda r: _deltas_whole(r).select("image_id", "parent_image_id", *[f"delta_{m}" for m in METRICS])),
     "j12_near_duplicates": lambda spark, folder: duplicates.near_duplicates(_short(spark, folder), width=24),
     "j12_near_duplicate_rows": lambda spark, folder: duplicates.near_duplicate_rows(_short(spark, folder), width=24),
     "j12_between_splits": lambda spark, folder: duplicates.between_splits(_short(spark, folder), width=24),
@@ -277,3 +285,11 @@ select "check", violations = 0 as passed, violations, why || '=' || violations a
     "checks_invariants": VIEWS + ", c as (" + " union all ".join(f"""select '{n}' as "check", {q} as violations, '{w}' as why""" for n, (q, w) in _INVARIANTS.items()) + """)
 select "check", violations = 0 as passed, violations, why || '=' || violations as details from c""",
 }
+
+_ONE = f"""one as (select image_id, {", ".join(f"min({m}) filter (isfinite({m})) as {m}" for m in METRICS)} from stats where image_id is not null group by image_id),
+edges as"""
+_DELTA_WHOLE = VIEWS + ", " + _ONE + _DELTA.split("edges as", 1)[1]
+SQL |= {
+    "a11_delta_summary_whole": SQL["a11_delta_summary"].replace(_DELTA, _DELTA_WHOLE).replace("from deltas) group by", "from deltas) where value is not null group by"),
+    "j11_parent_child_delta_whole": SQL["j11_parent_child_delta"].replace(_DELTA, _DELTA_WHOLE),
+}

@@ -10,7 +10,7 @@ from tidemark.sources.tables import table
 from tidemark.sources.workspace import ship
 
 METRICS = ["laplacian_var", "tenengrad", "rms_contrast", "entropy", "brightness_mean"]
-_SANE = " and ".join(f"isnotnull({m}) and not isnan({m}) and abs({m}) < 10000" for m in METRICS)
+_FINITE = " and ".join(f"isnotnull({m}) and not isnan({m}) and abs({m}) < double('infinity')" for m in METRICS)
 ORDER = {s: i for i, s in enumerate((rollup.PAIRS[0][0], rollup.PAIRS[0][1], rollup.PAIRS[1][0], rollup.PAIRS[1][1]))}
 
 
@@ -87,7 +87,7 @@ def _mean_confusion(spark, folder):
 
 
 def _pca(which):
-    return over_release(lambda r: distribution.components(r.stats.where(_SANE).select("image_id", "measured_at", *METRICS), METRICS)[which])
+    return over_release(lambda r: distribution.components(r.stats.where(_FINITE).select("image_id", "measured_at", *METRICS), METRICS)[which])
 
 
 def _stat_values(r):
@@ -132,6 +132,7 @@ QUERIES = {
     "w12_average_precision": _scored(lambda p: classification.average_precision(p, "generator_version", truth="severe", score="score")),
     "evaluation": _scored(lambda p: classification.evaluation(p, "generator_version").select("generator_version", "accuracy", "mae", "within1", "macro_f1", "weighted_kappa")),
     "w06_wasserstein": over_release(lambda r: distribution.wasserstein(_stat_values(r), "field", group="group_name", left="real", right="synthetic")),
+    "w06_wasserstein_whole": over_release(lambda r: distribution.wasserstein(summary.long(r.stats, METRICS, "group_name"), "field", group="group_name", left="real", right="synthetic")),
     "w13_pca_loadings": _pca(0),
     "w13_pca_scores": _pca(1),
     "w14_coral_decode": _decoded(classification.coral_label, classification.coral_probabilities),
@@ -293,3 +294,5 @@ select vec_id, (i % 3)::int as channel, {r6("avg((v / 255.0::double - [0.485::do
 b as (select vec_id, trunc(greatest(0, least(255, bg + ((255 - bg) - bg) * (alpha * 0.5::double))))::int as v from p)
 select vec_id, sum(v)::bigint as total, max(v) as most, min(v) as least from b group by vec_id""",
 }
+
+SQL["w06_wasserstein_whole"] = SQL["w06_wasserstein"].replace(" and abs(value) < 10000", "")
