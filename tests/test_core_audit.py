@@ -286,6 +286,13 @@ def test_large_and_lone_statistics_stay(spark):
     assert spark.sql("select 5e4D as laplacian_var, 1D as tenengrad, 1D as rms_contrast, 1D as entropy, 1D as brightness_mean").where(composition_queries._FINITE).count() == 1
 
 
+def test_ecdf_query_draws_the_four_metrics(spark):
+    from tidemark.plans import registry
+
+    got = {r["field"] for r in registry.queries()["o05_ecdf_whole"](spark, "/root/testdata/sf0.001").select("field").distinct().collect()}
+    assert got == {"laplacian_var", "tenengrad", "rms_contrast", "entropy"}
+
+
 def test_sampler_reaches_past_failures(spark):
     """Fifteen parents fail before one fits: all of them must be in reach though the group is bounded by the quota."""
     data = [("train", 3, "c", f"p{k:02d}") for k in range(60)]

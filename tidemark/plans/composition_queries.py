@@ -117,6 +117,7 @@ QUERIES = {
     "f12_attempt_seed": over_release(lambda r: r.synthetic.groupBy("generator_version").agg(F.min(derive.attempt_seed(F.col("synthetic_seed") % 1_000_000)).alias("least"), F.max(derive.attempt_seed(F.col("synthetic_seed") % 1_000_000)).alias("most"))),
     "o04_seeded_sample": over_release(lambda r: summary.seeded_sample(r.real.withColumn("l", F.col("label").cast("string")), "l", "image_id")),
     "o05_ecdf": over_release(lambda r: summary.ecdf(_stat_values(r).where("field = 'entropy'").select("group_name", "value"), "group_name")),
+    "o05_ecdf_whole": over_release(lambda r: summary.ecdf(_all_values(r).where("field <> 'brightness_mean'").select("group_name", "field", "value"), "group_name", "field")),
     "o06_histogram": over_release(lambda r: summary.histogram(_stat_values(r).where("group_name in ('real', 'synthetic')"), "group_name", "field")),
     "o06_histogram_whole": lambda spark, folder: summary.histogram(_all_values(release.Release.load(spark, folder)).where("group_name in ('real', 'synthetic')"), "group_name", "field"),
     "o03_head": over_release(lambda r: summary.head(r.real.where("image_id is not null").select("image_id", "ingest_ts", "label"), ["ingest_ts", "image_id", "label"], 2000)),
@@ -228,4 +229,5 @@ SQL |= {
     # densities over spans of 1e9 are too small to be rounded
     "o06_histogram_whole": SQL["o06_histogram"].replace(" and abs(value) < 10000", "").replace(r6("count(*) / (max(s.n) * max(hi - lo) / 40)"), "count(*) / (max(s.n) * max(hi - lo) / 40)"),
     "w13_covariance_whole": SQL["w13_covariance"].replace(_SANE, " and ".join(f"isfinite({m})" for m in METRICS)),
+    "o05_ecdf_whole": VIEWS + _LONG.replace(" and abs(value) < 10000", "") + f"select group_name, field, {r6('value')} as value, {r6('row_number() over w / count(*) over (partition by group_name, field)')} as y from long where field <> 'brightness_mean' window w as (partition by group_name, field order by value)",
 }
