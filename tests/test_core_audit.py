@@ -293,6 +293,16 @@ def test_ecdf_query_draws_the_four_metrics(spark):
     assert got == {"laplacian_var", "tenengrad", "rms_contrast", "entropy"}
 
 
+def test_weighted_draw_query_draws_as_many_as_there_are_rows(spark):
+    from types import SimpleNamespace
+
+    from tidemark.plans import composition_queries
+
+    master = spark.createDataFrame([(f"i{k}", k % 3) for k in range(1203)] + [("i0", 0), (None, 1), ("x", None)], "image_id string, label int")
+    out = composition_queries._drawn(SimpleNamespace(master=master)).collect()
+    assert len(out) == 1203 and {r["draw"] for r in out} == set(range(1203)) and "x" not in {r["image_id"] for r in out}
+
+
 def test_sampler_reaches_past_failures(spark):
     """Fifteen parents fail before one fits: all of them must be in reach though the group is bounded by the quota."""
     data = [("train", 3, "c", f"p{k:02d}") for k in range(60)]

@@ -34,6 +34,12 @@ def _standardized_whole(r):
     return summary.standardized(known, METRICS).select("image_id", "measured_at", *[F.when(F.col(m).isNotNull(), F.col(f"z_{m}")).alias(f"z_{m}") for m in METRICS])
 
 
+def _drawn(r):
+    """As many draws as there are labelled images."""
+    rows = r.master.where("image_id is not null and label is not null").select("image_id", "label").distinct()
+    return summary.weighted_draw(rows, "image_id", "label", rows.count())
+
+
 def _settings(spark):
     rows = [(s, part, part, both) for s, parts in SETTINGS.items() for part, both in parts.items()]
     return spark.createDataFrame(rows, "setting string, part string, split string, with_synthetic boolean")
@@ -105,7 +111,7 @@ QUERIES = {
     "a22_standardize_whole": over_release(_standardized_whole),
     "a23_sampling_weights": over_release(lambda r: summary.sampling_weights(r.master, "label")),
     "a24_class_weights": over_release(lambda r: summary.class_weights(r.master, "label")),
-    "a23_weighted_draw": over_release(lambda r: summary.weighted_draw(r.master.where("image_id is not null").select("image_id", "label").distinct(), "image_id", "label", 1000)),
+    "a23_weighted_draw": over_release(_drawn),
     "a26_domains": over_release(lambda r: comp.domains(r.master, "cam", "state").select("n_images", F.array_join("cam_values", ",").alias("cams"), F.array_join("state_values", ",").alias("states"))),
     "f01_parse_filename": over_release(_parsed),
     "f02_group_id": over_release(_blocks),
