@@ -50,11 +50,10 @@ def combine(sketches: DataFrame, by: list[str]) -> DataFrame:
 def percentiles(sketches: DataFrame, by: list[str], quantiles: tuple[float, ...] = QUANTILES, error: float = ERROR) -> DataFrame:
     """(by..., metric, q, n, estimate): the value of rank floor(q * (n - 1)) from below, within ``error`` of it relatively.
 
-    n: values of the group. The window runs over the buckets of a group, whose number is bounded; not over its values. Zero is exact.
+    n: values of the group. Buckets are ordered by sign, then outwards or inwards by their number, which may be of either sign. The window runs over the buckets of a group, whose number is bounded; not over its values. Zero is exact.
     """
     group = Window.partitionBy(*by, "metric")
-    place = F.col("sign").cast("double") * (F.col("bucket") + F.lit(100_000))
-    upto = group.orderBy(place).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    upto = group.orderBy("sign", F.col("sign") * F.col("bucket")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     counted = sketches.withColumn("upto", F.sum("n").over(upto)).withColumn("total", F.sum("n").over(group))
     ranks = F.array(*[F.struct(F.lit(float(q)).alias("q"), F.floor(F.lit(float(q)) * (F.col("total") - 1)).alias("rank")) for q in quantiles])
     hit = counted.select(*by, "metric", "sign", "bucket", "n", "upto", "total", F.inline(ranks)).where("rank < upto and rank >= upto - n")
