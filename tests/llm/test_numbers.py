@@ -43,6 +43,19 @@ def test_sketch_of_null_groups_and_nothing(spark):
         percentiles.sketch(df, ["g"], ["x"], 0.0)
 
 
+@pytest.mark.parametrize("error", [0.01, 0.001, 0.0001])
+def test_percentiles_of_tiny_values_of_both_signs(spark, error):
+    """The number of a bucket grows beyond any fixed offset as the error and the values get small."""
+    values = [s * m * 10.0**-k for s in (-1, 1) for m in (1, 3) for k in range(0, 301, 7)] + [0.0, -5.0, 7.0, 1e-10, -1e-10]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    qs = tuple(k / 40 for k in range(41))
+    got = {r["q"]: r["estimate"] for r in percentiles.percentiles(percentiles.sketch(df, [], ["x"], error), [], qs, error).collect()}
+    ordered = sorted(values)
+    for q in qs:
+        exact = ordered[math.floor(q * (len(ordered) - 1))]
+        assert abs(got[q] - exact) <= error * abs(exact) * (1 + 1e-6), q
+
+
 TARGETS = "request_id string, label int, source_label int, target_share double, min_rows int, sample_share double"
 
 
@@ -89,6 +102,34 @@ def test_sample_with_dirty_rows(spark):
     empty = sample_of(spark, [], [("r", 3, 1, 1.0, 1, 1.0)])
     assert empty.sample().count() == 0 and empty.unfilled().count() == 1
     assert sample_of(spark, images, []).sample().count() == 0
+    assert sample_of(spark, [], []).report.count() == 0
+
+
+def test_records_of_several_categories_go_where_they_lack_most(spark):
+    """Image a is the only one of category 4, and one of many of category 3: it is drawn for 4, and the report says what was reached."""
+    images = [("a", 3, 1, 0, 0), ("a", 4, 1, 0, 0), *[(f"x{k}", 3, 1, 0, 0) for k in range(9)], ("y", 5, 1, 0, 0), ("y", 4, 2, 0, 0)]
+    s = sample_of(spark, images, [("r", 3, 1, 1.0, None, 0.5), ("r", 4, 1, 0.0, 1, 0.5), ("q", 5, 1, 0.0, 1, 0.5), ("q", 4, 2, 0.0, 1, 0.5)])
+    report = {(r["request_id"], r["label"]): (r["available"], r["drawable"], r["seats"], r["filled"], r["reached"], r["shortfall"]) for r in s.report.collect()}
+    assert report[("r", 4)] == (1, 1, 1, True, True, 0) and report[("r", 3)] == (10, 9, 4, True, False, 1)
+    # one image can't be the minimum of two categories: both are said to have enough, one isn't reached
+    assert report[("q", 4)][3:] == (True, True, 0) and report[("q", 5)][3:] == (True, False, 1)
+    assert len(s.sample().where("request_id = 'q'").collect()) == 1
+    assert {r["image_id"] for r in s.sample().where("request_id = 'r' and label = 4").collect()} == {"a"}
+
+
+def test_a_category_named_twice_counts_once(spark):
+    images = [(f"x{k}", 3, 1, 0, 0) for k in range(20)]
+    twice = sample_of(spark, images, [("r", 3, 1, 0.5, 2, 0.5), ("r", 3, 1, 0.5, 4, 0.5)])
+    drawn = [r["image_id"] for r in twice.sample().collect()]
+    assert len(drawn) == len(set(drawn)) == 10 and [(r["min_rows"], r["seats"]) for r in twice.report.collect()] == [(4, 10)]
+
+
+def test_ranges_of_the_hash_do_not_change_the_sample(spark, monkeypatch):
+    images = [(f"x{k}", 3 + k % 3, 1 + k % 2, 0, 0) for k in range(3000)] + [(f"x{k}", 5, 1, 0, 0) for k in range(0, 900, 7)]
+    targets = [("r", 3, 1, 0.5, None, 0.2), ("r", 5, 1, 0.5, 700, 0.2), ("s", 4, 2, 1.0, None, 0.9)]
+    want = {tuple(r) for r in sample_of(spark, images, targets).sample().collect()}
+    monkeypatch.setattr(sampling, "RANGE_ROWS", 3)
+    assert {tuple(r) for r in sample_of(spark, images, targets).sample().collect()} == want and len(want) > 1000
 
 
 M = clusters.METRICS

@@ -2,31 +2,30 @@
 
 Within a category the records get a random rank (of a hash), and the priority (rank - 0.5) / target. The records of the minimum come first, then the
 globally smallest priorities up to the sample size. A category that runs out simply has no more priorities; the others take its seats.
-The cut-off priority follows from the category counts alone, so no sort over all records is needed: how many seats a category gets is computed over the
-rows of the targets (one row per category), and a record is kept if its rank is within its category's seats.
+
+The cut-off priority follows from the category counts alone: how many seats a category gets is computed over the rows of the targets (one row per
+category), and a record is kept if its rank is within its category's seats. The hashes are cut into ranges; the counts per range tell which ranges lie wholly within the
+seats, so only records of ranges that the seats reach are ever ranked, each range in a task of its own.
+
+A record that comes with several categories is drawn for one of them, for each request the one that lacks most: whose wanted number is largest against the
+records it has.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.keys import key
-from tidemark.operators.ranking import bucketed_rank
-from tidemark.sources.workspace import ship
+from tidemark.sources.workspace import Workspace, ship
 
 SEED = 7
-
-
-def eligible(images: DataFrame, id: str, categories: list[str], low: int = 1, high: int = 5) -> DataFrame:
-    """Distinct (id, categories...) of rows with a key whose categories all lie in low..high."""
-    rows = images.select(key(id).alias("id"), *categories).where(F.col("id").isNotNull())
-    for c in categories:
-        rows = rows.where(F.col(c).between(low, high))
-    return rows.distinct()
+#: About so many records of a category lie in one range of the hash.
+RANGE_ROWS = 100_000
 
 
 def _seats(shares: list[float], floors: list[int], available: list[int], total: int) -> list[int]:
@@ -61,60 +60,91 @@ def _seats(shares: list[float], floors: list[int], available: list[int], total:
     return got
 
 
-def allocate(targets: DataFrame, available: DataFrame, drawable: DataFrame, n: DataFrame, categories: list[str]) -> DataFrame:
-    """One row per row of ``targets``: available, wanted, needed, seats and whether it can be filled.
+def allocate(wanted: DataFrame) -> DataFrame:
+    """``wanted`` with seats, filled, reached and shortfall.
 
-    ``available`` / ``drawable``: (categories..., count); ``n``: one row with the number of distinct eligible records. The sample size of a request is
-    floor(sample_share * n). Null shares want nothing, null minima are 0. Seats are computed per request over its rows of the targets.
+    The sample size of a request is floor(sample_share * n_eligible). Seats are computed per request over its rows of the targets. filled: the category has enough records;
+    reached: its seats are its minimum and the whole part of its wanted number at least; shortfall: the seats that lack to that.
     """
-    rows = targets.select("request_id", *categories, "target_share", "min_rows", "sample_share")
-    for c, name in ((available, "available"), (drawable, "drawable")):
-        other = c.select(*[F.col(k).alias(f"__{k}") for k in categories], F.col("count").alias(name))
-        on = F.lit(True)
-        for k in categories:
-            on = on & (F.col(k) == F.col(f"__{k}"))
-        rows = rows.join(other, on, "left").drop(*[f"__{k}" for k in categories]).withColumn(name, F.coalesce(name, F.lit(0)))
-    share, size = F.coalesce("target_share", F.lit(0.0)), F.coalesce("sample_share", F.lit(0.0))
-    rows = rows.withColumn("n_eligible", n.scalar()).withColumn(
-        "needed", F.greatest(F.coalesce(F.col("min_rows").cast("double"), F.lit(0.0)), share * size * F.col("n_eligible"))
-    )
-    ship(rows.sparkSession)
-    schema = rows.withColumn("seats", F.lit(0).cast("bigint")).schema
+    ship(wanted.sparkSession)
+    schema = wanted.withColumn("seats", F.lit(0).cast("bigint")).schema
+    order = [c for c in wanted.columns if c.startswith("__c")]
 
     def seat(one: pd.DataFrame) -> pd.DataFrame:
-        one = one.sort_values([*categories]).reset_index(drop=True)
+        one = one.sort_values(order).reset_index(drop=True)
         total = int((one["sample_share"].fillna(0).max() or 0) * one["n_eligible"].max())
         one["seats"] = _seats(one["target_share"].fillna(0).tolist(), one["min_rows"].fillna(0).astype(int).clip(lower=0).tolist(), one["drawable"].astype(int).tolist(), total)
         return one
 
-    return rows.groupBy("request_id").applyInPandas(seat, schema).withColumn("filled", F.col("available") >= F.col("needed"))
+    at_least = F.greatest(F.coalesce(F.col("min_rows"), F.lit(0)).cast("bigint"), F.floor(F.coalesce("target_share", F.lit(0.0)) * F.coalesce("sample_share", F.lit(0.0)) * F.col("n_eligible")))
+    return wanted.groupBy("request_id").applyInPandas(seat, schema).select(
+        "*", (F.col("available") >= F.col("needed")).alias("filled"), (F.col("seats") >= at_least).alias("reached"), F.greatest(at_least - F.col("seats"), F.lit(0)).alias("shortfall"),
+    )
 
 
 class QuotaSample:
     """The samples of all requests, their report, and the categories that can't be filled.
 
-    A record counts as available in every category that one of its rows names; it is drawn for one of them only (the smallest), so
-    that no sample holds it twice. Null or blank keys and categories outside the range are not eligible. A category named twice by a request gets its
-    seats twice from the same ranks, so name it once. Extra columns are not read.
+    A record counts as available in every category that one of its rows names; it is drawn for one of them only, so that no sample holds it twice: for each
+    request the category with the largest needed / available, of equal ones the smallest. Null or blank keys and categories outside the range are not eligible.
+    Rows of one request for one category are one row: their shares add up, the larger minimum holds. Null shares want nothing, null minima are 0. Without eligible
+    records every category that wants any can't be filled and no sample has a row. Extra columns are not read.
+
+    The eligible records (one row per key, with the set of its categories, which the range bounds) and the report are written to the shared folder: everything after
+    starts from there.
     """
 
-    def __init__(self, images: DataFrame, targets: DataFrame, id: str = "image_id", categories: tuple[str, ...] = ("label", "source_label")):
-        self.categories, self.targets = list(categories), targets
-        rows = eligible(images, id, self.categories)
-        one = rows.groupBy("id").agg(F.min(F.struct(*self.categories)).alias("c")).select("id", *[F.col(f"c.{c}").alias(c) for c in self.categories])
+    def __init__(self, images: DataFrame, targets: DataFrame, id: str = "image_id", categories: tuple[str, ...] = ("label", "source_label"), low: int = 1, high: int = 5):
+        self.categories, spark = list(categories), images.sparkSession
+        self.work = work = Workspace(spark)
+        self._c = [f"__c{i}" for i in range(len(self.categories))]
+        rows = images.select(key(id).alias("id"), *[F.col(c).alias(f"__c{i}") for i, c in enumerate(self.categories)]).where(F.col("id").isNotNull())
+        for c in self._c:
+            rows = rows.where(F.col(c).between(low, high))
         # 60 bits of a digest that any engine can make, moved to the top of a bigint
         draw = F.shiftleft(F.conv(F.substring(F.md5(F.concat(F.lit(f"{SEED}|"), F.col("id"))), 1, 15), 16, 10).cast("bigint"), 4)
-        self.ranked = bucketed_rank(one, self.categories, draw, ["id"])
-        available = rows.groupBy(*self.categories).count()
-        drawable = one.groupBy(*self.categories).count()
-        n = one.agg(F.count(F.lit(1)).alias("count"))
-        self.report = allocate(targets, available, drawable, n, self.categories)
+        self.records = work.cut(rows.groupBy("id").agg(F.collect_set(F.struct(*self._c)).alias("in")).withColumn("h", draw), "eligible")
+        each = self.records.select(F.inline("in"), (F.size("in") == 1).alias("alone"))
+        counts = work.cut(each.groupBy(*self._c).agg(F.count(F.lit(1)).alias("available"), F.count_if("alone").alias("alone")), "categories")
+        self.n = self.records.count()
+        self.bits = min(20, max(4, math.ceil(math.log2(self.n / RANGE_ROWS + 1))))
+
+        merged = targets.groupBy("request_id", *[F.col(c).alias(f"__c{i}") for i, c in enumerate(self.categories)]).agg(
+            F.sum("target_share").alias("target_share"), F.max("min_rows").alias("min_rows"), F.max("sample_share").alias("sample_share")
+        )
+        needed = F.greatest(F.coalesce(F.col("min_rows").cast("double"), F.lit(0.0)), F.coalesce("target_share", F.lit(0.0)) * F.coalesce("sample_share", F.lit(0.0)) * F.lit(self.n))
+        wanted = merged.join(counts, self._c, "left").select(
+            "request_id", *self._c, "target_share", "min_rows", "sample_share", F.coalesce("available", F.lit(0)).alias("available"), F.coalesce("alone", F.lit(0)).alias("alone"),
+            F.lit(self.n).cast("bigint").alias("n_eligible"), needed.alias("needed"),
+        )
+        wanted = work.cut(wanted, "wanted")
+        # records with several categories: for each request one of them
+        several = self.records.where("size(in) > 1").select("id", "h", F.inline("in")).join(wanted, self._c)
+        least = F.min(F.struct((-F.col("needed") / F.col("available")).alias("lack"), *self._c))
+        self.dealt = work.cut(several.groupBy("request_id", "id", "h").agg(least.alias("m")).select("request_id", "id", "h", *[F.col(f"m.{c}").alias(c) for c in self._c]), "dealt")
+        dealt = self.dealt.groupBy("request_id", *self._c).agg(F.count(F.lit(1)).alias("dealt"))
+        drawable = wanted.join(dealt, ["request_id", *self._c], "left").withColumn("drawable", F.col("alone") + F.coalesce("dealt", F.lit(0))).drop("alone", "dealt")
+        self._report = work.cut(allocate(drawable), "report")
+        self.report = self._report.select(
+            "request_id", *[F.col(f"__c{i}").alias(c) for i, c in enumerate(self.categories)], "target_share", "min_rows", "sample_share", "available", "drawable", "n_eligible", "needed",
+            "seats", "filled", "reached", "shortfall",
+        )
 
     def sample(self) -> DataFrame:
         """(request_id, id, categories..., priority): the drawn records of every request, with (rank - 0.5) / target as priority."""
-        seats = self.report.where("seats > 0").select("request_id", *self.categories, "target_share", "seats")
-        kept = self.ranked.join(seats, self.categories).where(F.col("rank") <= F.col("seats"))
-        return kept.select("request_id", F.col("id").alias("image_id"), *self.categories, F.try_divide(F.col("rank") - 0.5, "target_share").alias("priority"))
+        c, part = self._c, F.shiftrightunsigned("h", 64 - self.bits).alias("__b")
+        seats = self._report.where("seats > 0").select("request_id", *c, "target_share", "seats")
+        alone = self.records.where("size(in) = 1").select("id", "h", part, *[F.col("in")[0][k].alias(k) for k in c])
+        dealt = self.dealt.select("request_id", *c, "id", "h", part)
+        by_range = alone.groupBy(*c, "__b").agg(F.count(F.lit(1)).alias("n")).join(seats, c).select("request_id", *c, "__b", "n")
+        by_range = by_range.unionByName(dealt.groupBy("request_id", *c, "__b").agg(F.count(F.lit(1)).alias("n"))).groupBy("request_id", *c, "__b").agg(F.sum("n").alias("n"))
+        upto = Window.partitionBy("request_id", *c).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+        before = by_range.withColumn("before", F.coalesce(F.sum("n").over(upto), F.lit(0))).drop("n")
+        reached = before.join(seats, ["request_id", *c]).where("before < seats")
+        rows = alone.join(reached, [*c, "__b"]).unionByName(dealt.join(reached, ["request_id", *c, "__b"]))
+        rank = F.row_number().over(Window.partitionBy("request_id", *c, "__b").orderBy("h", "id")) + F.col("before")
+        kept = rows.withColumn("rank", rank).where(F.col("rank") <= F.col("seats"))
+        return kept.select("request_id", F.col("id").alias("image_id"), *[F.col(f"__c{i}").alias(k) for i, k in enumerate(self.categories)], F.try_divide(F.col("rank") - 0.5, "target_share").alias("priority"))
 
     def unfilled(self) -> DataFrame:
         """(request_id, categories...) of the rows of the targets that can't be filled."""

@@ -27,7 +27,7 @@ def _percentiles(by: str, quantiles: tuple[float, ...]) -> str:
     size = f"exp(bucket * {_LG}) * {2 / (math.exp(_log_gamma(ERROR)) + 1)!r}"
     return f"""{_VALUES}, s as (select {by}, metric, sign, bucket, count(*) as n from b group by all),
 c as (
-  select *, sum(n) over (partition by {by}, metric order by sign * (bucket + 100000) rows unbounded preceding) as upto,
+  select *, sum(n) over (partition by {by}, metric order by sign, sign * bucket rows unbounded preceding) as upto,
          sum(n) over (partition by {by}, metric) as total
   from s)
 select {by}, metric, q, total::bigint as n, printf('%.8e', case when sign = 0 then 0.0::double else sign * {size} end)::double as estimate
@@ -65,17 +65,25 @@ reach(a, b) as (select distinct k, k from t where k like 'c:%' union select reac
 """
 
 _DRAWN = _ELIGIBLE + f""",
-one as (select id, min(struct_pack(label := label, source_label := source_label)) as c from e group by id),
+t as (
+  select request_id, label, source_label, sum(target_share) as target_share, max(min_rows) as min_rows, max(sample_share) as sample_share from sampling_targets group by all),
+w as (
+  select t.*, coalesce(available, 0) as available, n.n as n_eligible,
+         greatest(coalesce(min_rows, 0)::double, coalesce(target_share, 0) * coalesce(sample_share, 0) * n.n) as needed
+  from t left join a using (label, source_label), n),
+m as (
+  select request_id, id, label, source_label, target_share, min_rows, sample_share, n_eligible,
+         row_number() over (partition by request_id, id order by needed / available desc, label, source_label) as pick
+  from e join w using (label, source_label)),
 ranked as (
-  select id, c.label as label, c.source_label as source_label,
-         row_number() over (partition by c order by ('0x' || substr(md5('{SEED}|' || id), 1, 15))::bigint, id) as rank
-  from one),
+  select *, row_number() over (partition by request_id, label, source_label order by ('0x' || substr(md5('{SEED}|' || id), 1, 15))::bigint, id) as rank
+  from m where pick = 1),
 told as (
-  select request_id, id, label, source_label, (rank - 0.5::double) / target_share as priority, rank <= coalesce(min_rows, 0) as floored,
+  select request_id, id, label, source_label, (rank - 0.5::double) / target_share as priority, rank <= coalesce(min_rows, 0) as floored, n_eligible,
          row_number() over (partition by request_id order by rank > coalesce(min_rows, 0), (rank - 0.5::double) / target_share, label, source_label) as place,
          max(sample_share) over (partition by request_id) as sample_share
-  from sampling_targets join ranked using (label, source_label)),
-kept as (select request_id, id as image_id, label, source_label, priority from told, n where floored or place <= floor(sample_share * n))
+  from ranked),
+kept as (select request_id, id as image_id, label, source_label, priority from told where floored or place <= floor(sample_share * n_eligible))
 """
 
 SQL = {
@@ -85,11 +93,13 @@ select i as image_id, min(j) as cluster_key from reach group by i having count(*
 select substr(a, 3) as capture_a, substr(b, 3) as capture_b from reach where a < b and b like 'c:%'""",
     "p2_sample": _DRAWN + """
 select request_id, image_id, label, source_label, priority from kept""",
-    "p2_report": _DRAWN + """
-select request_id, label, source_label, target_share, min_rows, sample_share, coalesce(available, 0) as available, coalesce(drawable, 0) as drawable, n.n as n_eligible,
-       greatest(min_rows::double, target_share * sample_share * n.n) as needed, coalesce(seats, 0) as seats, coalesce(available, 0) >= greatest(min_rows::double, target_share * sample_share * n.n) as filled
-from sampling_targets left join a using (label, source_label) left join (select label, source_label, count(*) as drawable from ranked group by all) using (label, source_label)
-left join (select request_id, label, source_label, count(*) as seats from kept group by all) using (request_id, label, source_label), n""",
+    "p2_report": _DRAWN + """,
+seated as (select request_id, label, source_label, count(*) as seats from kept group by all),
+reach as (select request_id, label, source_label, count(*) as drawable from ranked group by all)
+select request_id, label, source_label, target_share, min_rows, sample_share, available, coalesce(drawable, 0) as drawable, n_eligible, needed, coalesce(seats, 0) as seats,
+       available >= needed as filled, coalesce(seats, 0) >= greatest(coalesce(min_rows, 0), floor(coalesce(target_share, 0) * coalesce(sample_share, 0) * n_eligible)) as reached,
+       greatest(greatest(coalesce(min_rows, 0), floor(coalesce(target_share, 0) * coalesce(sample_share, 0) * n_eligible)) - coalesce(seats, 0), 0)::bigint as shortfall
+from w left join seated using (request_id, label, source_label) left join reach using (request_id, label, source_label)""",
     "p1_daily_sketch": _VALUES + "select group_name, label, day, metric, sign, bucket, count(*) as n from b group by all",
     "p1_percentiles": _percentiles("group_name, label", QUANTILES),
     "p1_daily_percentiles": _percentiles("group_name, label, day", (0.5, 0.9)),
