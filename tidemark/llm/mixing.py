@@ -18,10 +18,8 @@ def _unit(*cols: Column) -> Column:
 
 def sized(docs: DataFrame, work: Workspace, id: str = "doc_id", text: str = "text", source: str = "source", path: str = tokens.TOKENIZERS) -> DataFrame:
     """(id, source, n_tokens) of every document, in tokens of byte_bpe_50k; null and empty texts have 0. Written to the shared folder."""
-    counts = tokens.token_counts(docs, id, text, path)
-    named = docs.groupBy(F.col(id).alias("id")).agg(F.min(source).alias("source"))
-    joined = named.join(counts, F.col("id").eqNullSafe(counts[id]), "left")
-    return work.cut(joined.select("id", "source", F.coalesce("n_tokens", F.lit(0)).alias("n_tokens")), "sized")
+    rows = tokens.sized(docs, source, id, text, path)
+    return work.cut(rows.select(F.col(id).alias("id"), F.col(source).alias("source"), "n_tokens"), "sized")
 
 
 def rates(sizes: DataFrame, targets: DataFrame) -> DataFrame:
