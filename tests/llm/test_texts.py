@@ -123,6 +123,7 @@ SAME = [
     ("Film on lens", "Ｆｉｌｍ　ｏｎ　ｌｅｎｓ"), ("office flow", "oﬃce ﬂow"), ("café über", "café über"), ("soft ware", "soft­ ​ware﻿"), ("a b", " a \n b\t"), ("scope", "ѕсоре"), ("HOT", "НОТ"),
     ("ёж", "ёж"), ("ëж", "ёж"), ("10 µm", "10 μm"), ("5 Ω", "5 Ω"), ("273 K", "273 K"), ("Å", "A͏̊"), ("well-known", "well‑known"), ("well-known", "well‐known"), ("ガラス", "ｶﾞﾗｽ"), ("o", "օ"), ("ΑΒΕ", "ABE"), ("ό", "ó"), ("Ή", "H́"), ("ĳ", "ij"),
     ("right", "ri‮ght"), ("go", "ɡo"),
+    ("pau", "ραυ"), ("ABC", "ꓮꓐꓚ"), ("AC", "ᎪᏟ"), ("DATE", "ᎠᎪᎢᎬ"), ("OK", "ⲞⲔ"), ("VIII", "Ⅷ"), ("li", "ⅼⅰ"), ("ice", "ісҽ"), ("hou", "հօս"),
 ]
 OTHER = [("cafe", "café"), ("Film", "film"), ("a,b", "a.b"), ("O", "0"), ("l", "1"), ("ab", "a b"), ("x²", "x2"), ("①", "1"), ("’", "'"), ("–", "-"), ("ß", "ss"), ("ø", "o"), ("и", "u"), ("a", "а́"), ("½", "1/2"), ("𝐀", "A"), ("й", "и"), ("ﬁ", "fl")]
 
@@ -150,6 +151,17 @@ def test_form_is_a_fixed_point_and_keeps_whole_texts(spark):
     assert once[texts.index(None)] is None and once[texts.index("")] == "" and once[len(TEXTS)] == "x" * 200_000 + "é"
 
 
+def test_slices_are_bounded_by_bytes(monkeypatch):
+    import pyarrow as pa
+
+    texts = ["a" * 10, None, "b" * 500, "c", "", "é" * 40, "d" * 3]
+    monkeypatch.setattr(visual, "SLICE_BYTES", 90)
+    parts = [p.column("text").to_pylist() for p in visual._slices(pa.RecordBatch.from_pydict({"text": texts}))]
+    assert sum(parts, []) == texts and all(len(p) == 1 or sum(len((t or "").encode()) for t in p) <= 90 for p in parts) and len(parts) == 3
+    monkeypatch.setattr(visual, "SLICE_ROWS", 2)
+    assert max(p.num_rows for p in visual._slices(pa.RecordBatch.from_pydict({"text": texts}))) == 2
+
+
 def by_hand(t):
     """The same form without DuckDB, for texts of letters, accents and blanks."""
     out = []
