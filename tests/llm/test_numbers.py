@@ -230,6 +230,40 @@ def test_clusters_of_a_dense_blob_against_brute_force(spark):
         assert any(at[f"d{k:03d}"] == cell and alike[k, m].all() for k in m)
 
 
+def test_crowded_cells_are_cut_not_multiplied(spark, monkeypatch):
+    """Two adjacent cells of many records each, alike only where they face each other, if at all."""
+    seen = []
+    cut = Workspace.cut
+    monkeypatch.setattr(Workspace, "cut", lambda self, df, name: (seen.append(name), cut(self, df, name))[1])
+    w = -math.log(0.99) * 0.99997
+    n = 100_000
+    for near in (False, True):
+        # two L-shaped clouds whose boxes say nothing: they miss each other in one of two dimensions everywhere, but for one record
+        rng = np.random.default_rng(5)
+        side, along = rng.uniform(0, 0.05, n), rng.uniform(0, 0.95, n)
+        flip = rng.random(n) < 0.5
+        a = np.where(flip[:, None], np.c_[side, along], np.c_[along, side])
+        b = 2 - a
+        if near:
+            a[0], b[0] = (0.97, 0.97), (1.03, 1.03)
+        at = np.exp((np.r_[a, b] + 500) * w)
+        df = spark.createDataFrame([(f"r{k}", float(x), float(y), 1.0, 1.0, "x", 1) for k, (x, y) in enumerate(at)], STATS)
+        grid = clusters.Grid(df, Workspace(spark))
+        pair = grid.pairs.where("not certain").select("a", "b")
+        facing = [(np.abs(a[:, None, i] - b[None, :100, i]) <= 1).mean() for i in (0, 1)]
+        assert pair.count() == 1 and min(facing) > 0
+        assert grid.confirmed(pair).count() == near
+    assert "tried" in seen
+
+
+def test_places_that_share_a_hash_are_kept_apart(spark, monkeypatch):
+    real = F.xxhash64
+    monkeypatch.setattr(clusters.F, "xxhash64", lambda *c: real(*c) % 3 if len(c) == 4 else real(*c))
+    rows = [(f"a{c}_{k}", 10.0 * 1.5**c, 1.0, 1.0, 1.0, "x", 1) for c in range(9) for k in range(8)]
+    grid = clusters.Grid(spark.createDataFrame(rows, STATS), Workspace(spark))
+    assert grid.cells.count() == 9 and {tuple(r) for r in clusters.linked_groups(grid).collect()} == brute_groups(rows, 8)
+
+
 def test_clusters_of_nothing(spark):
     grid = clusters.Grid(spark.createDataFrame([], STATS), Workspace(spark))
     assert clusters.linked_groups(grid).count() == 0 and clusters.clusters(grid).count() == 0 and clusters.described(grid).count() == 0

@@ -58,6 +58,8 @@ def _split(make):
 QUERIES = {
     "p4_found": lambda spark, folder: clusters.linked_groups(_grid(spark, folder)),
     "p4_clusters": lambda spark, folder: clusters.described(_grid(spark, folder)),
+    "p4_members": lambda spark, folder: clusters.members(_grid(spark, folder)),
+    "p4_cover": lambda spark, folder: clusters.cover(_grid(spark, folder)),
     "p5_found": lambda spark, folder: _ties(spark, folder).capture_pairs(),
     "p5_splits": _split(splits.splits),
     "p5_shares": _split(splits.shares_reached),

