@@ -1,6 +1,7 @@
 """Percentiles, samples, clusters and splits against plain Python."""
 
 import collections
+import itertools
 import math
 import random
 
@@ -351,10 +352,67 @@ def test_splits_of_nothing(spark):
     assert ties.capture_pairs().count() == 0 and splits.splits(ties, hubs).count() == 0 and splits.shares_reached(ties, hubs).count() == 0
 
 
-def test_min_cost_flow_takes_the_cheap_way_first():
-    arcs = [("s", "a", 5, 0), ("a", "t", 3, 1), ("a", "b", 9, 0), ("b", "t", 9, 4), ("s", "b", 2, 0)]
-    assert splits.min_cost_flow(arcs, "s", "t") == [5, 3, 2, 4, 2]
-    # a later path must take back what an earlier one took
-    arcs = [("s", "a", 1, 0), ("s", "b", 1, 0), ("a", "x", 1, 0), ("a", "y", 1, 2), ("b", "x", 1, 1), ("x", "t", 1, 0), ("y", "t", 1, 0)]
-    flow = splits.min_cost_flow(arcs, "s", "t")
-    assert sum(f * c for f, (_, _, _, c) in zip(flow, arcs)) == 3 and flow[5] + flow[6] == 2
+def units_of(rows):
+    return np.array([[sum(r), *r] for r in rows], float)
+
+
+def network(units, over=0.0):
+    quota = splits.quotas(units.sum(0))
+    return splits.Network(quota, np.zeros_like(quota), over)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_flow_is_nearly_as_cheap_as_the_best_of_all_plans(seed):
+    """Against all 3**8 plans of eight components."""
+    rng = random.Random(seed)
+    units = units_of([[rng.choice([0, 0, 1, 3, 9, 40]) for _ in range(6)] for _ in range(8)])
+    flow = network(units)
+    flow.improve(units, flow.place(units))
+    least = float("inf")
+    for plan in itertools.product(range(3), repeat=len(units)):
+        sums = np.array([units[[p == k for p in plan]].sum(0) for k in range(3)])
+        n = network(units)
+        n.sums = sums
+        least = min(least, n.cost())
+    # cycles of up to three components are cancelled, longer ones aren't
+    assert flow.cost() <= least * 1.1 + 1e-9
+
+
+def test_flow_beats_the_greedy_plan_and_differs_from_shares():
+    rng = random.Random(3)
+    units = units_of([[int(rng.paretovariate(0.9)) if rng.random() < 0.4 else 0 for _ in range(6)] for _ in range(60)])
+    greedy, flow = network(units), network(units)
+    greedy.place(units)
+    at = flow.improve(units, flow.place(units))
+    assert flow.cost() < 0.5 * greedy.cost()
+    n = np.bincount(at, minlength=3) / len(at)
+    assert abs(n - [0.7, 0.15, 0.15]).max() > 0.03 and all((at == k).sum() for k in range(3))
+
+
+def test_light_components_make_up_for_heavy_ones(spark):
+    """One component of half of all records goes to train, and the others fill val and test beyond their shares."""
+    rows = [("big", 5000, 0, 0, 0, 0, 0)] + [(f"c{k}", *[(1 + k % 3) if j == k % 2 else 0 for j in range(6)]) for k in range(2500)]
+    df = spark.createDataFrame(rows, "component string, " + ", ".join(f"l{k} bigint" for k in range(1, 7)))
+    got = {r["component"]: r["split"] for r in splits.allotted(df, Workspace(spark)).collect()}
+    assert set(got) == {r[0] for r in rows} and got["big"] == "train"
+    total, by = sum(sum(r[1:]) for r in rows), collections.Counter()
+    for r in rows:
+        by[got[r[0]]] += sum(r[1:])
+    assert all(abs(by[s] / total - p) < 0.01 for s, p in splits.SHARES)
+
+
+def test_no_plan_is_better_than_a_split_that_overflows(spark):
+    rows = [("big", 90, 0, 0, 0, 0, 0)] + [(f"c{k}", 0, 1, 0, 0, 0, 0) for k in range(10)]
+    df = spark.createDataFrame(rows, "component string, " + ", ".join(f"l{k} bigint" for k in range(1, 7)))
+    got = {r["component"]: r["split"] for r in splits.allotted(df, Workspace(spark)).collect()}
+    assert got["big"] == "train" and collections.Counter(got.values()) == {"train": 1, "val": 5, "test": 5}
+
+
+def test_capture_classes(spark):
+    rows = records(1)
+    ties = splits.Ties(spark.createDataFrame(rows, META), Workspace(spark))
+    pairs = collections.defaultdict(set)
+    for a, b in ((r[0], r[1]) for r in ties.capture_pairs().collect()):
+        pairs[a] |= {a, b}
+        pairs[b] |= {a, b}
+    assert {tuple(r) for r in ties.capture_classes().collect()} == {(a, min(g), len(g)) for a, g in pairs.items()}

@@ -61,6 +61,7 @@ QUERIES = {
     "p4_members": lambda spark, folder: clusters.members(_grid(spark, folder)),
     "p4_cover": lambda spark, folder: clusters.cover(_grid(spark, folder)),
     "p5_found": lambda spark, folder: _ties(spark, folder).capture_pairs(),
+    "p5_captures": lambda spark, folder: _ties(spark, folder).capture_classes(),
     "p5_splits": _split(splits.splits),
     "p5_shares": _split(splits.shares_reached),
     "p1_percentiles": _percentiles,

@@ -4,17 +4,24 @@ Records are tied when they share an image, capture, group or parent key, or one
 contracted: a record hangs on its *hub* (its capture, else its group, else its image or parent), and only hubs with something in common
 give edges, so the graph to be searched has about as many nodes as there are captures and groups, not records.
 
-The components are allotted by a min-cost flow. Components of the same profile (size and share per label) are a bundle; those that
-weigh more than ``HEAVY`` of all records stand alone. Bundles send records to (label stratum, split) nodes with quotas; going over a quota costs. The flow is
-solved over strata and splits, rounded bundle by bundle (largest first) with the remaining deviation carried on, and the members of a bundle are dealt by rank
-of their hash.
+The components are allotted by a min-cost flow: bundles of components with the same size and labels are the supply, every split has a quota of records and one for each
+label, and a deviation from a quota costs its square over the quota. A component can't be divided, so a unit of the flow is a whole component:
+
+1. Components of more than ``HEAVY`` of all records (at most 1 / HEAVY) are placed first, since what they leave of the quotas is what the others must fill.
+2. A bundle of n alike components gives each split the whole part of its share of n, the shares being those that the heavy ones leave: no order of the others could do better
+   for these. First bundles of identical labels, then what is left over (less than one component a split and bundle) by a coarser profile.
+3. What is still left over, a bounded number of components, is sent through the network one by one, each along the cheapest arc, and then the flow is improved along cycles of
+   negative cost (a component that changes its split, or two that change places), heavy ones included, until there are none.
+
+Which members of a bundle go where is decided by the rank of their hash.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import combinations
 
-import pandas as pd
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,6 +33,7 @@ from tidemark.sources.workspace import Workspace
 SHARES = (("train", 0.70), ("val", 0.15), ("test", 0.15))
 HEAVY = 0.0005
 LABELS = 6  # label 1..5, and one for all others
+_COUNTS = [f"l{k}" for k in range(1, LABELS + 1)]
 
 
 @dataclass(frozen=True)
@@ -57,7 +65,9 @@ class Ties:
         named = self.rows.where("not startswith(hub, 'n:')")
         # which hubs does an image key touch, as image or as parent
         touched = named.select("hub", F.explode(F.array_compact(F.array("i", "p"))).alias("image")).distinct()
-        touched = touched.withColumn("first", F.min("hub").over(Window.partitionBy("image"))).where("hub <> first").select(F.col("hub").alias("a"), F.col("first").alias("b"))
+        # only the least hub of an image is needed, which combines before the shuffle: an image of any number of hubs is no task of its own
+        ends = touched.groupBy("image").agg(F.min("hub").alias("first"), F.max("hub").alias("last")).where("first < last").select("image", "first")
+        touched = touched.join(ends, "image").where("hub <> first").select(F.col("hub").alias("a"), F.col("first").alias("b"))
         grouped = named.where("c is not null and g is not null").select(F.col("hub").alias("a"), tag("g:", F.col("g")).alias("b"))
         # a parent that no hub but itself touches still ties a record without capture and group
         loose = named.where("startswith(hub, 'i:') and i is not null and p is not null").select(F.col("hub").alias("a"), tag("i:", F.col("p")).alias("b"))
@@ -69,10 +79,19 @@ class Ties:
 
     def capture_pairs(self) -> DataFrame:
         """(capture_a, capture_b), a < b: all pairs of captures that must share a split."""
-        captures = self.hubs.where("startswith(hub, 'c:')").select(F.substring("hub", 3, 1_000_000).alias("capture"), "component")
+        captures = self._captures()
         a, b = captures.withColumnRenamed("capture", "capture_a"), captures.withColumnRenamed("capture", "capture_b")
         return a.join(b, "component").where("capture_a < capture_b").select("capture_a", "capture_b")
 
+    def _captures(self) -> DataFrame:
+        return self.hubs.where("startswith(hub, 'c:')").select(F.expr("substring(hub, 3)").alias("capture"), "component")
+
+    def capture_classes(self) -> DataFrame:
+        """(capture_id, class_id, n_captures): every capture that is tied to another, with the smallest capture it is tied to and the number of all of them: one row a capture, no pairs."""
+        captures = self._captures()
+        classes = captures.groupBy("component").agg(F.min("capture").alias("class_id"), F.count(F.lit(1)).alias("n_captures")).where("n_captures > 1")
+        return captures.join(classes, "component").select(F.col("capture").alias("capture_id"), "class_id", "n_captures")
+
     def components(self) -> DataFrame:
         """(component, l1..l6): records of each component by label (6: none of 1..5). Counted per hub first, so no component is one task."""
         by_hub = self.rows.groupBy("hub").agg(*[F.count_if(F.col("label") == k).alias(f"l{k}") for k in range(1, LABELS + 1)])
@@ -80,129 +99,174 @@ class Ties:
         return named.groupBy("component").agg(*[F.sum(f"l{k}").alias(f"l{k}") for k in range(1, LABELS + 1)])
 
 
-def _class(x: Column) -> Column:
-    """Sizes below 8 as they are, then quarter octaves: at most 250 classes over all bigints."""
-    return F.when(x < 8, x).otherwise(F.floor(F.log2(x.cast("double")) * 4) - 4).cast("int")
+class Network:
+    """The flow from components to splits. ``sums[k]``: records of split k, all and by label; ``quota`` the same; a deviation costs its square over the quota.
 
-
-def bundled(components: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(components with bundle, bundles): components of one profile share a bundle.
-
-    The profile is the size class, the commonest label and its share in eighths (for sizes below 8: the exact size). A component above ``HEAVY`` of all records is its own bundle; there are at
-    most 1 / HEAVY of those, and at most 250 * 6 * 9 others, so the table of bundles is bounded whatever the data.
+    A split that holds more than its quota of records costs more: light components can fill up what is missing, but not undo what is too much.
     """
-    labels = [f"l{k}" for k in range(1, LABELS + 1)]
-    size = sum((F.col(c) for c in labels), F.lit(0))
-    total = components.agg(F.sum(size).alias("total"))
-    most = F.greatest(*labels)
-    top = F.coalesce(*[F.when(F.col(c) == most, F.lit(k)) for k, c in enumerate(labels, 1)])
-    rows = components.withColumn("total", total.scalar()).withColumn("size", size).withColumn("stratum", top)
-    profile = F.concat_ws("_", _class(F.col("size")), "stratum", F.floor(most * 8 / F.col("size")))
-    heavy = F.col("size") > F.col("total") * HEAVY
-    rows = rows.withColumn("bundle", F.when(heavy, F.concat(F.lit("h:"), "component")).otherwise(profile)).drop("total")
-    return rows, rows.groupBy("bundle", "stratum").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("records"), *[F.sum(c).alias(c) for c in labels])
-
-
-def min_cost_flow(arcs: list[tuple[str, str, int, int]], source: str, sink: str) -> list[int]:
-    """The flow on each arc (from, to, capacity, cost) that sends as much as possible from source to sink at the least cost.
-
-    Successive cheapest augmenting paths, found by Bellman-Ford in the residual graph; meant for graphs of some dozens of arcs.
-    """
-    flow = [0] * len(arcs)
-    while True:
-        cost, via, changed = {source: 0}, {}, True
-        while changed:
-            changed = False
-            for k, (u, v, cap, c) in enumerate(arcs):
-                for x, y, room, w, step in ((u, v, cap - flow[k], c, 1), (v, u, flow[k], -c, -1)):
-                    if room > 0 and x in cost and cost[x] + w < cost.get(y, float("inf")):
-                        cost[y], via[y], changed = cost[x] + w, (x, k, step, room), True
-        if sink not in cost:
-            return flow
-        path, at = [], sink
-        while at != source:
-            path.append(via[at])
-            at = via[at][0]
-        amount = min(room for _, _, _, room in path)
-        for _, k, step, _ in path:
-            flow[k] += step * amount
-
-
-def _flow(supply: list[int], quotas: list[list[int]], total: list[int]) -> list[list[int]]:
-    """Records of each stratum to each split: free up to a stratum's quota and a split's total, at a cost beyond."""
-    arcs, whole = [], sum(supply)
-    for s, amount in enumerate(supply):
-        arcs.append(("source", f"stratum{s}", amount, 0))
-        for k in range(len(total)):
-            arcs += [(f"stratum{s}", f"split{k}", quotas[s][k], 0), (f"stratum{s}", f"split{k}", whole, 1)]
-    for k, most in enumerate(total):
-        arcs += [(f"split{k}", "sink", most, 0), (f"split{k}", "sink", whole, 2)]
-    flow = min_cost_flow(arcs, "source", "sink")
-    out = [[0] * len(total) for _ in supply]
-    for (u, v, _, _), amount in zip(arcs, flow):
-        if u.startswith("stratum"):
-            out[int(u[7:])][int(v[5:])] += amount
-    return out
-
-
-def allot(bundles: pd.DataFrame, shares: tuple = SHARES) -> pd.DataFrame:
-    """(bundle, split, low, high): the members of rank low..high of each bundle go to the split.
-
-    The flow gives each stratum's records per split; bundles are rounded from the largest members down, each member going to the splits with the most of the flow left, so
-    that what one bundle deviates the next makes up for.
+
+    def __init__(self, quota: np.ndarray, placed: np.ndarray, over: float = 0.0):
+        self.weight = np.where(quota > 0, 1 / np.maximum(quota, 1e-300), 0.0)
+        self.weight[:, 0] *= LABELS
+        self.quota, self.sums, self.over = quota, placed.astype(float).copy(), over
+
+    def _cost(self, sums: np.ndarray, k: int) -> np.ndarray:
+        d = sums - self.quota[k]
+        return (d * d) @ self.weight[k] + self.over * np.maximum(d[..., 0], 0.0) ** 2 * self.weight[k, 0]
+
+    def cost(self) -> float:
+        return float(sum(self._cost(self.sums[k], k) for k in range(len(self.quota))))
+
+    def place(self, units: np.ndarray) -> np.ndarray:
+        """The split of each unit (a row of counts: all, by label), the largest first, each along the cheapest arc; of equal ones the first."""
+        at = np.zeros(len(units), int)
+        for u in np.argsort(-units[:, 0], kind="stable"):
+            at[u] = min(range(len(self.quota)), key=lambda k: (self._cost(self.sums[k] + units[u], k) - self._cost(self.sums[k], k), k))
+            self.sums[at[u]] += units[u]
+        return at
+
+    def improve(self, units: np.ndarray, at: np.ndarray, width: int = 64) -> np.ndarray:
+        """``at`` after cancelling cycles of negative cost: one unit moves from i to j, one goes there and another comes back, or up to three move anyhow.
+
+        Of each pair of splits the ``width`` units that are cheapest to send are paired with all that may come back; only when that ends, the cheapest of all moves are combined in twos
+        and threes. Every step lowers the cost by a fixed part of it at least, so it ends.
+        """
+        at = at.copy()
+        while True:
+            total = self.cost()
+            best = self._cycle(units, at, width)
+            for depth, few in ((2, width // 3), (3, width // 8)):
+                if best[0] >= -1e-6 * total - 1e-12:
+                    best = self._combination(units, at, depth, few)
+            if best[0] >= -1e-6 * total - 1e-12:
+                return at
+            for u, k in best[1]:
+                self.sums[at[u]] -= units[u]
+                self.sums[k] += units[u]
+                at[u] = k
+
+    def _cycle(self, units: np.ndarray, at: np.ndarray, width: int) -> tuple[float, tuple]:
+        best, n = (0.0, ()), len(self.quota)
+        now = [self._cost(self.sums[k], k) for k in range(n)]
+        for i in range(n):
+            here = np.nonzero(at == i)[0]
+            if not len(here):
+                continue
+            out = self._cost(self.sums[i] - units[here], i) - now[i]
+            for j in range(n):
+                if i == j:
+                    continue
+                gain = out + self._cost(self.sums[j] + units[here], j) - now[j]
+                u = int(np.argmin(gain))
+                if gain[u] < best[0]:
+                    best = (gain[u], ((here[u], j),))
+                there = np.nonzero(at == j)[0]
+                if i < j and len(there):
+                    for v in np.argsort(gain, kind="stable")[:width]:
+                        swap = units[there] - units[here[v]]
+                        both = self._cost(self.sums[i] + swap, i) + self._cost(self.sums[j] - swap, j) - now[i] - now[j]
+                        w = int(np.argmin(both))
+                        if both[w] < best[0]:
+                            best = (both[w], ((here[v], j), (there[w], i)))
+        return best
+
+    def _combination(self, units: np.ndarray, at: np.ndarray, depth: int, few: int) -> tuple[float, tuple]:
+        """The best ``depth`` moves of different units among the ``few`` cheapest moves of each pair of splits."""
+        n, moves = len(self.quota), []
+        for i in range(n):
+            here = np.nonzero(at == i)[0]
+            for j in range(n):
+                if i != j and len(here):
+                    gain = self._cost(self.sums[i] - units[here], i) + self._cost(self.sums[j] + units[here], j)
+                    moves += [(here[u], i, j) for u in np.argsort(gain, kind="stable")[:few]]
+        if len(moves) < depth:
+            return 0.0, ()
+        change = np.zeros((len(moves), n, units.shape[1]))
+        for m, (u, i, j) in enumerate(moves):
+            change[m, i] -= units[u]
+            change[m, j] += units[u]
+        chosen = np.array(list(combinations(range(len(moves)), depth)))
+        who = np.array([u for u, _, _ in moves])[chosen]
+        chosen = chosen[[len(set(r)) == depth for r in who]]
+        if not len(chosen):
+            return 0.0, ()
+        sums = self.sums + change[chosen].sum(1)
+        cost = sum(self._cost(sums[:, k], k) for k in range(n)) - self.cost()
+        m = int(np.argmin(cost))
+        return float(cost[m]), tuple((moves[c][0], moves[c][2]) for c in chosen[m])
+
+
+def quotas(totals: np.ndarray, shares: tuple = SHARES) -> np.ndarray:
+    """(split, all and by label): the quotas in records."""
+    return np.array([[p] for _, p in shares]) * totals[None, :]
+
+
+def _profile(x: Column) -> Column:
+    """A size in quarter octaves: at most 250 over all bigints."""
+    return F.floor(F.log2(x.cast("double")) * 4).cast("int")
+
+
+def _dealt(rows: DataFrame, bundle: list[str], shares: list[list[float]], names: list[str]) -> DataFrame:
+    """``rows`` with split: of each bundle the whole part of its share for every split, by rank of the hash; null for those left over.
+
+    ``shares``: per stratum (the commonest label) and split. Bundles are counted and ranked without being gathered.
     """
-    labels = [f"l{k}" for k in range(1, LABELS + 1)]
-    names, parts = [s for s, _ in shares], [p for _, p in shares]
-    if bundles.empty:
-        return pd.DataFrame([], columns=["bundle", "split", "low", "high"])
-    records, strata = int(bundles["records"].sum()), sorted(bundles["stratum"].unique())
-    whole = lambda n: [int(n * p) for p in parts[1:]]
-    rest = lambda n: [n - sum(whole(n)), *whole(n)]
-    supply = [int(bundles.loc[bundles["stratum"] == s, "records"].sum()) for s in strata]
-    flow = dict(zip(strata, _flow(supply, [rest(n) for n in supply], rest(records))))
-    want = {s: [float(x) for x in f] for s, f in flow.items()}
-    over = [float(x) for x in rest(records)]
-    by_label = {c: [float(x) for x in rest(int(bundles[c].sum()))] for c in labels}
-    out = []
-    ordered = bundles.assign(mean=bundles["records"] / bundles["n"]).sort_values(["mean", "bundle"], ascending=[False, True])
-    for b in ordered.itertuples(index=False):
-        low, size, n = 0, b.records / b.n, int(b.n)
-        mix = {c: getattr(b, c) / b.records for c in labels}
-        counts = [0] * len(names)
-        left = n
-        # in a bundle of many, the flow's proportion first; then one by one to the split that is furthest below
-        room = [max(0.0, min(w, o)) for w, o in zip(want[b.stratum], over)]
-        if n > 8 and sum(room) > 0:
-            counts = [int(n * r / sum(room)) for r in room]
-            left = n - sum(counts)
-        for k, m in enumerate(counts):
-            want[b.stratum][k] -= m * size
-            over[k] -= m * size
-            for c in labels:
-                by_label[c][k] -= m * size * mix[c]
-        for _ in range(left):
-            need = [sum(mix[c] * by_label[c][k] / max(1.0, parts[k]) for c in labels) / parts[k] + over[k] / parts[k] for k in range(len(names))]
-            k = max(range(len(names)), key=lambda j: (need[j] if over[j] >= size / 2 else over[j] - size * 1e6, -j))
-            counts[k] += 1
-            want[b.stratum][k] -= size
-            over[k] -= size
-            for c in labels:
-                by_label[c][k] -= size * mix[c]
-        for name, m in zip(names, counts):
-            if m:
-                out.append((b.bundle, name, low + 1, low + m))
-                low += m
-    return pd.DataFrame(out, columns=["bundle", "split", "low", "high"])
+    sizes = rows.groupBy(*bundle).agg(F.count(F.lit(1)).alias("__n"))
+    ranked = bucketed_rank(rows, bundle, F.xxhash64(F.lit(11), "component"), ["component"]).join(sizes, bundle)
+    split, upto = F.lit(None).cast("string"), F.lit(0)
+    for k, name in enumerate(names):
+        share = F.element_at(F.array(*[F.lit(float(s[k])) for s in shares]), F.col("stratum"))
+        upto = upto + F.floor(F.col("__n") * share)
+        split = F.coalesce(split, F.when(F.col("rank") <= upto, name))
+    return ranked.withColumn("split", split).drop("rank", "__n")
+
+
+def allotted(components: DataFrame, work: Workspace, shares: tuple = SHARES) -> DataFrame:
+    """(component, split) of (component, l1..l6). The driver sees sums, the heavy components and those left over by the profiles: bounded numbers whatever the data."""
+    spark, names = components.sparkSession, [s for s, _ in shares]
+    size = sum((F.col(c) for c in _COUNTS), F.lit(0))
+    top = F.greatest(*_COUNTS)
+    stratum = F.coalesce(*[F.when(F.col(c) == top, F.lit(k)) for k, c in enumerate(_COUNTS, 1)])
+    rows = components.select("component", *_COUNTS, size.alias("size"), stratum.alias("stratum"))
+    columns = ["size", *_COUNTS]
+
+    def vectors(found: list) -> np.ndarray:
+        return np.array([[r[c] for c in columns] for r in found], float).reshape(len(found), len(columns))
+
+    totals = np.array([x or 0 for x in rows.agg(*[F.sum(c) for c in columns]).first()], float)
+    quota = quotas(totals, shares)
+    heavy = sorted(rows.where(F.col("size") > totals[0] * HEAVY).collect(), key=lambda r: r["component"])
+    units = vectors(heavy)
+    # heavy ones: what is over a quota can't be made good by light ones, what is below can
+    first = Network(quota, np.zeros_like(quota), over=1000.0)
+    at = first.improve(units, first.place(units))
+    left = np.maximum(quota - first.sums, 0.0)
+    whole = left[:, 0] / max(left[:, 0].sum(), 1e-300)
+    by_stratum = [(left[:, k] / left[:, k].sum() if left[:, k].sum() > 0 else whole).tolist() for k in range(1, LABELS + 1)]
+
+    light = rows.where(F.col("size") <= totals[0] * HEAVY)
+    exact = work.cut(_dealt(light, ["stratum", *_COUNTS], by_stratum, names), "dealt")
+    profile = F.concat_ws("_", _profile(F.col("size")), F.floor(F.greatest(*_COUNTS) * 8 / F.col("size")))
+    again = exact.where("split is null").drop("split").withColumn("profile", profile)
+    coarse = work.cut(_dealt(again, ["stratum", "profile"], by_stratum, names), "dealt-again")
+    done = exact.where("split is not null").select("component", "split", *columns).unionByName(coarse.where("split is not null").select("component", "split", *columns))
+    sums = {r["split"]: [r[c] for c in columns] for r in done.groupBy("split").agg(*[F.sum(c).alias(c) for c in columns]).collect()}
+    # at most len(shares) of each of 250 * 6 * 9 profiles
+    rest = sorted(coarse.where("split is null").collect(), key=lambda r: r["component"])
+    placed = np.array([sums.get(n, [0] * len(columns)) for n in names], float)
+    for k, u in zip(at, units):
+        placed[k] += u
+    last = Network(quota, placed)
+    more = vectors(rest)
+    ends = last.improve(np.concatenate([units, more]), np.concatenate([at, last.place(more)]).astype(int))
+    named = spark.createDataFrame([(r["component"], names[k]) for r, k in zip([*heavy, *rest], ends)], "component string, split string")
+    return done.select("component", "split").unionByName(named)
 
 
 def assigned(ties: Ties, shares: tuple = SHARES) -> DataFrame:
-    """(hub, split) of every hub, written to the shared folder. The driver sees only the bundles, whose number is bounded."""
-    spark, work = ties.rows.sparkSession, ties.work
-    rows, bundles = bundled(work.cut(ties.components(), "components"))
-    plan = allot(bundles.toPandas(), shares)
-    ranges = spark.createDataFrame(plan, "bundle string, split string, low bigint, high bigint")
-    ranked = bucketed_rank(rows.select("component", "bundle"), ["bundle"], F.xxhash64(F.lit(11), "component"), ["component"])
-    split_of = ranked.join(F.broadcast(ranges), "bundle").where(F.col("rank").between(F.col("low"), F.col("high"))).select("component", "split")
+    """(hub, split) of every hub, written to the shared folder."""
+    work = ties.work
+    split_of = allotted(work.cut(ties.components(), "components"), work, shares)
     named = ties.rows.select("hub").distinct().join(ties.hubs, "hub", "left").select("hub", F.coalesce("component", "hub").alias("component"))
     return work.cut(named.join(split_of, "component").select("hub", "split"), "assigned")
 

@@ -93,6 +93,8 @@ select i as image_id, min(j) as cluster_key from reach group by i having count(*
 select count(*) as n_records, count(*) as n_placed, 0::bigint as n_beyond from r""",
     "p5_found": _TIES + """
 select substr(a, 3) as capture_a, substr(b, 3) as capture_b from reach where a < b and b like 'c:%'""",
+    "p5_captures": _TIES + """
+select substr(a, 3) as capture_id, substr(min(b), 3) as class_id, count(*) as n_captures from reach where b like 'c:%' group by a having count(*) > 1""",
     "p2_sample": _DRAWN + """
 select request_id, image_id, label, source_label, priority from kept""",
     "p2_report": _DRAWN + """,
