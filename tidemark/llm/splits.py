@@ -1,8 +1,8 @@
 """Train, validation and test splits that keep related records together.
 
 Records are tied when they share an image, capture, group or parent key, or one is the parent of the other; ties carry on. The ties are first
-contracted: a record hangs on its *hub* (its capture, else its group, else its image or parent), and only hubs with something in common
-give edges, so the graph to be searched has about as many nodes as there are captures and groups, not records.
+contracted: a record hangs on its *hub* (its capture, else its group, else its image or parent), and only hubs with an image, parent or group in common
+give edges, so the graph to be searched has no more nodes than there are hubs that are tied to others.
 
 The components are allotted by a min-cost flow: bundles of components with the same size and labels are the supply, every split has a quota of records and one for each
 label, and a deviation from a quota costs its square over the quota. A component can't be divided, so a unit of the flow is a whole component:
@@ -63,18 +63,14 @@ class Ties:
         none = F.concat(F.lit("n:"), F.hex("apart"))
         self.rows = rows.withColumn("hub", F.coalesce(tag("c:", F.col("c")), tag("g:", F.col("g")), tag("i:", F.col("i")), tag("i:", F.col("p")), none))
         named = self.rows.where("not startswith(hub, 'n:')")
-        # which hubs does an image key touch, as image or as parent
-        touched = named.select("hub", F.explode(F.array_compact(F.array("i", "p"))).alias("image")).distinct()
-        # only the least hub of an image is needed, which combines before the shuffle: an image of any number of hubs is no task of its own
-        ends = touched.groupBy("image").agg(F.min("hub").alias("first"), F.max("hub").alias("last")).where("first < last").select("image", "first")
-        touched = touched.join(ends, "image").where("hub <> first").select(F.col("hub").alias("a"), F.col("first").alias("b"))
-        grouped = named.where("c is not null and g is not null").select(F.col("hub").alias("a"), tag("g:", F.col("g")).alias("b"))
-        # a parent that no hub but itself touches still ties a record without capture and group
-        loose = named.where("startswith(hub, 'i:') and i is not null and p is not null").select(F.col("hub").alias("a"), tag("i:", F.col("p")).alias("b"))
-        loose_hub = loose.select(F.col("b").alias("hub")).distinct()
-        through = named.where("p is not null or i is not null").select("hub", F.explode(F.array_compact(F.array("i", "p"))).alias("x")).select("hub", tag("i:", F.col("x")).alias("node"))
-        reached = through.join(loose_hub.withColumnRenamed("hub", "node"), "node", "left_semi").select(F.col("hub").alias("a"), F.col("node").alias("b"))
-        edges = touched.unionAll(grouped).unionAll(loose).unionAll(reached).distinct()
+        # what a record names besides its hub: its image, its parent, its group. Only a key that several hubs name ties anything. The hubs of a key are told apart by a 64-bit
+        # hash, of which the least and the largest combine before the shuffle, so a key of any number of records is no task of its own
+        names = F.array_compact(F.array(tag("i:", F.col("i")), tag("i:", F.col("p")), tag("g:", F.col("g"))))
+        touched = named.select("hub", F.explode(names).alias("key"))
+        ends = touched.groupBy("key").agg(F.min(F.xxhash64("hub")).alias("lo"), F.max(F.xxhash64("hub")).alias("hi")).where("lo < hi").select("key")
+        shared = work.cut(touched.join(ends, "key").distinct(), "shared")
+        first = shared.groupBy("key").agg(F.min("hub").alias("first"))
+        edges = shared.join(first, "key").where("hub <> first").select(F.col("hub").alias("a"), F.col("first").alias("b"))
         self.hubs = work.cut(connected_components(edges, work), "hubs").select(F.col("node").alias("hub"), "component")
 
     def capture_pairs(self) -> DataFrame:
