@@ -13,6 +13,9 @@ that arrived at or before t and wasn't withdrawn by t.
    carries on.
 4. ``referenced & ~present`` leaves the bits that need a look: keys without a parent, and keys whose parent arrives or leaves in that period.
    They are decoded through the dictionary and only their references are compared with the exact times.
+
+That a key has no parent at all is known from the join that makes the dictionary; the bitmaps settle all keys that are there through a period, nearly all references, without
+looking at one of them.
 """
 
 from __future__ import annotations
@@ -62,8 +65,8 @@ def _references(children: list[Child]) -> DataFrame:
         refs = [key(c.ref).alias(f"__r{i}") for i, c in enumerate(same)]
         rows = same[0].rows.select(key(own).alias("child"), F.col(at).alias("t"), *refs).where(F.col("child").isNotNull())
         cols = [f"__r{i}" for i in range(len(same))]
-        distinct = rows.groupBy("child", *cols).agg(F.min("t").alias("t"))
-        first = distinct.withColumn("t", F.min("t").over(Window.partitionBy("child")))
+        # the least time combines before the shuffle, so a child of any number of rows is no task of its own
+        first = rows.select("child", *cols).distinct().join(rows.groupBy("child").agg(F.min("t").alias("t")), "child")
         named = F.array(*[
             F.struct(F.lit(c.field).alias("ref_field"), F.lit(c.space).alias("space"), F.col(f"__r{i}").alias("ref")) for i, c in enumerate(same)
         ])
@@ -74,26 +77,18 @@ def _references(children: list[Child]) -> DataFrame:
     return out.where(F.col("ref").isNotNull()).withColumn("salt", F.pmod(F.xxhash64("child"), F.lit(SALTS)).cast("int"))
 
 
-def _merged(intervals: Column) -> Column:
-    """Sorted intervals {since, until} with those that touch or overlap joined; an open end is the largest time."""
-    kind = "array<struct<since:timestamp_ntz,until:timestamp_ntz>>"
-
-    def step(done: Column, x: Column) -> Column:
-        last = F.element_at(done, -1)
-        joins = (F.size(done) > 0) & (x["since"] <= F.try_element_at(done, F.lit(-1))["until"])
-        grown = F.concat(
-            F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))),
-            F.array(F.struct(last["since"].alias("since"), F.greatest(last["until"], x["until"]).alias("until"))),
-        )
-        return F.when(joins, grown).otherwise(F.concat(done, F.array(x)))
-
-    return F.aggregate(F.array_sort(intervals), F.array().cast(kind), step)
+def _islands(stays: DataFrame, *by: str) -> DataFrame:
+    """(by..., since, until): stays that touch or overlap joined, without gathering them: a new one begins where all before have ended."""
+    inside = Window.partitionBy(*by).orderBy("since", "until")
+    ended = F.max("until").over(inside.rowsBetween(Window.unboundedPreceding, -1))
+    begun = stays.withColumn("__new", F.when(ended >= F.col("since"), 0).otherwise(1))
+    return begun.withColumn("__island", F.sum("__new").over(inside)).groupBy(*by, "__island").agg(F.min("since").alias("since"), F.max("until").alias("until")).drop("__island")
 
 
-def _lifetimes(parents: list[Parent]) -> DataFrame:
-    """(space, key, always_since, spans): from always_since the key is there for good; spans: the withdrawn stays before that.
+def _lifetimes(parents: list[Parent]) -> tuple[DataFrame, DataFrame]:
+    """((space, key, always_since), (space, key, since, until)): from always_since the key is there for good; the withdrawn stays, disjoint.
 
-    The spans are joined in two steps, by key and salt and then by key, so that the rows of one key don't have to meet in one task as they are.
+    Stays are joined by key and day first and then by key, so that what meets in a task is the days' islands, not the rows of a key.
     """
     forever = F.lit("9999-12-31 00:00:00").cast("timestamp_ntz")
     rows = None
@@ -101,12 +96,9 @@ def _lifetimes(parents: list[Parent]) -> DataFrame:
         one = p.rows.select(F.lit(p.space).alias("space"), key(p.key).alias("key"), F.col(p.since).cast("timestamp_ntz").alias("since"), F.coalesce(F.col(p.until).cast("timestamp_ntz"), forever).alias("until"))
         rows = one if rows is None else rows.unionByName(one)
     rows = rows.where(F.col("key").isNotNull() & F.col("since").isNotNull() & (F.col("until") > F.col("since")))
-    closed = F.when(F.col("until") < forever, F.struct("since", "until"))
-    by_salt = rows.groupBy("space", "key", F.pmod(F.xxhash64("since", "until"), F.lit(4)).alias("s")).agg(
-        F.min(F.when(F.col("until") == forever, F.col("since"))).alias("always"), _merged(F.collect_set(closed)).alias("spans")
-    )
-    whole = by_salt.groupBy("space", "key").agg(F.min("always").alias("always_since"), _merged(F.flatten(F.collect_list("spans"))).alias("spans"))
-    return whole.withColumn("spans", F.filter("spans", lambda x: F.col("always_since").isNull() | (x["since"] < F.col("always_since"))))
+    always = rows.where(F.col("until") == forever).groupBy("space", "key").agg(F.min("since").alias("always_since"))
+    closed = rows.where(F.col("until") < forever).distinct().withColumn("day", F.col("since").cast("date"))
+    return always, _islands(_islands(closed, "space", "key", "day").drop("day"), "space", "key")
 
 
 def orphan_references(children: list[Child], parents: list[Parent], period: str = "day") -> DataFrame:
@@ -124,18 +116,19 @@ def orphan_references(children: list[Child], parents: list[Parent], period: str
     refs = work.cut(_references(children).withColumn("t", F.col("t").cast("timestamp_ntz")).withColumn("period", number(F.col("t"))), "references")
     cells = refs.groupBy("space", F.col("ref").alias("key"), "period").agg(F.count(F.lit(1)).alias("n"))
     named = cells.select("space", "key").distinct()
-    lives = named.join(_lifetimes(parents), ["space", "key"], "left")
-    dictionary = work.cut(lives.sort("space", "key").select(F.monotonically_increasing_id().alias("id"), "*"), "dictionary")
+    always, stays = _lifetimes(parents)
+    dictionary = work.cut(named.join(always, ["space", "key"], "left").sort("space", "key").select(F.monotonically_increasing_id().alias("id"), "*"), "dictionary")
+    named_stays = stays.join(dictionary.select("space", "key", "id", "always_since"), ["space", "key"]).where("always_since is null or since < always_since")
+    stays = work.cut(named_stays.select("id", "since", "until"), "stays")
 
     word, bit = F.shiftright("id", 6).alias("word"), F.expr("shiftleft(1L, cast(id % 64 as int))")
-    first, last = number(F.col("always_since")), F.lit(None).cast("int")
+    first = number(F.col("always_since"))
     referenced = (
         cells.join(dictionary.select("space", "key", "id"), ["space", "key"])
         .groupBy(word, "period").agg(F.bit_or(bit).alias("referenced"))
     )
     for_good = dictionary.where(F.col("always_since").isNotNull()).select(word, bit.alias("bit"), (first + 1).alias("period"))
-    stays = dictionary.where(F.size("spans") > 0).select(word, bit.alias("bit"), F.explode("spans").alias("x"))
-    whole = stays.select("word", "bit", (number(F.col("x.since")) + 1).alias("p"), number(F.col("x.until")).alias("q")).where("p < q")
+    whole = stays.select(word, bit.alias("bit"), (number(F.col("since")) + 1).alias("p"), number(F.col("until")).alias("q")).where("p < q")
     # a stay is two switches, on and off, however long it is: the stays of a key don't overlap
     whole = whole.select("word", F.explode(F.array("p", "q")).alias("period"), "bit")
     none = F.lit(0).cast("bigint")
@@ -151,12 +144,19 @@ def orphan_references(children: list[Child], parents: list[Parent], period: str
     ).where("left <> 0")
     bits = left.select("word", "period", F.explode(F.expr("filter(sequence(0, 63), i -> (shiftright(left, i) & 1) = 1)")).alias("i"))
     suspects = bits.select((F.shiftleft("word", 6) + F.col("i")).alias("id"), "period").join(dictionary, "id")
-
-    salted = suspects.select("space", F.col("key").alias("ref"), "period", "always_since", "spans", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    t, since, spans = F.col("t"), F.col("always_since"), F.coalesce("spans", F.array().cast("array<struct<since:timestamp_ntz,until:timestamp_ntz>>"))
-    holds = F.coalesce(since <= t, F.lit(False)) | F.coalesce(F.exists(spans, lambda x: (x["since"] <= t) & (t < x["until"])), F.lit(False))
-    before = F.exists(spans, lambda x: x["until"] <= t)
-    after = since.isNotNull() | F.exists(spans, lambda x: x["since"] > t)
+    # a stay matters in the periods in which it begins and ends: between the two the key is settled, outside it isn't there
+    touching = stays.select("id", "since", "until", F.explode(F.array_distinct(F.array(number(F.col("since")), number(F.col("until"))))).alias("period"))
+    spans = touching.groupBy("id", "period").agg(F.collect_list(F.struct("since", "until")).alias("spans"))
+    bounds = stays.groupBy("id").agg(F.min("until").alias("first_until"), F.max("since").alias("last_since"))
+    suspects = suspects.join(spans, ["id", "period"], "left").join(bounds, "id", "left")
+
+    salted = suspects.select(
+        "space", F.col("key").alias("ref"), "period", "always_since", "first_until", "last_since", "spans", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    )
+    t, since = F.col("t"), F.col("always_since")
+    holds = F.coalesce(since <= t, F.lit(False)) | F.coalesce(F.exists("spans", lambda x: (x["since"] <= t) & (t < x["until"])), F.lit(False))
+    before = F.coalesce(F.col("first_until") <= t, F.lit(False))
+    after = since.isNotNull() | F.coalesce(F.col("last_since") > t, F.lit(False))
     timed = refs.where(t.isNotNull()).join(salted, ["space", "ref", "period", "salt"]).where(~holds).select(
         "child_table", "ref_field", F.col("child").alias("image_id"), "ref", "t",
         F.when(before, "withdrawn").when(after, "later").otherwise("missing").alias("why"),
