@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.derive import LABELS
 from tidemark.operators.agreement import kappas
+from tidemark.operators.ranking import running
 
 SEVERE = (4, 5)
 
@@ -74,14 +75,14 @@ def _steps(scored: DataFrame, by: list[str], truth: str, score: str) -> DataFram
     """Per distinct score: positives and all, with the running sums from the highest score down."""
     known = scored.where(F.col(truth).isNotNull() & F.col(score).isNotNull() & ~F.isnan(score))
     counted = known.groupBy(*by, F.col(score).alias("s")).agg(F.sum(F.col(truth).cast("bigint")).alias("pos"), F.count(F.lit(1)).alias("all"))
-    down = Window.partitionBy(*by).orderBy(F.desc("s")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return counted.withColumn("tp", F.sum("pos").over(down)).withColumn("seen", F.sum("all").over(down))
+    steps = running(counted, by, "s", ["pos", "all"], descending=True)
+    return steps.withColumn("tp", F.col("pos_before") + F.col("pos")).withColumn("seen", F.col("all_before") + F.col("all"))
 
 
 def auroc(scored: DataFrame, *by: str, truth: str, score: str) -> DataFrame:
     """(by..., auroc): the share of (positive, negative) pairs in which the positive scores higher, ties half; NaN with one class only.
 
-    Exact, from counts per distinct score; the window runs over distinct scores.
+    Exact, from counts per distinct score, added up by ranges of scores.
     """
     steps = _steps(scored, list(by), truth, score)
     neg, neg_seen = F.col("all") - F.col("pos"), F.col("seen") - F.col("tp")

@@ -3,25 +3,24 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.ranking import running
 from tidemark.operators.summary import covariance, standardized
 
 
 def wasserstein(values: DataFrame, *by: str, group: str, left: str, right: str, value: str = "value") -> DataFrame:
     """(by..., distance): the area between the two empirical distribution functions; groups that lack a side have no row.
 
-    Counts per distinct value with map-side combining; the window runs over the distinct values of a group.
+    Counts per distinct value with map-side combining, running sums by ranges of values.
     """
     rows = values.where(F.col(group).isin(left, right) & F.col(value).isNotNull() & ~F.isnan(value))
     counted = rows.groupBy(*by, F.col(value).alias("v")).agg(F.count_if(F.col(group) == left).alias("a"), F.count_if(F.col(group) == right).alias("b"))
-    whole = Window.partitionBy(*by)
-    upto = whole.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    total = {k: F.sum(k).over(whole) for k in "ab"}
-    steps = counted.select(*by, (F.lead("v").over(whole.orderBy("v")) - F.col("v")).alias("dx"), *[F.sum(k).over(upto).alias(f"c{k}") for k in "ab"], *[total[k].alias(f"t{k}") for k in "ab"])
-    area = F.sum(F.coalesce(F.abs(F.col("ca") / F.col("ta") - F.col("cb") / F.col("tb")) * F.col("dx"), F.lit(0.0)))
-    return steps.where("ta > 0 and tb > 0").groupBy(*by).agg(area.alias("distance")).where("distance is not null")
+    steps = running(counted, list(by), "v", ["a", "b"]).where("a_total > 0 and b_total > 0")
+    upto = {k: (F.col(f"{k}_before") + F.col(k)) / F.col(f"{k}_total") for k in "ab"}
+    area = F.sum(F.coalesce(F.abs(upto["a"] - upto["b"]) * (F.col("__next") - F.col("v")), F.lit(0.0)))
+    return steps.groupBy(*by).agg(area.alias("distance")).where("distance is not null")
 
 
 def components(df: DataFrame, columns: list[str], k: int = 2) -> tuple[DataFrame, DataFrame]:

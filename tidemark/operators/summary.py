@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.derive import as_number
 from tidemark.functions.keys import finite
-from tidemark.operators.ranking import bucketed_rank
+from tidemark.operators.ranking import _same, bucketed_rank, percentiles, running
 
 
 def long(df: DataFrame, columns: list[str], *keep: str) -> DataFrame:
@@ -21,9 +21,9 @@ def long(df: DataFrame, columns: list[str], *keep: str) -> DataFrame:
 def described(values: DataFrame, *by: str) -> DataFrame:
     """Per group: n, mean, population std, min, exact median, max. A field without values has no row."""
     v = F.col("value")
-    return values.groupBy(*by).agg(
-        F.count(v).alias("n"), F.avg(v).alias("mean"), F.stddev_pop(v).alias("std"), F.min(v).alias("min"), F.percentile(v, F.lit(0.5)).alias("median"), F.max(v).alias("max")
-    )
+    one = values.groupBy(*by).agg(F.count(v).alias("n"), F.avg(v).alias("mean"), F.stddev_pop(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max"))
+    middle = percentiles(values, list(by), "value", {"median": 0.5}).drop("n")
+    return _same(one, middle, list(by), "left").select(*by, "n", "mean", "std", "min", "median", "max")
 
 
 def side_by_side(values: DataFrame, group: str, left: str, right: str) -> DataFrame:
@@ -65,16 +65,14 @@ def weighted_draw(df: DataFrame, id: str, label: str, draws: int, seed: int = 42
     return places.join(ranked, [label, "place"]).select("draw", id)
 
 
-def ecdf(values: DataFrame, *by: str, value: str = "value", tie: str | None = None) -> DataFrame:
+def ecdf(values: DataFrame, *by: str, value: str = "value") -> DataFrame:
     """(by..., value, y): each value with its rank over n, equal values on steps of their own.
 
-    Ranks are cut by value range first (distinct values with counts), so only the distinct values of a group meet in a window, and ties are expanded afterwards.
+    Counted per distinct value, and ranked by ranges of values; ties are expanded afterwards.
     """
-    counted = values.groupBy(*by, value).agg(F.count(F.lit(1)).alias("__c"))
-    group = Window.partitionBy(*by)
-    below = F.coalesce(F.sum("__c").over(group.orderBy(value).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    stepped = counted.withColumn("__below", below).withColumn("__n", F.sum("__c").over(group))
-    return stepped.select(*by, value, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__c"))).alias("__i"), "__below", "__n").select(*by, value, ((F.col("__below") + F.col("__i")) / F.col("__n")).alias("y"))
+    counted = values.groupBy(*by, value).agg(F.count(F.lit(1)).alias("c"))
+    stepped = running(counted, list(by), value, ["c"])
+    return stepped.select(*by, value, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("c"))).alias("__i"), "c_before", "c_total").select(*by, value, ((F.col("c_before") + F.col("__i")) / F.col("c_total")).alias("y"))
 
 
 def histogram(values: DataFrame, *by: str, bins: int = 40, value: str = "value") -> DataFrame:
