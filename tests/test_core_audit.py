@@ -67,8 +67,54 @@ def test_near_duplicates_equal_cross_join(spark, blocks):
 def test_exact_duplicates(spark):
     df = spark.createDataFrame([(3, "a"), (1, "a"), (2, "b"), (4, None), (5, None)], "id int, d string")
     assert rows(duplicates.exact_duplicates(df, "id", "d")) == {(3, 1, 2), (1, 1, 2)}
-    assert rows(duplicates.duplicate_report(df, "id", "d", "id")) == {("a", 2, "1|3")}
-    assert duplicates.duplicate_report(df.where("id = 2"), "id", "d", "id").count() == 0
+    assert rows(duplicates.duplicate_report(df, "id", "d", "id")) == {("duplicate", "a", 2, 0, "1|3", None)}
+    assert rows(duplicates.duplicate_report(df.where("id = 2"), "id", "d", "id")) == {("ok", None, 0, 0, None, "no equal contents")}
+
+
+def test_duplicate_report_lists_every_id_and_every_error(spark):
+    df = spark.createDataFrame([(i, "a" if i % 3 else f"u{i}", None) for i in range(3000)] + [(9000, None, "unreadable")], "id int, d string, e string")
+    out = duplicates.duplicate_report(df, "id", "d", "id", "e", per_row=700).collect()
+    parts = sorted((r["part"], r["image_ids"].split("|"), r["n_images"]) for r in out if r["status"] == "duplicate")
+    assert [int(x) for _, ids, _ in parts for x in ids] == [i for i in range(3000) if i % 3] and [len(ids) for _, ids, _ in parts] == [700, 700, 600]
+    assert {n for _, _, n in parts} == {2000} and [(r["image_ids"], r["details"]) for r in out if r["status"] == "error"] == [("9000", "unreadable")]
+
+
+def test_assets_are_mapped_enriched_and_checked(spark):
+    from tidemark.operators.integrity import CheckFailed, asset_map, enriched_assets, enrichment_faults, selected_rows
+
+    names = "asset_id string, asset_filename string, release_relative_path string, asset_split string, description string, preparation_category string, width int, height int, mode string, sha256 string"
+    made = lambda i, s: (i, f"{i}.png", None, s, "old", None, 1, 1, "RGBA", None)
+    assets = spark.createDataFrame([made("a_1", "train"), made("a_2", "val"), made("a_3", "val")], names)
+    told = spark.createDataFrame([("a_1", "mud", "train"), ("a_2", "film", "test")], "asset_id string, description string, asset_split string")
+    assert rows(enrichment_faults(assets, told)) == {("a_2", "other_split"), ("a_3", "no_description")}
+    with pytest.raises(CheckFailed, match="a_2: other_split; a_3: no_description"):
+        enriched_assets(assets, told, strict=True)
+    assert [(r["asset_id"], r["description"]) for r in enriched_assets(assets.where("asset_id = 'a_1'"), told, strict=True).collect()] == [("a_1", "mud")]
+    seen = spark.createDataFrame([("s1", "a_1"), ("s2", "gone"), ("s3", None)], "image_id string, asset_id string")
+    assert rows(asset_map(seen, assets).select("image_id", "asset_pool")) == {("s1", "train"), ("s2", None), ("s3", None)}
+    images = spark.createDataFrame([("i1", "real", 3), ("i2", "real", 3), ("i3", "real", 4), ("i4", "synthetic", 3)], "image_id string, origin string, label int")
+    assert [(r["place"], r["image_id"]) for r in selected_rows(images, ["i2", "i1"], "real", 3).collect()] == [(1, "i2"), (2, "i1")]
+    for ids, error in ((["i1", "x"], KeyError), (["i1", "i4"], ValueError), (["i1", "i3"], ValueError)):
+        with pytest.raises(error):
+            selected_rows(images, ids, "real", 3)
+
+
+def test_work_needs_a_shared_folder_on_a_cluster():
+    from types import SimpleNamespace
+
+    from tidemark.sources import workspace
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    for master, fine in (("local[4]", True), ("local", True), ("local-cluster[3,2,1024]", False), ("spark://host:7077", False), ("yarn", False)):
+        spark = SimpleNamespace(conf=Conf(), sparkContext=SimpleNamespace(master=master, applicationId=master, getConf=Conf))
+        if fine:
+            assert workspace.shared_folder(spark).startswith("file://")
+        else:
+            with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+                workspace.shared_folder(spark)
 
 
 def votes(spark, data):
@@ -173,7 +219,7 @@ def test_best_epoch_needs_a_strictly_better_value(spark):
 def test_near_duplicate_queries_take_all_bits(spark, tmp_path):
     """Close, equal and distant embeddings, against all pairs of their 64-bit hashes, which the lowest 24 bits get wrong."""
     from tests.compare import connect, same
-    from tidemark.plans import registry
+    from tidemark.plans import integrity_queries, registry
 
     rng, data = random.Random(12), []
     for k in range(25):
@@ -184,13 +230,14 @@ def test_near_duplicate_queries_take_all_bits(spark, tmp_path):
     spark.createDataFrame(data, "vec_id bigint, embedding array<float>, label int").coalesce(1).write.parquet(str(tmp_path / "made"))
     next((tmp_path / "made").glob("*.parquet")).rename(tmp_path / "embeddings.parquet")
     q, sql, folder = registry.queries(), registry.oracle_sql(), str(tmp_path)
-    hashes = sorted({r["hash"] for r in q["i08_sign_hash"](spark, folder).collect()})
+    hashes = sorted({r["hash"] for r in integrity_queries._near_hashes(spark, folder).collect()})
     apart = {(a, b): bin((a ^ b) & ((1 << 64) - 1)).count("1") for a, b in itertools.combinations(hashes, 2)}
     want = {(a, b, n) for (a, b), n in apart.items() if n <= 4}
-    assert len(want) >= 20 and rows(q["j12_near_duplicates_whole"](spark, folder)) == want
+    assert len(want) >= 20 and rows(q["j12_near_duplicates"](spark, folder)) == want
     assert len({(a & 0xFFFFFF, b & 0xFFFFFF) for a, b in apart if bin((a ^ b) & 0xFFFFFF).count("1") <= 4}) > len(want)
     base = connect(folder)
-    for name in ("j12_near_duplicates_whole", "j12_near_duplicate_rows_whole", "j12_between_splits_whole"):
+    for name in ("j12_near_duplicates", "j12_near_duplicate_rows", "j12_between_splits", "j12_split_pairs"):
+        assert q[name](spark, folder).count() > 0
         same(spark, base, folder, q[name], sql[name])
 
 
@@ -278,9 +325,9 @@ def test_large_and_lone_statistics_stay(spark):
     stats = spark.createDataFrame([(*d[:1], 1, "real", *d[1:]) for d in data], "image_id string, measured_at int, group_name string, " + ", ".join(f"{m} double" for m in integrity_queries.METRICS))
     edges = spark.createDataFrame([("c", "p"), ("d", "p")], "image_id string, parent_image_id string")
     r = SimpleNamespace(stats=stats, synthetic=edges)
-    deltas = {x["image_id"]: [x[f"delta_{m}"] for m in integrity_queries.METRICS] for x in integrity_queries._deltas_whole(r).collect()}
+    deltas = {x["image_id"]: [x[f"delta_{m}"] for m in integrity_queries.METRICS] for x in integrity_queries._deltas(r).collect()}
     assert deltas == {"c": [3e9 - 1, None, 1.0, None, 0.5], "d": [None, 2e4, 3.0, 1.0, -0.5]}
-    z = {x["image_id"]: list(x)[2:] for x in composition_queries._standardized_whole(r).collect()}
+    z = {x["image_id"]: list(x)[2:] for x in composition_queries._standardized(r).collect()}
     assert [[v is None for v in z[i]] for i in "pcd"] == [[False] * 5, [False, True, False, True, False], [True] + [False] * 4]
     assert composition_queries._all_values(r).where("abs(value) > 1e4").count() == 3
     assert spark.sql("select 5e4D as laplacian_var, 1D as tenengrad, 1D as rms_contrast, 1D as entropy, 1D as brightness_mean").where(composition_queries._FINITE).count() == 1
@@ -289,7 +336,7 @@ def test_large_and_lone_statistics_stay(spark):
 def test_ecdf_query_draws_the_four_metrics(spark):
     from tidemark.plans import registry
 
-    got = {r["field"] for r in registry.queries()["o05_ecdf_whole"](spark, "/root/testdata/sf0.001").select("field").distinct().collect()}
+    got = {r["field"] for r in registry.queries()["o05_ecdf"](spark, "/root/testdata/sf0.001").select("field").distinct().collect()}
     assert got == {"laplacian_var", "tenengrad", "rms_contrast", "entropy"}
 
 

@@ -15,6 +15,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("queries", nargs="*")
     p.add_argument("--data")
     p.add_argument("--out")
+    p.add_argument("--shared", help="a folder that the driver and all executors share (spark.checkpoint.dir), needed on a cluster unless its settings name one")
     p.add_argument("--csv", action="store_true")
     p.add_argument("--list", action="store_true")
     a = p.parse_args(argv)
@@ -28,7 +29,8 @@ def main(argv: list[str] | None = None) -> int:
         p.error(f"unknown: {', '.join(unknown)}")
     from pyspark.sql import SparkSession
 
-    spark = SparkSession.builder.config("spark.sql.session.timeZone", "UTC").getOrCreate()
+    builder = SparkSession.builder.config("spark.sql.session.timeZone", "UTC")
+    spark = (builder.config("spark.checkpoint.dir", a.shared) if a.shared else builder).getOrCreate()
     for name in a.queries or known:
         start = time.time()
         out = known[name](spark, a.data)

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 LABELS = (1, 2, 3, 4, 5)
 BLOCK_SECONDS = 600
 #: Fixed value: the shape of an original file name.
-FILE_NAME = r"(?i)^(\d{8})_(cambot\d+)_(\d{8})_(090001|160001)_(cambot\d+)_(\d{8})_(090001|160001)_sec(\d+)\.(jpg|jpeg|png)$"
+FILE_NAME_SQL = r"^(\d{8})_(cambot\d+)_(\d{8})_(090001|160001)_(cambot\d+)_(\d{8})_(090001|160001)_sec(\d+)\.(jpg|jpeg|png)$"
+FILE_NAME = "(?i)" + FILE_NAME_SQL
 #: Upper bounds (exclusive) of the mean blockage for a boost of 0, 1, 2, 3; 4 beyond.
 BOOST_BELOW = (0.02, 0.08, 0.15, 0.25)
 
@@ -70,7 +71,7 @@ def relative_path(path: Column, root: str) -> Column:
     """The path below ``root`` with forward slashes; a path outside stays as it is."""
     slashed = F.replace(path, F.lit("\\"), F.lit("/"))
     top = root.rstrip("/") + "/"
-    return F.when(F.startswith(slashed, F.lit(top)), F.substring(slashed, len(top) + 1, 1_000_000)).otherwise(slashed)
+    return F.when(F.startswith(slashed, F.lit(top)), F.substring(slashed, F.lit(len(top) + 1), F.length(slashed))).otherwise(slashed)
 
 
 def absolute_path(columns: list[str], root: str) -> Column:

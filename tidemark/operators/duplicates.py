@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from itertools import combinations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.ranking import range_rank
+
 
 def exact_duplicates(df: DataFrame, id: str, digest: str) -> DataFrame:
     """(id, class_id, n): rows whose digest comes more than once, with the smallest id of the digest and the number of rows; null digests are no content.
@@ -17,16 +19,25 @@ def exact_duplicates(df: DataFrame, id: str, digest: str) -> DataFrame:
     return df.join(classes, F.col(digest) == F.col("__d")).select(id, "class_id", "n")
 
 
-def duplicate_report(df: DataFrame, id: str, digest: str, pos: str, most: int = 20) -> DataFrame:
-    """(digest, n_images, image_ids): groups of equal digest with the ids joined by ``|`` in order of ``pos``, the first ``most`` of them.
+def duplicate_report(df: DataFrame, id: str, digest: str, pos: str, error: str | None = None, per_row: int = 1000) -> DataFrame:
+    """(status, digest, n_images, part, image_ids, details): groups of equal digest with all their ids joined by ``|`` in order of the number ``pos``.
 
-    The list is a report and holds ``most`` ids at most; membership is :func:`exact_duplicates`.
+    A group of more than ``per_row`` ids comes in several rows, part 0, 1, ..., so that no cell grows with the data; together they hold every id. status: ``duplicate``; ``error`` for
+    rows whose ``error`` says why they have no digest, with their id; one row ``ok`` if no digest comes twice. Rows with neither digest nor error don't come out.
     """
+    none = F.lit(None).cast("string")
     rows = df.where(F.col(digest).isNotNull()).select(F.col(digest).alias("digest"), F.col(id).alias("id"), F.col(pos).alias("pos"))
     sizes = rows.groupBy("digest").agg(F.count(F.lit(1)).alias("n_images")).where("n_images > 1")
-    placed = rows.withColumn("place", F.row_number().over(Window.partitionBy("digest").orderBy("pos", "id"))).where(F.col("place") <= most)
-    lists = placed.join(sizes, "digest").groupBy("digest", "n_images").agg(F.array_sort(F.collect_list(F.struct("place", "id"))).alias("l"))
-    return lists.select("digest", "n_images", F.array_join(F.transform("l", lambda x: x["id"].cast("string")), "|").alias("image_ids"))
+    placed = range_rank(rows.join(sizes, "digest"), ["digest"], "pos", ["id"])
+    lists = placed.groupBy("digest", "n_images", F.floor((F.col("rank") - 1) / per_row).cast("int").alias("part")).agg(F.array_sort(F.collect_list(F.struct("rank", "id"))).alias("l"))
+    found = lists.select(F.lit("duplicate").alias("status"), "digest", "n_images", "part", F.array_join(F.transform("l", lambda x: x["id"].cast("string")), "|").alias("image_ids"), none.alias("details"))
+    n = sizes.agg(F.count(F.lit(1)).alias("n"))
+    fine = n.where("n = 0").select(F.lit("ok").alias("status"), none.alias("digest"), F.lit(0).cast("bigint").alias("n_images"), F.lit(0).alias("part"), none.alias("image_ids"), F.lit("no equal contents").alias("details"))
+    out = found.unionAll(fine)
+    if error is None:
+        return out
+    bad = df.where(F.col(error).isNotNull())
+    return out.unionAll(bad.select(F.lit("error").alias("status"), none.alias("digest"), F.lit(1).cast("bigint").alias("n_images"), F.lit(0).alias("part"), F.col(id).cast("string").alias("image_ids"), F.col(error).alias("details")))
 
 
 def near_duplicates(hashes: DataFrame, bits: str = "hash", distance: int = 4, width: int = 64, blocks: int | None = None) -> DataFrame:
@@ -68,3 +79,18 @@ def between_splits(hashes: DataFrame, split: str = "split", bits: str = "hash",
     both = pairs.unionAll(same).join(where.select(F.col("h").alias("hash_a"), F.col("s").alias("x")), "hash_a").join(where.select(F.col("h").alias("hash_b"), F.col("s").alias("y")), "hash_b")
     kept = both.where((F.col("x") != F.col("y")) & ((F.col("hash_a") != F.col("hash_b")) | (F.col("x") < F.col("y"))))
     return kept.select("hash_a", "hash_b", F.least("x", "y").alias("left_split"), F.greatest("x", "y").alias("right_split")).distinct().groupBy("left_split", "right_split").agg(F.count(F.lit(1)).alias("n_links"))
+
+
+def split_pairs(hashes: DataFrame, id: str = "id", split: str = "split", bits: str = "hash", distance: int = 4, order: tuple[str, ...] = ("train", "val", "test")) -> DataFrame:
+    """(left_split, right_split, left_image, right_image, n_left, n_right, distance): near duplicates between two splits, the earlier of ``order`` on the left.
+
+    One row per pair of classes of equal hashes: the smallest image of each in its split, and how many images it stands for there; classes of equal hash are at distance 0.
+    """
+    classes = hashes.where(F.col(bits).isNotNull() & F.col(split).isin(*order)).groupBy(F.col(bits).alias("h"), F.col(split).alias("s")).agg(F.min(id).alias("image"), F.count(F.lit(1)).alias("n"))
+    pairs = near_duplicates(hashes, bits, distance)
+    same = hashes.where(F.col(bits).isNotNull()).select(F.col(bits).alias("hash_a"), F.col(bits).alias("hash_b"), F.lit(0).alias("distance")).distinct()
+    both = pairs.unionAll(pairs.select(F.col("hash_b").alias("hash_a"), F.col("hash_a").alias("hash_b"), "distance")).unionAll(same)
+    left = classes.select(F.col("h").alias("hash_a"), F.col("s").alias("left_split"), F.col("image").alias("left_image"), F.col("n").alias("n_left"))
+    right = classes.select(F.col("h").alias("hash_b"), F.col("s").alias("right_split"), F.col("image").alias("right_image"), F.col("n").alias("n_right"))
+    place = lambda c: F.array_position(F.array(*[F.lit(x) for x in order]), F.col(c))
+    return both.join(left, "hash_a").join(right, "hash_b").where(place("left_split") < place("right_split")).select("left_split", "right_split", "left_image", "right_image", "n_left", "n_right", "distance")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.derive import id_text
+from tidemark.sources.release import six_views
 
 SPLIT_PAIRS = (("train", "val"), ("train", "test"), ("val", "test"))
 FIELDS = ("image_id", "group_id", "capture_id")
@@ -82,6 +83,65 @@ def asset_lookup(synthetic: DataFrame, assets: DataFrame) -> DataFrame:
     return counted.groupBy(verdict.alias("verdict")).agg(F.sum("n").alias("n"))
 
 
+def asset_map(rows: DataFrame, assets: DataFrame) -> DataFrame:
+    """``rows`` with asset_pool: the split of their asset, null where the asset is null or unknown. A repeated asset counts with its smallest pool; every row stays."""
+    pools = assets.where(F.col("asset_id").isNotNull()).groupBy(F.col("asset_id").alias("__a")).agg(F.min("asset_split").alias("asset_pool"))
+    return rows.join(pools, F.col("asset_id") == F.col("__a"), "left").drop("__a")
+
+
+def enrichment_faults(assets: DataFrame, descriptions: DataFrame) -> DataFrame:
+    """(asset_id, fault): assets without a description (``no_description``), or with a row whose pool isn't that of their description (``other_split``)."""
+    own = assets.where(F.col("asset_id").isNotNull()).groupBy("asset_id").agg(F.min("asset_split").alias("lo"), F.max("asset_split").alias("hi"))
+    both = own.join(descriptions.select("asset_id", F.col("asset_split").alias("said"), F.lit(True).alias("there")), "asset_id", "left")
+    agrees = F.col("lo").eqNullSafe(F.col("said")) & F.col("hi").eqNullSafe(F.col("said"))
+    fault = F.when(F.col("there").isNull(), "no_description").when(~agrees, "other_split")
+    return both.select("asset_id", fault.alias("fault")).where("fault is not null")
+
+
+def enriched_assets(assets: DataFrame, descriptions: DataFrame, strict: bool = False) -> DataFrame:
+    """The manifest with each asset's description from ``descriptions``, in the public order of columns. ``strict``: any fault is ``CheckFailed`` (assets are some dozens of rows)."""
+    if strict and (bad := enrichment_faults(assets, descriptions).orderBy("asset_id").collect()):
+        raise CheckFailed("; ".join(f"{r['asset_id']}: {r['fault']}" for r in bad))
+    told = descriptions.select("asset_id", F.col("description").alias("__d"))
+    columns = ("asset_id", "asset_filename", "release_relative_path", "asset_split", "description", "preparation_category", "width", "height", "mode", "sha256")
+    return assets.drop("description").join(told, "asset_id").withColumnRenamed("__d", "description").select(*columns)
+
+
+def selected_rows(images: DataFrame, ids: list[str], origin: str, label: int) -> DataFrame:
+    """The rows of ``ids`` in the order asked for (place from 1). An id that isn't there is ``KeyError``; one of another origin or label is ``ValueError``.
+
+    ``ids``: a list of configuration; only its rows come to the driver, to be looked at. A repeated image counts with its smallest label and origin.
+    """
+    spark = images.sparkSession
+    asked = spark.createDataFrame([(k, i) for k, i in enumerate(ids, 1)], "place int, image_id string")
+    rows = images.join(asked.select("image_id").distinct(), "image_id", "left_semi")
+    found = {r["image_id"]: r for r in rows.groupBy("image_id").agg(F.min("origin").alias("origin"), F.min("label").alias("label")).collect()}
+    if missing := [i for i in ids if i not in found]:
+        raise KeyError(f"not there: {missing}")
+    if wrong := [i for i in ids if found[i]["origin"] != origin]:
+        raise ValueError(f"not of origin {origin}: {wrong}")
+    if wrong := [i for i in ids if found[i]["label"] != label]:
+        raise ValueError(f"not of label {label}: {wrong}")
+    one = rows.withColumn("__k", F.row_number().over(Window.partitionBy("image_id").orderBy(F.xxhash64(*rows.columns)))).where("__k = 1").drop("__k")
+    return asked.join(one, "image_id").orderBy("place")
+
+
+def repeated_in_views(views: DataFrame) -> DataFrame:
+    """(view, n_repeated): ids that come more than once within a view; a view without any has 0."""
+    counted = views.where(F.col("image_id").isNotNull()).groupBy("view", "image_id").agg(F.count(F.lit(1)).alias("n"))
+    return counted.groupBy("view").agg(F.count_if(F.col("n") > 1).alias("n_repeated"))
+
+
+def view_partition(images: DataFrame) -> DataFrame:
+    """(origin, in_no_part, in_several_parts, not_in_whole): whether the three splits divide the real images, and those with synthetic ones the synthetic images."""
+    views = six_views(images)
+    each = []
+    for origin, variant in (("real", "real_only"), ("synthetic", "real_plus_synthetic")):
+        parts = views.where((F.col("origin") == origin) & F.endswith("view", F.lit(variant)))
+        each.append(partition_faults(images.where(F.col("origin") == origin), parts, "image_id", "view").select(F.lit(origin).alias("origin"), "*"))
+    return reduce(DataFrame.unionByName, each)
+
+
 def several_splits(df: DataFrame, key: str, split: str = "split", first: int | None = None) -> DataFrame:
     """(key, n_splits): keys that lie in more than one split."""
     found = df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("key")).agg(F.countDistinct(split).alias("n_splits")).where("n_splits > 1")

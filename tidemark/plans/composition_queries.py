@@ -8,27 +8,22 @@ from tidemark.functions import derive, quotas
 from tidemark.functions.keys import finite
 from tidemark.operators import composition as comp
 from tidemark.operators import summary
-from tidemark.plans.views import LABELS_SQL, VIEWS, over_release, r6
+from tidemark.operators.ranking import percentiles
+from tidemark.plans.views import LABELS_SQL, VIEWS, over_release, over_values, r6, r9
 from tidemark.sources import release
 from tidemark.sources.release import SETTINGS
 from tidemark.sources.tables import table
 
 PARAMETERS = ["rotation_deg", "coverage_scale", "blur_scale_factor", "opacity", "avg_blockage", "label_boost"]
 METRICS = ["laplacian_var", "tenengrad", "rms_contrast", "entropy", "brightness_mean"]
-#: The bound of the queries whose SQL has it; the ``_whole`` ones take all finite values.
-SANE = 1e4
 _FINITE = " and ".join(f"isnotnull({m}) and not isnan({m}) and abs({m}) < double('infinity')" for m in METRICS)
 
 
-def _stat_values(r):
-    return summary.long(r.stats, METRICS, "group_name", "image_id").where(F.abs("value") < SANE)
-
-
 def _all_values(r):
     return summary.long(r.stats, METRICS, "group_name", "image_id")
 
 
-def _standardized_whole(r):
+def _standardized(r):
     """Each metric by its own finite values: an image that lacks one keeps the other four."""
     known = r.stats.select("image_id", "measured_at", *[F.when(finite(F.col(m)), F.col(m)).alias(m) for m in METRICS])
     return summary.standardized(known, METRICS).select("image_id", "measured_at", *[F.when(F.col(m).isNotNull(), F.col(f"z_{m}")).alias(f"z_{m}") for m in METRICS])
@@ -104,11 +99,9 @@ QUERIES = {
     "a06_source_target": over_release(lambda r: comp.sparse_counts(r.synthetic, "source_label", "label")),
     "a07_day_session": over_release(lambda r: comp.day_sessions(r.real, ["cambot24__morning", "cambot24__evening", "cambot25__morning", "cambot25__evening"])),
     "a09_parameter_summary": over_release(lambda r: summary.described(summary.long(r.synthetic, PARAMETERS), "field")),
-    "a10_group_metric_summary": over_release(lambda r: summary.side_by_side(_stat_values(r).withColumnRenamed("metric", "field"), "group_name", "real", "synthetic")),
-    "a10_group_metric_summary_whole": over_release(lambda r: summary.side_by_side(_all_values(r), "group_name", "real", "synthetic")),
+    "a10_group_metric_summary": over_values(lambda r: summary.side_by_side(_all_values(r), "group_name", "real", "synthetic")),
     "a20_setting_manifest": lambda spark, folder: comp.setting_manifest(release.Release.load(spark, folder).images, _settings(spark)),
-    "a22_standardize": over_release(lambda r: summary.standardized(r.stats.where(" and ".join(f"isnotnull({m}) and not isnan({m}) and abs({m}) < {SANE}" for m in METRICS)).select("image_id", "measured_at", *METRICS), METRICS).select("image_id", "measured_at", *[f"z_{m}" for m in METRICS])),
-    "a22_standardize_whole": over_release(_standardized_whole),
+    "a22_standardize": over_values(_standardized),
     "a23_sampling_weights": over_release(lambda r: summary.sampling_weights(r.master, "label")),
     "a24_class_weights": over_release(lambda r: summary.class_weights(r.master, "label")),
     "a23_weighted_draw": over_release(_drawn),
@@ -122,20 +115,16 @@ QUERIES = {
     "f10_source_priority": _priority,
     "f12_attempt_seed": over_release(lambda r: r.synthetic.groupBy("generator_version").agg(F.min(derive.attempt_seed(F.col("synthetic_seed") % 1_000_000)).alias("least"), F.max(derive.attempt_seed(F.col("synthetic_seed") % 1_000_000)).alias("most"))),
     "o04_seeded_sample": over_release(lambda r: summary.seeded_sample(r.real.withColumn("l", F.col("label").cast("string")), "l", "image_id")),
-    "o05_ecdf": over_release(lambda r: summary.ecdf(_stat_values(r).where("field = 'entropy'").select("group_name", "value"), "group_name")),
-    "o05_ecdf_whole": over_release(lambda r: summary.ecdf(_all_values(r).where("field <> 'brightness_mean'").select("group_name", "field", "value"), "group_name", "field")),
-    "o06_histogram": over_release(lambda r: summary.histogram(_stat_values(r).where("group_name in ('real', 'synthetic')"), "group_name", "field")),
-    "o06_histogram_whole": lambda spark, folder: summary.histogram(_all_values(release.Release.load(spark, folder)).where("group_name in ('real', 'synthetic')"), "group_name", "field"),
+    "o05_ecdf": over_values(lambda r: summary.ecdf(_all_values(r).where("field <> 'brightness_mean'").select("group_name", "field", "value"), "group_name", "field")),
+    "o06_histogram": over_values(lambda r: summary.histogram(_all_values(r).where("group_name in ('real', 'synthetic')"), "group_name", "field")),
     "o03_head": over_release(lambda r: summary.head(r.real.where("image_id is not null").select("image_id", "ingest_ts", "label"), ["ingest_ts", "image_id", "label"], 2000)),
     "prj03_aligned": over_release(lambda r: release.aligned(r.synthetic.drop("width").withColumn("_note", F.lit("x")).withColumn("sec", F.concat(F.col("sec").cast("string"), F.lit(".0")))).groupBy("width", "sec").agg(F.count(F.lit(1)).alias("n"), F.count("asset_id").alias("n_assets"))),
     "prj05_severe": over_release(lambda r: r.images.where(F.col("label").isin(4, 5)).groupBy("origin", "label").agg(F.count(F.lit(1)).alias("n_images"))),
     "prj09_keyed_fetch": over_release(_fetched),
     "prj12_day_text": over_release(lambda r: r.real.groupBy(derive.day_text(F.col("day")).alias("day"), derive.session_text(F.col("cam_state")).alias("session")).agg(F.count(F.lit(1)).alias("n"))),
     "prj13_label_string": over_release(lambda r: comp.label_text(r.images, "split")),
-    "w13_covariance": over_release(lambda r: summary.covariance(r.stats.where(" and ".join(f"isnotnull({m}) and not isnan({m}) and abs({m}) < {SANE}" for m in METRICS)), METRICS)),
-    "w18_median": over_release(lambda r: _stat_values(r).groupBy("group_name", "field").agg(F.percentile("value", F.lit(0.5)).alias("median"), F.percentile("value", F.lit(0.9)).alias("p90"))),
-    "w13_covariance_whole": over_release(lambda r: summary.covariance(r.stats.where(_FINITE), METRICS)),
-    "w18_median_whole": over_release(lambda r: _all_values(r).groupBy("group_name", "field").agg(F.percentile("value", F.lit(0.5)).alias("median"), F.percentile("value", F.lit(0.9)).alias("p90"))),
+    "w13_covariance": over_values(lambda r: summary.covariance(r.stats.where(_FINITE), METRICS)),
+    "w18_median": over_values(lambda r: percentiles(_all_values(r), ["group_name", "field"], "value", {"median": 0.5, "p90": 0.9}).drop("n")),
 }
 
 
@@ -146,12 +135,12 @@ def _cross(field: str) -> str:
 
 _LONG = """, long as (
   select * from (select group_name, image_id, unnest(['laplacian_var', 'tenengrad', 'rms_contrast', 'entropy', 'brightness_mean']) as field,
-                 unnest([laplacian_var, tenengrad, rms_contrast, entropy, brightness_mean]) as value from stats) where isfinite(value) and abs(value) < 10000)
+                 unnest([laplacian_var, tenengrad, rms_contrast, entropy, brightness_mean]) as value from stats) where isfinite(value))
 """
-_SANE = " and ".join(f"isfinite({m}) and abs({m}) < 10000" for m in METRICS)
 _Z = ", ".join(f"({m} - avg({m}) over ()) / greatest(stddev_pop({m}) over (), 1e-12) as z_{m}" for m in METRICS)
-_NAME = r"^(\d{8})_(cambot\d+)_(\d{8})_(090001|160001)_(cambot\d+)_(\d{8})_(090001|160001)_sec(\d+)\.(jpg|jpeg|png)$"
+_NAME = derive.FILE_NAME_SQL
 _FIELDS = ", ".join(f"'{p}'" for p in PARAMETERS)
+_KNOWN = ", known as (select image_id, measured_at, " + ", ".join(f"case when isfinite({m}) then {m} end as {m}" for m in METRICS) + " from stats)"
 
 SQL = {
     "a01_label_counts": VIEWS + f"select {LABELS_SQL} from master",
@@ -168,13 +157,13 @@ select split, count(*) as n_images, count(*) filter (origin = 'real') as n_real,
     "a09_parameter_summary": VIEWS + f"""
 select field, count(*) as n, {r6("avg(value)")} as mean, {r6("stddev_pop(value)")} as std, {r6("min(value)")} as min, {r6("quantile_cont(value, 0.5)")} as median, {r6("max(value)")} as max
 from (select unnest([{_FIELDS}]) as field, unnest([{", ".join(p + "::double" for p in PARAMETERS)}]) as value from syn) where isfinite(value) group by field""",
-    "a10_group_metric_summary": VIEWS + _LONG + "select field, " + ", ".join(f"{r6(f'{f}(value) filter (group_name = {g!r})')} as {g}_{n}" for g in ("real", "synthetic") for n, f in (("mean", "avg"), ("std", "stddev_pop"))) + " from long where group_name in ('real', 'synthetic') group by field",
+    "a10_group_metric_summary": VIEWS + _LONG + "select field, " + ", ".join(f"{r9(f'{f}(value) filter (group_name = {g!r})')} as {g}_{n}" for g in ("real", "synthetic") for n, f in (("mean", "avg"), ("std", "stddev_pop"))) + " from long where group_name in ('real', 'synthetic') group by field",
     "a20_setting_manifest": VIEWS + """, used as (
   select setting, split as part, origin from images, (values ('train_real_only__eval_real_only', []), ('train_real_plus_synthetic__eval_real_only', ['train']),
     ('train_real_only__eval_real_plus_synthetic', ['val', 'test']), ('train_real_plus_synthetic__eval_real_plus_synthetic', ['train', 'val', 'test'])) s(setting, mixed)
   where split in ('train', 'val', 'test') and (origin = 'real' or list_contains(mixed, split)))
 select setting, part, count(*) as n_images, count(*) filter (origin = 'real') as n_real, count(*) filter (origin = 'synthetic') as n_synthetic from used group by all""",
-    "a22_standardize": VIEWS + f"select image_id, measured_at, {', '.join(r6(f'z_{m}') + f' as z_{m}' for m in METRICS)} from (select image_id, measured_at, {_Z} from stats where {_SANE})",
+    "a22_standardize": VIEWS + _KNOWN + f", z as (select image_id, measured_at, {_Z} from known) select image_id, measured_at, {', '.join(r9(f'z_{m}') + f' as z_{m}' for m in METRICS)} from z",
     "a23_sampling_weights": VIEWS + f"select label, count(*) as n, {r6('1.0 / count(*)')} as weight from master where label is not null group by label",
     "a24_class_weights": VIEWS + f"select label, count(*) as n, {r6('sum(count(*)) over () / (5.0 * count(*))')} as weight from master where label between 1 and 5 group by label",
     "a26_domains": VIEWS + "select count(*) as n_images, array_to_string(list_sort(list(distinct cam) filter (cam is not null)), ',') as cams, array_to_string(list_sort(list(distinct state) filter (state is not null)), ',') as states from master",
@@ -212,10 +201,12 @@ from c where split = 'train' or target <> 5 or source = 3""",
     "f12_attempt_seed": VIEWS + "select generator_version, min(42000000 + synthetic_seed % 1000000) as least, max(42000000 + synthetic_seed % 1000000) as most from syn group by 1",
     "o04_seeded_sample": VIEWS + """, d as (select distinct label::varchar as l, image_id from real where label is not null and image_id is not null),
 p as (select *, row_number() over (partition by l order by md5('42' || image_id), image_id)::int as place from d) select * from p where place <= 3""",
-    "o05_ecdf": VIEWS + _LONG + f"select group_name, {r6('value')} as value, {r6('row_number() over (partition by group_name order by value) / count(*) over (partition by group_name)')} as y from long where field = 'entropy'",
+    "o05_ecdf": VIEWS + _LONG + f""", e as (
+  select group_name, field, value, row_number() over (partition by group_name, field order by value) / count(*) over (partition by group_name, field) as y from long where field <> 'brightness_mean')
+select group_name, field, {r9('value')} as value, {r9('y')} as y from e""",
     "o06_histogram": VIEWS + _LONG + f""", s as (
   select group_name, field, value, min(value) over w as lo, max(value) over w as hi, count(*) over w as n from long where group_name in ('real', 'synthetic') window w as (partition by group_name, field))
-select group_name, field, least(floor((value - lo) / (hi - lo) * 40), 39)::int as bin, count(*) as n, {r6("count(*) / (max(s.n) * max(hi - lo) / 40)")} as density from s group by 1, 2, 3""",
+select group_name, field, least(floor((value - lo) / (hi - lo) * 40), 39)::int as bin, count(*) as n, {r9("(count(*) / (max(s.n) * max(hi - lo) / 40))")} as density from s group by 1, 2, 3""",
     "o03_head": VIEWS + "select image_id, ingest_ts, label from real where image_id is not null order by ingest_ts, image_id, label nulls first limit 2000",
     "prj03_aligned": VIEWS + "select null::int as width, sec, count(*) as n, count(asset_id) as n_assets from syn group by sec",
     "prj05_severe": VIEWS + "select origin, label, count(*) as n_images from images where label in (4, 5) group by all",
@@ -224,16 +215,6 @@ p as (select *, row_number() over (partition by label order by md5('42' || image
 select label, place, image_id, origin from p where place <= 3""",
     "prj12_day_text": VIEWS + "select strftime(try_strptime(day, '%Y%m%d'), '%b %d') as day, replace(cam_state, '__', ' ') as session, count(*) as n from real group by 1, 2",
     "prj13_label_string": VIEWS + "select split, concat_ws(' | ', " + ", ".join(f"'L{k}:' || count(*) filter (label = {k})" for k in range(1, 6)) + ") as labels from images group by split",
-    "w13_covariance": VIEWS + f", z as (select {_Z} from stats where {_SANE})" + " union all ".join(f" select '{a}' as row, '{b}' as col, {r6(f'covar_samp(z_{a}, z_{b})')} as cov from z" for i, a in enumerate(METRICS) for b in METRICS[i:]),
-    "w18_median": VIEWS + _LONG + f"select group_name, field, {r6('quantile_cont(value, 0.5)')} as median, {r6('quantile_cont(value, 0.9)')} as p90 from long group by all",
-}
-
-_KNOWN = ", known as (select image_id, measured_at, " + ", ".join(f"case when isfinite({m}) then {m} end as {m}" for m in METRICS) + " from stats)"
-SQL |= {
-    **{f"{n}_whole": SQL[n].replace(" and abs(value) < 10000", "") for n in ("a10_group_metric_summary", "w18_median")},
-    "a22_standardize_whole": VIEWS + _KNOWN + f"select image_id, measured_at, {', '.join(r6(f'z_{m}') + f' as z_{m}' for m in METRICS)} from (select image_id, measured_at, {_Z} from known)",
-    # densities over spans of 1e9 are too small to be rounded
-    "o06_histogram_whole": SQL["o06_histogram"].replace(" and abs(value) < 10000", "").replace(r6("count(*) / (max(s.n) * max(hi - lo) / 40)"), "count(*) / (max(s.n) * max(hi - lo) / 40)"),
-    "w13_covariance_whole": SQL["w13_covariance"].replace(_SANE, " and ".join(f"isfinite({m})" for m in METRICS)),
-    "o05_ecdf_whole": VIEWS + _LONG.replace(" and abs(value) < 10000", "") + f"select group_name, field, {r6('value')} as value, {r6('row_number() over w / count(*) over (partition by group_name, field)')} as y from long where field <> 'brightness_mean' window w as (partition by group_name, field order by value)",
+    "w13_covariance": VIEWS + f", z as (select {_Z} from stats where {' and '.join(f'isfinite({m})' for m in METRICS)})" + " union all ".join(f" select '{a}' as row, '{b}' as col, {r9(f'covar_samp(z_{a}, z_{b})')} as cov from z" for i, a in enumerate(METRICS) for b in METRICS[i:]),
+    "w18_median": VIEWS + _LONG + f"select group_name, field, {r9('quantile_cont(value, 0.5)')} as median, {r9('quantile_cont(value, 0.9)')} as p90 from long group by all",
 }

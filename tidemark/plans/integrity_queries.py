@@ -10,12 +10,11 @@ from pyspark.sql import functions as F
 from tidemark.functions import quotas
 from tidemark.functions.keys import finite
 from tidemark.operators import duplicates, integrity, kernels, lineage, summary
-from tidemark.plans.views import VIEWS, over_release, r6
+from tidemark.plans.views import VIEWS, over_release, over_values, r6, r9
 from tidemark.sources import release
 from tidemark.sources.tables import table
 
 METRICS = ["laplacian_var", "tenengrad", "rms_contrast", "entropy", "brightness_mean"]
-_SANE = " and ".join(f"isnotnull({m}) and not isnan({m}) and abs({m}) < 10000" for m in METRICS)
 
 
 def _captures(r):
@@ -25,17 +24,12 @@ def _captures(r):
 
 
 def _deltas(r):
-    return lineage.parent_child_deltas(r.synthetic, r.stats.where(_SANE), METRICS)
-
-
-def _deltas_whole(r):
     """Each metric by its own finite values: an image that lacks one keeps the deltas of the other four."""
     return lineage.parent_child_deltas(r.synthetic, r.stats.select("image_id", *[F.when(finite(F.col(m)), F.col(m)).alias(m) for m in METRICS]), METRICS)
 
 
-def _delta_summary(r, deltas=_deltas):
-    long = summary.long(deltas(r), [f"delta_{m}" for m in METRICS], "image_id")
-    return summary.described(long, "field")
+def _delta_summary(r):
+    return summary.described(summary.long(_deltas(r), [f"delta_{m}" for m in METRICS], "image_id"), "field")
 
 
 def _hashes(spark, folder):
@@ -43,17 +37,15 @@ def _hashes(spark, folder):
     return e.select(F.col("vec_id").alias("id"), kernels.sign_hash(F.col("embedding")).alias("hash"), F.when(F.col("label") < 6, "train").when(F.col("label") < 8, "val").otherwise("test").alias("split"))
 
 
-def _short(spark, folder):
-    """The 24 lowest frequencies only, so that some hashes come close: for comparison with the SQL. The ``_whole`` queries take all 64."""
-    return _hashes(spark, folder).withColumn("hash", F.col("hash").bitwiseAND(F.lit((1 << 24) - 1).cast("bigint")))
+def _near_hashes(spark, folder):
+    """The embeddings and a near copy of each, with one component turned round, filed elsewhere: two hashes that differ in a few bits of 64."""
+    e = table(spark, folder, "embeddings").select("vec_id", "label", "embedding")
+    turned = F.transform("embedding", lambda x, i: F.when(i == F.col("vec_id") % 64, -x).otherwise(x))
+    both = e.unionByName(e.select((F.col("vec_id") + 10_000_000).alias("vec_id"), ((F.col("label") + 3) % 10).alias("label"), turned.alias("embedding")))
+    return both.select(F.col("vec_id").alias("id"), kernels.sign_hash(F.col("embedding")).alias("hash"), F.when(F.col("label") < 6, "train").when(F.col("label") < 8, "val").otherwise("test").alias("split"))
 
 
 def _balanced(r):
-    parents = r.real.where("label between 1 and 3").select("split", "image_id", "capture_id")
-    return lineage.balanced_parents(parents, 2, 200, "split").select("split", "turn", "image_id", "use")
-
-
-def _balanced_whole(r):
     """As many turns as the split has synthetic images, and as many uses of a parent as it allows."""
     parents = r.real.where("label between 1 and 3").select("split", "image_id", "capture_id")
     each = [lineage.balanced_parents(parents.where(F.col("split") == s), quotas.MOST_PER_PARENT[s], n, "split") for s, n in quotas.SPLIT_QUOTAS.items()]
@@ -97,13 +89,28 @@ def _pools(spark, folder):
     return lineage.asset_pools(release.Release.load(spark, folder).assets, ratios)
 
 
+def _verified(r):
+    """What children say of their parents against what the parents say of themselves: one field differs wherever a child is filed inconsistently."""
+    said = r.synthetic.where("parent_image_id is not null").groupBy(F.col("parent_image_id").alias("image_id")).agg(F.max("parent_label").alias("label"), F.max("capture_id").alias("capture_id"), F.max("day").alias("day"))
+    own = r.real.where("image_id is not null").groupBy("image_id").agg(F.min("label").alias("label"), F.min("capture_id").alias("capture_id"), F.min("day").alias("day"))
+    return integrity.mismatches(said, own, "image_id", ["label", "capture_id", "day"]).groupBy("field").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _in_several(df, *fields):
+    """(field, key, n_splits): what lies in more than one split, for several keys."""
+    return reduce(DataFrame.unionAll, [integrity.several_splits(df, f).select(F.lit(f).alias("field"), "key", "n_splits") for f in fields])
+
+
+def _descriptions(r):
+    """The description table: the assets that have one, filed in their smallest pool."""
+    return r.assets.where("asset_id is not null and description is not null").groupBy("asset_id").agg(F.min("description").alias("description"), F.min("asset_split").alias("asset_split"))
+
+
 QUERIES = {
-    "a11_delta_summary": over_release(_delta_summary),
-    "a11_delta_summary_whole": over_release(lambda r: _delta_summary(r, _deltas_whole)),
+    "a11_delta_summary": over_values(_delta_summary),
     "a13_duplicate_keys": over_release(lambda r: integrity.duplicate_keys(r.real, "image_id")),
     "a13_duplicate_count": over_release(lambda r: r.master.where("image_id is not null").groupBy("image_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")),
     "a14_exact_duplicates": lambda spark, folder: duplicates.exact_duplicates(table(spark, folder, "documents").select("doc_id", F.sha2("text", 256).alias("sha")), "doc_id", "sha"),
-    "a14_duplicate_report": lambda spark, folder: duplicates.duplicate_report(table(spark, folder, "documents").where("text <> ''").select("doc_id", F.sha2("text", 256).alias("sha")), "doc_id", "sha", "doc_id"),
     "j01_union": over_release(lambda r: r.images.groupBy("origin", "synthetic").agg(F.count(F.lit(1)).alias("n"), F.count("parent_image_id").alias("n_children"))),
     "j02_set_equality": over_release(lambda r: integrity.set_difference(r.images, r.master, "image_id")),
     "j03_disjoint": over_release(lambda r: integrity.split_overlaps(r.real)),
@@ -112,38 +119,38 @@ QUERIES = {
     "j06_asset_pool": over_release(lambda r: integrity.asset_mismatches(r.synthetic)),
     "j07_parent_capture": over_release(lambda r: integrity.parent_capture_faults(r.synthetic, r.real)),
     "j08_asset_lookup": over_release(lambda r: integrity.asset_lookup(r.synthetic, r.assets)),
-    "j10_asset_enrich": over_release(lambda r: r.synthetic.groupBy("asset_id").agg(F.count(F.lit(1)).alias("n")).join(r.assets.groupBy("asset_id").agg(F.min("description").alias("description"), F.min("asset_split").alias("pool")), "asset_id")),
-    "j11_parent_child_delta": over_release(lambda r: _deltas(r).select("image_id", "parent_image_id", *[f"delta_{m}" for m in METRICS])),
-    "j11_parent_child_delta_whole": over_release(lambda r: _deltas_whole(r).select("image_id", "parent_image_id", *[f"delta_{m}" for m in METRICS])),
-    "j12_near_duplicates": lambda spark, folder: duplicates.near_duplicates(_short(spark, folder), width=24),
-    "j12_near_duplicate_rows": lambda spark, folder: duplicates.near_duplicate_rows(_short(spark, folder), width=24),
-    "j12_between_splits": lambda spark, folder: duplicates.between_splits(_short(spark, folder), width=24),
-    "j12_near_duplicates_whole": lambda spark, folder: duplicates.near_duplicates(_hashes(spark, folder)),
-    "j12_near_duplicate_rows_whole": lambda spark, folder: duplicates.near_duplicate_rows(_hashes(spark, folder)),
-    "j12_between_splits_whole": lambda spark, folder: duplicates.between_splits(_hashes(spark, folder)),
+    "j11_parent_child_delta": over_values(lambda r: _deltas(r).select("image_id", "parent_image_id", *[f"delta_{m}" for m in METRICS])),
+    "j12_near_duplicates": lambda spark, folder: duplicates.near_duplicates(_near_hashes(spark, folder)),
+    "j12_near_duplicate_rows": lambda spark, folder: duplicates.near_duplicate_rows(_near_hashes(spark, folder)),
+    "j12_between_splits": lambda spark, folder: duplicates.between_splits(_near_hashes(spark, folder)),
+    "j12_split_pairs": lambda spark, folder: duplicates.split_pairs(_near_hashes(spark, folder)),
     "j15_inventory_diff": over_release(lambda r: integrity.inventory_difference(r.master, r.images, "relative_path")),
-    "j16_verify": over_release(lambda r: integrity.mismatches(*[d.where("image_id is not null").groupBy("image_id").agg(F.max("width").alias("width"), F.max("sha256").alias("sha256"), F.min("label").alias("label")) for d in (r.master, r.images)], "image_id", ["width", "sha256", "label"]).groupBy("field").agg(F.count(F.lit(1)).alias("n"))),
     "j17_partition": over_release(lambda r: integrity.partition_faults(r.images, r.master.withColumn("part", F.col("origin")), "image_id", "part")),
     "j18_capture_split": over_release(lambda r: release.capture_splits(r.real, _captures(r)).groupBy("split").agg(F.count(F.lit(1)).alias("n_images"), F.countDistinct("capture_id").alias("n_captures"), F.countDistinct("label").alias("n_labels"))),
     "j20_asset_partition": _pools,
-    "j21_multi_split": over_release(lambda r: integrity.several_splits(r.real, "image_id")),
     "i08_sign_hash": lambda spark, folder: _hashes(spark, folder).select("id", "hash"),
     "i09_hamming": lambda spark, folder: _hashes(spark, folder).select("id", F.bit_count(F.col("hash").bitwiseXOR(F.lit(0x0F0F0F0F0F0F0F0F))).alias("distance")),
     "g03_balanced_parents": over_release(_balanced),
-    "g03_balanced_parents_whole": over_release(_balanced_whole),
+    "j16_verify": over_release(_verified),
+    "j21_multi_split": over_release(lambda r: _in_several(r.real, "image_id", "group_id", "source_filename")),
+    "v13_synthetic_splits": over_release(lambda r: _in_several(r.synthetic, "image_id", "group_id", "parent_image_id", "asset_id")),
+    "j22_orphan_files": over_release(lambda r: integrity.orphan_files(r.images.select("image_id", "relative_path"), r.master.select("relative_path"))),
+    "a14_duplicate_report": lambda spark, folder: duplicates.duplicate_report(table(spark, folder, "documents").select("doc_id", F.sha2("text", 256).alias("sha"), F.when(F.col("text").isNull(), "no content").alias("error")), "doc_id", "sha", "doc_id", "error"),
+    "j09_asset_map": over_release(lambda r: integrity.asset_map(r.synthetic.select("image_id", "asset_id", "split"), r.assets)),
+    "j10_asset_enrich": over_release(lambda r: integrity.enriched_assets(r.assets, _descriptions(r))),
+    "j10_strict": over_release(lambda r: integrity.enrichment_faults(r.assets, _descriptions(r))),
+    "v10_unique_in_views": over_release(lambda r: integrity.repeated_in_views(release.six_views(r.images))),
+    "v17_split_partition": over_release(lambda r: integrity.view_partition(r.images)),
     "g04_accept_reject": _sampled,
     "g05_running_uid": lambda spark, folder: lineage.numbered(_sampled(spark, folder)).select("uid", "split", "target", "attempt", "image_id"),
     "v09_asset_numbering": over_release(lambda r: integrity.asset_numbering(r.assets, 60)),
-    "v13_synthetic_splits": over_release(lambda r: integrity.several_splits(r.synthetic, "image_id")),
     "v14_split_inheritance": over_release(lambda r: integrity.split_inheritance(r.synthetic, r.real)),
     "j22_missing_files": over_release(lambda r: integrity.missing_files(r.real.select("image_id", "relative_path"), r.master.select("relative_path"))),
-    "j22_orphan_files": over_release(lambda r: integrity.orphan_files(r.master.select("image_id", "relative_path"), r.images.select("relative_path"))),
     "checks_audit": over_release(lambda r: integrity.audit(r.real, r.synthetic)),
     "checks_invariants": over_release(lambda r: integrity.invariants(r.master, r.real, r.synthetic, r.assets, (3072, 2048))),
 }
 
-_DELTA = VIEWS + f""", one as (select image_id, {", ".join(f"min({m}) as {m}" for m in METRICS)} from stats
-  where image_id is not null and {" and ".join(f"isfinite({m}) and abs({m}) < 10000" for m in METRICS)} group by image_id),
+_DELTA = VIEWS + f""", one as (select image_id, {", ".join(f"min({m}) filter (isfinite({m})) as {m}" for m in METRICS)} from stats where image_id is not null group by image_id),
 edges as (select distinct image_id, parent_image_id from syn where image_id is not null and parent_image_id is not null),
 deltas as (select e.image_id, e.parent_image_id, {", ".join(f"c.{m} - p.{m} as delta_{m}" for m in METRICS)}
   from edges e join one c on c.image_id = e.image_id join one p on p.image_id = e.parent_image_id)
@@ -168,17 +175,17 @@ faults as (
   from syn s where parent_image_id is not null group by split)
 """
 _BITS = """
-with b as (select vec_id as id, label, unnest(embedding) as e, generate_subscripts(embedding, 1) - 1 as i from embeddings),
+with src as (select vec_id, label, embedding from embeddings),
+b as (select vec_id as id, label, unnest(embedding) as e, generate_subscripts(embedding, 1) - 1 as i from src),
 m as (select id, median(e::double) filter (i // 8 > 0 and i % 8 > 0) as med from b group by id),
 u as (select b.id, any_value(label) as label, sum(case when e::double > med then (1::hugeint << i::int) else 0 end) as u from b join m using (id) group by b.id),
 h as (select id, case when label < 6 then 'train' when label < 8 then 'val' else 'test' end as split, case when u >= 9223372036854775808 then (u - 18446744073709551616)::bigint else u::bigint end as hash from u)
 """
-_NEAR = _BITS + """, s as (select id, split, hash & 16777215 as hash from h),
-v as (select distinct hash from s),
-near as (select a.hash as hash_a, b.hash as hash_b, bit_count(xor(a.hash, b.hash))::int as distance from v a join v b on a.hash < b.hash and bit_count(xor(a.hash, b.hash)) <= 4)
+_COPIES = """with src as (
+  select vec_id, label, embedding from embeddings
+  union all select vec_id + 10000000, (label + 3) % 10, list_transform(embedding, lambda x, i: case when i - 1 = vec_id % 64 then -x else x end) from embeddings),
 """
-#: All 64 bits.
-_NEAR_WHOLE = _BITS + """, s as (select id, split, hash from h),
+_NEAR = _BITS.replace("with src as (select vec_id, label, embedding from embeddings),\n", _COPIES) + """, s as (select id, split, hash from h),
 v as (select distinct hash from s),
 near as (select a.hash as hash_a, b.hash as hash_b, bit_count(xor(a.hash, b.hash))::int as distance from v a join v b on a.hash < b.hash and bit_count(xor(a.hash, b.hash)) <= 4)
 """
@@ -204,13 +211,11 @@ _INVARIANTS = {
 
 SQL = {
     "a11_delta_summary": _DELTA + f"""
-select field, count(*) as n, {r6("avg(value)")} as mean, {r6("stddev_pop(value)")} as std, {r6("min(value)")} as min, {r6("quantile_cont(value, 0.5)")} as median, {r6("max(value)")} as max
-from (select unnest([{_FIELDS}]) as field, unnest([{", ".join(f"delta_{m}" for m in METRICS)}]) as value from deltas) group by field""",
+select field, count(*) as n, {r9("avg(value)")} as mean, {r9("stddev_pop(value)")} as std, {r9("min(value)")} as min, {r9("quantile_cont(value, 0.5)")} as median, {r9("max(value)")} as max
+from (select unnest([{_FIELDS}]) as field, unnest([{", ".join(f"delta_{m}" for m in METRICS)}]) as value from deltas) where value is not null group by field""",
     "a13_duplicate_keys": VIEWS + "select image_id as key, count(*) as n from real where image_id is not null group by 1 having count(*) > 1 order by 1 limit 5",
     "a13_duplicate_count": VIEWS + "select image_id, count(*) as n from master where image_id is not null group by 1 having count(*) > 1",
     "a14_exact_duplicates": _DUP + " select doc_id, class_id, n from d where n > 1",
-    "a14_duplicate_report": _DUP + """, p as (select *, row_number() over (partition by text order by doc_id) as place from d where n > 1 and text <> '')
-select sha as digest, max(n) as n_images, string_agg(doc_id::varchar, '|' order by doc_id) as image_ids from p where place <= 20 group by sha""",
     "j01_union": VIEWS + "select origin, synthetic, count(*) as n, count(parent_image_id) as n_children from images group by all",
     "j02_set_equality": VIEWS + """, k as (select coalesce(image_id, 'nan') as k, bit_or(s) as m from (select image_id, 1 as s from images union all select image_id, 2 from master) group by 1)
 select count(*) filter (m = 1) as only_left, count(*) filter (m = 2) as only_right, count(*) filter (m = 3) as in_both from k""",
@@ -223,27 +228,16 @@ select split, count(*) filter (not exists (select 1 from ms where ms.k = r.k and
     "j08_asset_lookup": VIEWS + """, p as (select asset_id, min(asset_split) as pool from assets where asset_id is not null group by 1)
 select case when s.asset_id is null then 'no_asset' when pool is null then 'unknown' when pool is not distinct from split then 'ok' else 'wrong_pool' end as verdict, count(*) as n
 from syn s left join p using (asset_id) group by 1""",
-    "j10_asset_enrich": VIEWS + "select * from (select asset_id, count(*) as n from syn group by 1) join (select asset_id, min(description) as description, min(asset_split) as pool from assets group by 1) using (asset_id)",
-    "j11_parent_child_delta": _DELTA + f"select image_id, parent_image_id, {', '.join(r6(f'delta_{m}') + f' as delta_{m}' for m in METRICS)} from deltas",
+    "j11_parent_child_delta": _DELTA + f"select image_id, parent_image_id, {', '.join(r9(f'delta_{m}') + f' as delta_{m}' for m in METRICS)} from deltas",
     "j12_near_duplicates": _NEAR + "select * from near",
     "j12_near_duplicate_rows": _NEAR + """, l as (select hash, count(*) as n_links from (select hash_a as hash from near union all select hash_b from near) group by 1)
 select id, min(id) over (partition by hash) as class_id, count(*) over (partition by hash) as n_same, coalesce(n_links, 0) as n_links from s left join l using (hash)""",
     "j12_between_splits": _NEAR + """, p as (select hash_a, hash_b from near union all select hash, hash from v),
 q as (select distinct hash_a, hash_b, least(x.split, y.split) as left_split, greatest(x.split, y.split) as right_split from p join s x on x.hash = hash_a join s y on y.hash = hash_b where x.split <> y.split)
-select left_split, right_split, count(*) as n_links from q group by all""",
-    "j12_near_duplicates_whole": _NEAR_WHOLE + "select * from near",
-    "j12_near_duplicate_rows_whole": _NEAR_WHOLE + """, l as (select hash, count(*) as n_links from (select hash_a as hash from near union all select hash_b from near) group by 1)
-select id, min(id) over (partition by hash) as class_id, count(*) over (partition by hash) as n_same, coalesce(n_links, 0) as n_links from s left join l using (hash)""",
-    "j12_between_splits_whole": _NEAR_WHOLE + """, p as (select hash_a, hash_b from near union all select hash, hash from v),
-q as (select distinct hash_a, hash_b, least(x.split, y.split) as left_split, greatest(x.split, y.split) as right_split from p join s x on x.hash = hash_a join s y on y.hash = hash_b where x.split <> y.split)
 select left_split, right_split, count(*) as n_links from q group by all""",
     "j15_inventory_diff": VIEWS + """, a as (select distinct relative_path as k from master where relative_path is not null), b as (select distinct relative_path as k from images where relative_path is not null),
 d as (select 'listed_only' as side, k from (select k from a except select k from b) union all select 'actual_only', k from (select k from b except select k from a))
 select side, count(*) as n, array_to_string(list_sort(list(k))[1:5], '|') as examples from d group by side""",
-    "j16_verify": VIEWS + """, a as (select image_id, max(width) as width, max(sha256) as sha256, min(label) as label from master where image_id is not null group by 1),
-b as (select image_id, max(width) as width, max(sha256) as sha256, min(label) as label from images where image_id is not null group by 1),
-d as (select unnest(['width', 'sha256', 'label']) as field, unnest([a.width is distinct from b.width, a.sha256 is distinct from b.sha256, a.label is distinct from b.label]) as bad from a join b using (image_id))
-select field, count(*) as n from d where bad group by field""",
     "j17_partition": VIEWS + """, k as (select coalesce(image_id, 'nan') as k, bool_or(w) as inside, count(distinct part) as parts from
   (select image_id, true as w, null as part from images union all select image_id, null, origin from master) group by 1)
 select count(*) filter (parts = 0) as in_no_part, count(*) filter (parts > 1) as in_several_parts, count(*) filter (inside is null) as not_in_whole from k""",
@@ -253,15 +247,9 @@ q as (select *, round(n * ratio / 3600.0, 9) as exact from (select max(n) as n f
 s as (select *, floor(exact) + (row_number() over (order by exact - floor(exact) desc, split) <= n - sum(floor(exact)) over ())::int as quota from q),
 t as (select split, sum(quota) over (order by pos) as last, quota from s)
 select asset_id, split from a join t on r > last - quota and r <= last""",
-    "j21_multi_split": VIEWS + "select image_id as key, count(distinct split) as n_splits from real where image_id is not null group by 1 having count(distinct split) > 1",
     "i08_sign_hash": _BITS + "select id, hash from h",
     "i09_hamming": _BITS + "select id, bit_count(xor(hash, 1085102592571150095))::int as distance from h",
     "g03_balanced_parents": VIEWS + """, u as (
-  select split, image_id, capture_id, md5('42|' || image_id) as d, unnest([1, 2]) as use from (select distinct split, image_id, capture_id from real where label between 1 and 3 and image_id is not null)),
-r as (select *, row_number() over (partition by split, capture_id order by use, d, image_id) as round from u),
-t as (select *, row_number() over (partition by split order by round, d, image_id, use)::int as turn from r)
-select split, turn, image_id, use from t where turn <= 200""",
-    "g03_balanced_parents_whole": VIEWS + """, u as (
   select split, image_id, capture_id, md5('42|' || image_id) as d, unnest(case when split = 'train' then [1, 2] else [1] end) as use
   from (select distinct split, image_id, capture_id from real where label between 1 and 3 and image_id is not null)),
 r as (select *, row_number() over (partition by split, capture_id order by use, d, image_id) as round from u),
@@ -269,12 +257,10 @@ t as (select *, row_number() over (partition by split order by round, d, image_i
 select split, turn, image_id, use from t where turn <= case split when 'train' then 2800 else 400 end""",
     "v09_asset_numbering": VIEWS + """, w as (select 'a_' || printf('%04d', i) as k from range(1, 61) t(i)), h as (select distinct asset_id as k from assets where asset_id is not null)
 select k as asset_id, 'missing' as fault from (select k from w except select k from h) union all select k, 'beyond' from (select k from h except select k from w)""",
-    "v13_synthetic_splits": VIEWS + "select image_id as key, count(distinct split) as n_splits from syn where image_id is not null group by 1 having count(distinct split) > 1",
     "v14_split_inheritance": VIEWS + """select split, count(*) as n_children, count(*) filter (exists (select 1 from real where real.image_id = syn.parent_image_id)
     and not exists (select 1 from real where real.image_id = syn.parent_image_id and real.split = syn.split)) as n_elsewhere
 from syn where parent_image_id is not null group by split""",
     "j22_missing_files": VIEWS + "select image_id, relative_path from real where not exists (select 1 from master where master.relative_path = real.relative_path)",
-    "j22_orphan_files": VIEWS + "select image_id, relative_path from master where not exists (select 1 from images where images.relative_path = master.relative_path)",
     "checks_audit": VIEWS + _OVERLAP + """
 , c as (
   select 'no_' || field || '_overlap_' || left_split || '_' || right_split || '_real' as "check", overlap as violations, 'overlap' as why from shared
@@ -286,10 +272,45 @@ select "check", violations = 0 as passed, violations, why || '=' || violations a
 select "check", violations = 0 as passed, violations, why || '=' || violations as details from c""",
 }
 
-_ONE = f"""one as (select image_id, {", ".join(f"min({m}) filter (isfinite({m})) as {m}" for m in METRICS)} from stats where image_id is not null group by image_id),
-edges as"""
-_DELTA_WHOLE = VIEWS + ", " + _ONE + _DELTA.split("edges as", 1)[1]
+_VIEWS6 = """, six as (
+  select split || '_' || variant as view, origin, image_id from images, (select unnest(['real_only', 'real_plus_synthetic']) as variant)
+  where split in ('train', 'val', 'test') and (origin = 'real' or variant = 'real_plus_synthetic'))
+"""
+
+
+def _several_sql(view: str, *fields: str) -> str:
+    one = [f"select '{f}' as field, {f} as key, count(distinct split) as n_splits from {view} where {f} is not null group by {f} having count(distinct split) > 1" for f in fields]
+    return VIEWS + " union all ".join(one)
+
+
 SQL |= {
-    "a11_delta_summary_whole": SQL["a11_delta_summary"].replace(_DELTA, _DELTA_WHOLE).replace("from deltas) group by", "from deltas) where value is not null group by"),
-    "j11_parent_child_delta_whole": SQL["j11_parent_child_delta"].replace(_DELTA, _DELTA_WHOLE),
+    "j16_verify": VIEWS + """, a as (select parent_image_id as image_id, max(parent_label) as label, max(capture_id) as capture_id, max(day) as day from syn where parent_image_id is not null group by 1),
+b as (select image_id, min(label) as label, min(capture_id) as capture_id, min(day) as day from real where image_id is not null group by 1),
+d as (select unnest(['label', 'capture_id', 'day']) as field, unnest([a.label is distinct from b.label, a.capture_id is distinct from b.capture_id, a.day is distinct from b.day]) as bad from a join b using (image_id))
+select field, count(*) as n from d where bad group by field""",
+    "j21_multi_split": _several_sql("real", "image_id", "group_id", "source_filename"),
+    "v13_synthetic_splits": _several_sql("syn", "image_id", "group_id", "parent_image_id", "asset_id"),
+    "j22_orphan_files": VIEWS + "select image_id, relative_path from images where not exists (select 1 from master where master.relative_path = images.relative_path)",
+    "j12_split_pairs": _NEAR + """, p as (select hash_a, hash_b, distance from near union all select hash_b, hash_a, distance from near union all select hash, hash, 0 from v),
+held as (select hash, split, min(id) as image, count(*) as n from s group by all)
+select x.split as left_split, y.split as right_split, x.image as left_image, y.image as right_image, x.n as n_left, y.n as n_right, distance
+from p join held x on x.hash = hash_a join held y on y.hash = hash_b where x.split || ' ' || y.split in ('train val', 'train test', 'val test')""",
+    "a14_duplicate_report": """with d as (select doc_id, sha256(text) as sha, row_number() over (partition by text order by doc_id) - 1 as place, count(*) over (partition by text) as n from documents where text is not null)
+select 'duplicate' as status, sha as digest, max(n) as n_images, (place // 1000)::int as part, string_agg(doc_id::varchar, '|' order by doc_id) as image_ids, null::varchar as details from d where n > 1 group by sha, place // 1000
+union all select 'error', null, 1, 0, doc_id::varchar, 'no content' from documents where text is null
+union all select 'ok', null, 0, 0, null, 'no equal contents' where not exists (select 1 from d where n > 1)""",
+    "j09_asset_map": VIEWS + """, p as (select asset_id, min(asset_split) as pool from assets where asset_id is not null group by 1)
+select image_id, asset_id, split, pool as asset_pool from (select image_id, asset_id, split from syn) s left join p using (asset_id)""",
+    "j10_asset_enrich": VIEWS + """, t as (select asset_id, min(description) as description, min(asset_split) as asset_split from assets where asset_id is not null and description is not null group by 1)
+select a.asset_id, a.asset_filename, a.release_relative_path, a.asset_split, t.description, a.preparation_category, a.width, a.height, a.mode, a.sha256 from assets a join t using (asset_id)""",
+    "j10_strict": VIEWS + """, t as (select asset_id, min(description) as description, min(asset_split) as asset_split from assets where asset_id is not null and description is not null group by 1),
+a as (select asset_id, min(asset_split) as lo, max(asset_split) as hi from assets where asset_id is not null group by 1)
+select asset_id, case when t.asset_id is null then 'no_description' else 'other_split' end as fault from a left join t using (asset_id)
+where t.asset_id is null or lo is distinct from t.asset_split or hi is distinct from t.asset_split""",
+    "v10_unique_in_views": VIEWS + _VIEWS6 + "select view, count(*) filter (n > 1) as n_repeated from (select view, image_id, count(*) as n from six where image_id is not null group by all) group by view",
+    "v17_split_partition": VIEWS + _VIEWS6 + """, k as (
+  select origin, coalesce(image_id, 'nan') as k, count(distinct split) as parts from (
+    select origin, image_id, null as split from images union all
+    select origin, image_id, split from images where split in ('train', 'val', 'test')) group by all)
+select origin, count(*) filter (parts = 0) as in_no_part, count(*) filter (parts > 1) as in_several_parts, 0::bigint as not_in_whole from k where origin in ('real', 'synthetic') group by origin""",
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.operators import agreement, classification, compositing, distribution, kernels, rollup, summary
-from tidemark.plans.views import VIEWS, annotations, comparable, over_release, predictions, r6, run_classes, run_results
+from tidemark.plans.views import VIEWS, annotations, comparable, over_release, over_values, predictions, r6, r9, run_classes, run_results
 from tidemark.sources.tables import table
 from tidemark.sources.workspace import ship
 
@@ -90,10 +90,6 @@ def _pca(which):
     return over_release(lambda r: distribution.components(r.stats.where(_FINITE).select("image_id", "measured_at", *METRICS), METRICS)[which])
 
 
-def _stat_values(r):
-    return summary.long(r.stats, METRICS, "group_name").where(F.abs("value") < 1e4)
-
-
 def _grid(spark, folder):
     r = run_results(spark, folder)
     one = lambda c: r.select(c).distinct()
@@ -131,8 +127,7 @@ QUERIES = {
     "w11_auroc": _scored(lambda p: classification.auroc(p, "generator_version", truth="severe", score="score")),
     "w12_average_precision": _scored(lambda p: classification.average_precision(p, "generator_version", truth="severe", score="score")),
     "evaluation": _scored(lambda p: classification.evaluation(p, "generator_version").select("generator_version", "accuracy", "mae", "within1", "macro_f1", "weighted_kappa")),
-    "w06_wasserstein": over_release(lambda r: distribution.wasserstein(_stat_values(r), "field", group="group_name", left="real", right="synthetic")),
-    "w06_wasserstein_whole": over_release(lambda r: distribution.wasserstein(summary.long(r.stats, METRICS, "group_name"), "field", group="group_name", left="real", right="synthetic")),
+    "w06_wasserstein": over_values(lambda r: distribution.wasserstein(summary.long(r.stats, METRICS, "group_name"), "field", group="group_name", left="real", right="synthetic")),
     "w13_pca_loadings": _pca(0),
     "w13_pca_scores": _pca(1),
     "w14_coral_decode": _decoded(classification.coral_label, classification.coral_probabilities),
@@ -208,7 +203,7 @@ def _kernel_sql(*names: str) -> str:
 
 _LONG = """, long as (
   select * from (select group_name, unnest(['laplacian_var', 'tenengrad', 'rms_contrast', 'entropy', 'brightness_mean']) as field,
-                 unnest([laplacian_var, tenengrad, rms_contrast, entropy, brightness_mean]) as value from stats) where isfinite(value) and abs(value) < 10000)
+                 unnest([laplacian_var, tenengrad, rms_contrast, entropy, brightness_mean]) as value from stats) where isfinite(value))
 """
 
 SQL = {
@@ -255,7 +250,7 @@ select generator_version, {r6("accuracy")} as accuracy, {r6("mae")} as mae, {r6(
 from sc join mf using (generator_version) join ex using (generator_version) join ob using (generator_version)""",
     "w06_wasserstein": VIEWS + _LONG + f""", c as (select field, value, count(*) filter (group_name = 'real') as a, count(*) filter (group_name = 'synthetic') as b from long where group_name in ('real', 'synthetic') group by all),
 d as (select field, lead(value) over w - value as dx, sum(a) over w as ca, sum(b) over w as cb, sum(a) over (partition by field) as ta, sum(b) over (partition by field) as tb from c window w as (partition by field order by value))
-select field, {r6("sum(abs(ca::double / ta - cb::double / tb) * dx)")} as distance from d group by field""",
+select field, {r9("sum(abs(ca::double / ta - cb::double / tb) * dx)")} as distance from d group by field""",
     "w14_coral_decode": _LOGITS + """, d as (select vec_id, len([x for x in v if x > 0.5])::int as label,
   [greatest(0.0::double, 1 - v[1]), greatest(0.0::double, v[1] - v[2]), greatest(0.0::double, v[2] - v[3]), greatest(0.0::double, v[3] - v[4]), v[4]] as p from s)
 select vec_id, label, """ + ", ".join(f"{r6(f'p[{k}] / greatest(list_sum(p), 1e-12)')} as p{k}" for k in range(1, 6)) + " from d",
@@ -294,5 +289,3 @@ select vec_id, (i % 3)::int as channel, {r6("avg((v / 255.0::double - [0.485::do
 b as (select vec_id, trunc(greatest(0, least(255, bg + ((255 - bg) - bg) * (alpha * 0.5::double))))::int as v from p)
 select vec_id, sum(v)::bigint as total, max(v) as most, min(v) as least from b group by vec_id""",
 }
-
-SQL["w06_wasserstein_whole"] = SQL["w06_wasserstein"].replace(" and abs(value) < 10000", "")

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.keys import key_sql
+from tidemark.functions.keys import finite, key_sql
 from tidemark.operators.summary import rounded
 from tidemark.sources.release import Release
 from tidemark.sources.tables import table
@@ -17,6 +17,20 @@ def over_release(make: Callable[[Release], DataFrame]) -> Callable[[SparkSession
     return lambda spark, folder: comparable(make(Release.load(spark, folder)))
 
 
+def over_values(make: Callable[[Release], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """For statistics of any size: nine digits of each number, as engines differ in the last bits of a sum."""
+    return lambda spark, folder: nine_digits(make(Release.load(spark, folder)))
+
+
+def nine_digits(df: DataFrame) -> DataFrame:
+    """Doubles with nine significant digits, both zeros as one; null, NaN and infinities stay."""
+    def one(c: str) -> Column:
+        x = F.col(c)
+        return (F.when(finite(x), F.format_string("%.8e", x).cast("double")).otherwise(x) + F.lit(0.0)).alias(c)
+
+    return df.select(*[one(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+
+
 def comparable(df: DataFrame) -> DataFrame:
     """Doubles rounded to 6 digits, counts as bigint."""
     return rounded(df)
@@ -94,5 +108,10 @@ results as (
 LABELS_SQL = ", ".join(f"count(*) filter (label = {k}) as label_{k}" for k in range(1, 6))
 
 
+def r9(expr: str) -> str:
+    """Nine significant digits."""
+    return f"case when isfinite({expr}) then printf('%.8e', {expr})::double else {expr} end + 0.0"
+
+
 def r6(expr: str) -> str:
     return f"round({expr}, 6) + 0.0"

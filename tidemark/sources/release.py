@@ -96,6 +96,12 @@ def capture_splits(real: DataFrame, captures: DataFrame) -> DataFrame:
     return real.drop("split").join(one, "capture_id", "left").withColumn("split", F.coalesce("split", F.lit("train")))
 
 
+def six_views(images: DataFrame) -> DataFrame:
+    """``images`` with view: every official view that a row belongs to, {train, val, test} by {real_only, real_plus_synthetic}; rows outside the three splits are in none."""
+    of = F.when(F.col("origin") == "real", F.array(F.lit("real_only"), F.lit("real_plus_synthetic"))).otherwise(F.array(F.lit("real_plus_synthetic")))
+    return images.where(F.col("split").isin("train", "val", "test")).withColumn("view", F.explode(of)).withColumn("view", F.concat("split", F.lit("_"), "view"))
+
+
 @dataclass(frozen=True)
 class Release:
     """The tables of a release folder, keys in one form, with ``split`` per row: by capture for real images, as filed for synthetic ones."""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import io
+import re
 import tempfile
 import uuid
 import zipfile
@@ -15,10 +16,12 @@ _own: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; a temporary one only where that is unset (local tests)."""
+    """The folder in ``spark.checkpoint.dir``. Where that is unset, a temporary one if everything runs in this process (tests), else ``RuntimeError``: a folder of one machine isn't shared."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if found:
         return found.rstrip("/")
+    if re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master) is None:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own:
         _own[app] = "file://" + tempfile.mkdtemp(prefix="tidemark-")
