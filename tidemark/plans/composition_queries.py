@@ -101,7 +101,7 @@ QUERIES = {
     "a09_parameter_summary": over_release(lambda r: summary.described(summary.long(r.synthetic, PARAMETERS), "field")),
     "a10_group_metric_summary": over_values(lambda r: summary.side_by_side(_all_values(r), "group_name", "real", "synthetic")),
     "a20_setting_manifest": lambda spark, folder: comp.setting_manifest(release.Release.load(spark, folder).images, _settings(spark)),
-    "a22_standardize": over_values(_standardized),
+    "a22_standardize": over_release(_standardized),
     "a23_sampling_weights": over_release(lambda r: summary.sampling_weights(r.master, "label")),
     "a24_class_weights": over_release(lambda r: summary.class_weights(r.master, "label")),
     "a23_weighted_draw": over_release(_drawn),
@@ -163,7 +163,7 @@ from (select unnest([{_FIELDS}]) as field, unnest([{", ".join(p + "::double" for
     ('train_real_only__eval_real_plus_synthetic', ['val', 'test']), ('train_real_plus_synthetic__eval_real_plus_synthetic', ['train', 'val', 'test'])) s(setting, mixed)
   where split in ('train', 'val', 'test') and (origin = 'real' or list_contains(mixed, split)))
 select setting, part, count(*) as n_images, count(*) filter (origin = 'real') as n_real, count(*) filter (origin = 'synthetic') as n_synthetic from used group by all""",
-    "a22_standardize": VIEWS + _KNOWN + f", z as (select image_id, measured_at, {_Z} from known) select image_id, measured_at, {', '.join(r9(f'z_{m}') + f' as z_{m}' for m in METRICS)} from z",
+    "a22_standardize": VIEWS + _KNOWN + f", z as (select image_id, measured_at, {_Z} from known) select image_id, measured_at, {', '.join(r6(f'z_{m}') + f' as z_{m}' for m in METRICS)} from z",
     "a23_sampling_weights": VIEWS + f"select label, count(*) as n, {r6('1.0 / count(*)')} as weight from master where label is not null group by label",
     "a24_class_weights": VIEWS + f"select label, count(*) as n, {r6('sum(count(*)) over () / (5.0 * count(*))')} as weight from master where label between 1 and 5 group by label",
     "a26_domains": VIEWS + "select count(*) as n_images, array_to_string(list_sort(list(distinct cam) filter (cam is not null)), ',') as cams, array_to_string(list_sort(list(distinct state) filter (state is not null)), ',') as states from master",

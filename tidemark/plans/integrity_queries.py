@@ -13,6 +13,7 @@ from tidemark.operators import duplicates, integrity, kernels, lineage, summary
 from tidemark.plans.views import VIEWS, over_release, over_values, r6, r9
 from tidemark.sources import release
 from tidemark.sources.tables import table
+from tidemark.sources.workspace import Workspace
 
 METRICS = ["laplacian_var", "tenengrad", "rms_contrast", "entropy", "brightness_mean"]
 
@@ -42,7 +43,9 @@ def _near_hashes(spark, folder):
     e = table(spark, folder, "embeddings").select("vec_id", "label", "embedding")
     turned = F.transform("embedding", lambda x, i: F.when(i == F.col("vec_id") % 64, -x).otherwise(x))
     both = e.unionByName(e.select((F.col("vec_id") + 10_000_000).alias("vec_id"), ((F.col("label") + 3) % 10).alias("label"), turned.alias("embedding")))
-    return both.select(F.col("vec_id").alias("id"), kernels.sign_hash(F.col("embedding")).alias("hash"), F.when(F.col("label") < 6, "train").when(F.col("label") < 8, "val").otherwise("test").alias("split"))
+    hashed = both.select(F.col("vec_id").alias("id"), kernels.sign_hash(F.col("embedding")).alias("hash"), F.when(F.col("label") < 6, "train").when(F.col("label") < 8, "val").otherwise("test").alias("split"))
+    # read more than once: hashed once
+    return Workspace(spark).cut(hashed, "hashes")
 
 
 def _balanced(r):

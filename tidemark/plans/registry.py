@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.plans import composition_queries, integrity_queries, reference_queries, scoring_queries, stream_queries
+from tidemark.plans import composition_queries, file_queries, integrity_queries, reference_queries, scoring_queries, stream_queries
 
-MODULES = [composition_queries, integrity_queries, scoring_queries, reference_queries, stream_queries]
+MODULES = [composition_queries, integrity_queries, scoring_queries, file_queries, reference_queries, stream_queries]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -65,7 +65,7 @@ def _softmax(spark, folder):
     return comparable(rows.select("vec_id", classification.argmax(F.col("logits")).alias("label"), *[F.element_at(p, k).alias(f"p{k}") for k in range(1, 5)]))
 
 
-def _pixels(spark, folder):
+def pixels(spark, folder):
     """8 x 8 grey images made of the embeddings."""
     e = table(spark, folder, "embeddings")
     return e.select("vec_id", F.transform("embedding", lambda x: F.greatest(F.lit(0), F.least(F.lit(255), F.floor((x.cast("double") + 1.0) * 127)))).cast("array<int>").alias("px"))
@@ -74,7 +74,7 @@ def _pixels(spark, folder):
 def _kernel(*names):
     def run(spark, folder):
         ship(spark)
-        s = _pixels(spark, folder).select("vec_id", kernels.low_level_stats("px", F.lit(8), F.lit(8)).alias("s"))
+        s = pixels(spark, folder).select("vec_id", kernels.low_level_stats("px", F.lit(8), F.lit(8)).alias("s"))
         return comparable(s.select("vec_id", *[f"s.{n}" for n in names]))
 
     return run
@@ -98,7 +98,7 @@ def _grid(spark, folder):
 
 
 def _normalized(spark, folder):
-    px = _pixels(spark, folder).select("vec_id", F.posexplode("px").alias("i", "v"))
+    px = pixels(spark, folder).select("vec_id", F.posexplode("px").alias("i", "v"))
     return comparable(px.groupBy("vec_id", (F.col("i") % 3).alias("channel")).agg(F.avg(kernels.normalized(F.col("v"), F.col("i") % 3)).alias("mean")))
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -28,21 +29,35 @@ def _below(path: F.Column, top: str) -> F.Column:
     return F.substring(_plain(path), F.lit(len(top) + 2), F.length(path))
 
 
+def below(path: F.Column, root: str) -> F.Column:
+    """The path relative to the folder ``root``, which may have a scheme."""
+    return _below(path, "/" + (root.split(":", 1)[-1] if ":" in root else root).strip("/"))
+
+
+def _scanned(spark: SparkSession, root: str, content: bool) -> DataFrame:
+    """(relative_path, size_bytes, sha256 or null) of all files below ``root``.
+
+    Spark's scans leave out files of no bytes. Their paths come from the file index, which the driver holds for any scan; no other list of files is made there.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    digest = F.sha2("content", 256) if content else F.lit(None).cast("string")
+    read = files.select(below(F.col("path"), root).alias("relative_path"), F.col("length").alias("size_bytes"), digest.alias("sha256"))
+    # the index has paths as they are written in URIs
+    paths = [(unquote(p),) for p in files.inputFiles()]
+    listed = spark.createDataFrame(paths, "path string").select(below(F.col("path"), root).alias("relative_path"))
+    there = files.select(below(F.col("path"), root).alias("relative_path"))
+    empty = listed.join(there, "relative_path", "left_anti")
+    return read.unionAll(empty.select("relative_path", F.lit(0).cast("bigint"), F.sha2(F.lit(b""), 256) if content else F.lit(None).cast("string")))
+
+
 def inventory(spark: SparkSession, root: str, leave_out: tuple[str, ...] = ()) -> DataFrame:
-    """(relative_path, size_bytes) of all files below ``root``; contents aren't read (only path and length are selected). ``leave_out``: relative paths."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path", "length")
-    top = root.split(":", 1)[-1].rstrip("/") if ":" in root else root.rstrip("/")
-    top = "/" + top.lstrip("/")
-    rel = _below(F.col("path"), top)
-    return files.select(rel.alias("relative_path"), F.col("length").alias("size_bytes")).where(~F.col("relative_path").isin(*leave_out) if leave_out else F.lit(True))
+    """(relative_path, size_bytes) of all files below ``root``, empty ones too; contents aren't read (only path and length are selected). ``leave_out``: relative paths."""
+    return _scanned(spark, root, False).select("relative_path", "size_bytes").where(~F.col("relative_path").isin(*leave_out) if leave_out else F.lit(True))
 
 
 def digests(spark: SparkSession, root: str, leave_out: tuple[str, ...] = ()) -> DataFrame:
-    """(relative_path, size_bytes, sha256) of all files below ``root``, each read once, in its own task's memory."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    top = "/" + root.split(":", 1)[-1].strip("/")
-    rel = _below(F.col("path"), top)
-    out = files.select(rel.alias("relative_path"), F.col("length").alias("size_bytes"), F.sha2("content", 256).alias("sha256"))
+    """(relative_path, size_bytes, sha256) of all files below ``root``, empty ones too, each read once, in its own task's memory."""
+    out = _scanned(spark, root, True)
     return out.where(~F.col("relative_path").isin(*leave_out)) if leave_out else out
 
 

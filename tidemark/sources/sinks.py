@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
+import importlib.metadata
 import json
 import platform
+import struct
 import sys
+import uuid
 import zipfile
+import zlib
 from dataclasses import dataclass
+from datetime import datetime, timezone
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +20,7 @@ from pyspark.sql import functions as F
 
 from tidemark.sources import files
 from tidemark.sources.release import columns, sanitized
+from tidemark.sources.workspace import ship
 
 
 def save_csv(df: DataFrame, path: str, fields: list[str] | None = None, one_file: bool = False) -> None:
@@ -122,22 +129,128 @@ def build_zip(source: str, target: str) -> None:
             z.writestr(info, p.read_bytes())
 
 
-def write_images(rows: DataFrame, root: str, kind: str = "ppm") -> DataFrame:
-    """Write (path, pixels, width, height) as binary PPM files below ``root`` from the tasks and return (path, size). Only for a folder that all executors share."""
-    if kind != "ppm":
-        raise ValueError("no encoder for this kind; PPM needs none")
+def png(pixels: bytes, width: int, height: int) -> bytes:
+    """A PNG of 8-bit grey, RGB or RGBA pixels: lossless, and made with what every Python has."""
+    channels = len(pixels) // (width * height)
+    if channels not in (1, 3, 4) or len(pixels) != width * height * channels:
+        raise ValueError(f"{len(pixels)} bytes aren't {width} x {height} pixels")
+    row = width * channels
+    raw = b"".join(b"\0" + pixels[k * row : (k + 1) * row] for k in range(height))
+    chunk = lambda kind, data: struct.pack(">I", len(data)) + kind + data + struct.pack(">I", zlib.crc32(kind + data))
+    head = struct.pack(">IIBBBBB", width, height, 8, {1: 0, 3: 2, 4: 6}[channels], 0, 0, 0)
+    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", head) + chunk(b"IDAT", zlib.compress(raw)) + chunk(b"IEND", b"")
+
+
+def _ppm(pixels: bytes, width: int, height: int) -> bytes:
+    return b"P6\n%d %d\n255\n" % (width, height) + pixels
+
+
+ENCODERS = {"png": png, "ppm": _ppm}
+
+
+def _local(root: str) -> str:
+    """A folder that tasks write to with ordinary files: it must be mounted on all executors."""
+    kind, _, rest = root.partition(":") if ":" in root.split("/", 1)[0] else ("file", "", root)
+    if kind != "file":
+        raise ValueError(f"{root}: tasks write files to a mounted folder only")
+    return "/" + rest.lstrip("/")
+
+
+def write_files(rows: DataFrame, root: str) -> DataFrame:
+    """Write (path, content binary) below ``root`` from the tasks and return (path, size). A file is written beside its place and moved there, so a task that is run again does no harm."""
+    top = _local(root)
 
     def run(batches):
         import pandas as pd
 
         for b in batches:
             out = []
-            for r in b.itertuples(index=False):
-                data = b"P6\n%d %d\n255\n" % (r.width, r.height) + bytes(r.pixels)
-                target = Path(root) / r.path
+            for path, content in zip(b["path"], b["content"]):
+                target = Path(top) / path
                 target.parent.mkdir(parents=True, exist_ok=True)
-                target.write_bytes(data)
-                out.append((r.path, len(data)))
+                beside = target.with_name(f".{target.name}.{uuid.uuid4().hex}")
+                beside.write_bytes(content)
+                beside.replace(target)
+                out.append((path, len(content)))
             yield pd.DataFrame(out, columns=["path", "size"])
 
-    return rows.select("path", "pixels", "width", "height").mapInPandas(run, "path string, size bigint")
+    ship(rows.sparkSession)
+    return rows.select("path", "content").where("path is not null and content is not null").mapInPandas(run, "path string, size bigint")
+
+
+def write_images(rows: DataFrame, root: str, kind: str = "ppm") -> DataFrame:
+    """Write (path, pixels, width, height) as image files below ``root`` from the tasks and return (path, size). Only for a folder that all executors share.
+
+    ``kind``: ``png`` (grey, RGB or RGBA) or ``ppm`` (RGB).
+    """
+    if kind not in ENCODERS:
+        raise ValueError(f"no encoder for {kind}: {', '.join(ENCODERS)}")
+    ship(rows.sparkSession)
+    encode = F.pandas_udf(lambda p, w, h: p.combine(w, lambda a, b: (a, b)).combine(h, lambda a, c: ENCODERS[kind](bytes(a[0]), int(a[1]), int(c))), "binary")
+    return write_files(rows.where("path is not null and pixels is not null").select("path", encode("pixels", "width", "height").alias("content")), root)
+
+
+def copy_files(spark: SparkSession, source: str, target: str, leave_out: tuple[str, ...] = ()) -> DataFrame:
+    """Byte copies of all files below ``source`` under ``target``, made by the tasks, as (path, size). Files of the desktop (``.DS_Store``, ``._*``) and ``leave_out`` stay behind."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(source)
+    rows = found.select(files.below(F.col("path"), source).alias("path"), "content")
+    name = F.element_at(F.split("path", "/"), -1)
+    return write_files(rows.where((name != ".DS_Store") & ~F.startswith(name, F.lit("._")) & ~F.col("path").isin(*leave_out, "")), target)
+
+
+def reset(spark: SparkSession, root: str, mark: str = "_release") -> None:
+    """Empty the output folder of a release. A folder that holds something but no ``mark`` wasn't made by :func:`reset` and is ``ValueError``: nothing is removed by mistake."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(root)
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    sign = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{mark}")
+    if fs.exists(where) and len(fs.listStatus(where)) and not fs.exists(sign):
+        raise ValueError(f"{root} isn't a release folder")
+    fs.delete(where, True)
+    fs.mkdirs(where)
+    fs.create(sign).close()
+
+
+def patched_summary(summary: dict, tag: str, expected: dict[str, int], **also) -> dict:
+    """A build summary with its tag, further fields and the time in UTC, once its numbers are what is expected (else ``ValueError``)."""
+    expect(summary, **expected)
+    return summary | {"release_tag": tag} | also | {"finalized_utc": datetime.now(timezone.utc).replace(microsecond=0).isoformat()}
+
+
+def reproducibility_manifest(spark: SparkSession, root: str, config: dict, packages: tuple[str, ...] = ("pyspark", "numpy", "pandas", "pyarrow"), name: str = "reproducibility_manifest.json", **also) -> dict:
+    """What a run made and with what: size and digest of every output, the digest of its settings, versions of packages (null where one is missing), environment."""
+    def version(package: str) -> str | None:
+        try:
+            return importlib.metadata.version(package)
+        except importlib.metadata.PackageNotFoundError:
+            return None
+
+    text = json.dumps(config, sort_keys=True, ensure_ascii=False)
+    outputs = [r.asDict() for r in file_manifest(spark, root, name).collect()]
+    return environment(spark) | also | {
+        "config": config, "config_sha256": hashlib.sha256(text.encode()).hexdigest(), "package_versions": {p: version(p) for p in packages}, "outputs": outputs,
+    }
+
+
+def write_assets(assets: DataFrame, pools: DataFrame, root: str) -> None:
+    """dirt_assets_manifest with asset_split from ``pools(asset_id, split)``: null for an asset in no pool."""
+    one = pools.groupBy(F.col("asset_id").alias("__a")).agg(F.min("split").alias("__s"))
+    mapped = sanitized(assets).drop("asset_split").join(one, F.col("asset_id") == F.col("__a"), "left").withColumnRenamed("__s", "asset_split").drop("__a")
+    mapped.orderBy("asset_id").coalesce(1).write.mode("overwrite").parquet(f"{root}/dirt_assets_manifest.parquet")
+
+
+def write_predictions(predictions: DataFrame, root: str, model: str, setting: str, seed: int) -> str:
+    """The prediction table of a run in its folder; returns the path."""
+    path = Layout(root).benchmark(model, setting, seed) + "/predictions.parquet"
+    predictions.select("image_id", "target_label", "pred_label", *[f"prob_L{k}" for k in range(1, 6)]).write.mode("overwrite").parquet(path)
+    return path
+
+
+#: The columns of a training log.
+LOG = ("epoch", "train_loss", "val_accuracy", "val_macro_f1", "val_weighted_kappa", "val_mae", "val_within1", "lr", "epoch_time_sec", "improved")
+
+
+def write_train_log(log: DataFrame, root: str, model: str, setting: str, seed: int) -> str:
+    """The log of a run, an epoch a row, as one CSV in its folder; returns the path."""
+    path = Layout(root).benchmark(model, setting, seed) + "/train_log"
+    save_csv(log.orderBy("epoch"), path, list(LOG), one_file=True)
+    return path
