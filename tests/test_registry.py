@@ -9,8 +9,8 @@ from tests.compare import connect, same
 from tidemark.plans import registry
 
 FOLDER = "/root/testdata/sf0.001"
-#: Queries that SQL can't express: a sequential sampler, a draw, an eigenvector's sign.
-NO_SQL = {"g04_accept_reject", "g05_running_uid", "a23_weighted_draw", "w13_pca_loadings", "w13_pca_scores"}
+#: Queries that SQL can't express: a sequential sampler, an eigenvector's sign.
+NO_SQL = {"g04_accept_reject", "g05_running_uid", "w13_pca_loadings", "w13_pca_scores"}
 there = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test data")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 METRICS = ("accuracy", "macro_f1", "weighted_kappa", "mae", "within1")
@@ -79,6 +79,27 @@ def stopped_epochs(log: DataFrame, patience: int, run: str = "run", epoch: str =
     return rows.withColumn("__since", F.col(epoch) - last).groupBy(run).agg(F.min(F.when(F.col("__since") >= patience, F.col(epoch))).alias("last_epoch"))
 
 
+def learning_rates(log: DataFrame, first: float = 1e-4, factor: float = 0.5, patience: int = 2, threshold: float = 1e-4, run: str = "run", epoch: str = "epoch", metric: str = "metric") -> DataFrame:
+    """(run, lr, n_cuts): the learning rate at the end of a run that cuts it by ``factor`` once the metric hasn't grown for more than ``patience`` epochs.
+
+    Grown means beyond the best so far by the ``threshold``, relatively; NaN never is, null epochs don't count, and the wait begins anew after a cut. The rule is sequential: the epochs of
+    a run, some dozens by configuration, are folded in order.
+    """
+    order = F.array_sort(F.collect_list(F.struct(F.col(epoch).alias("e"), F.col(metric).cast("double").alias("m"))))
+    runs = log.where(F.col(metric).isNotNull()).groupBy(run).agg(order.alias("log"))
+    start = F.struct(F.lit(float("-inf")).alias("best"), F.lit(0).alias("bad"), F.lit(float(first)).alias("lr"), F.lit(0).alias("cuts"))
+
+    def step(s: Column, x: Column) -> Column:
+        grown = ~F.isnan(x["m"]) & (x["m"] > s["best"] * (1 + threshold))
+        cut = ~grown & (s["bad"] + 1 > patience)
+        return F.struct(
+            F.when(grown, x["m"]).otherwise(s["best"]).alias("best"), F.when(grown | cut, 0).otherwise(s["bad"] + 1).alias("bad"),
+            F.when(cut, s["lr"] * factor).otherwise(s["lr"]).alias("lr"), F.when(cut, s["cuts"] + 1).otherwise(s["cuts"]).alias("cuts"),
+        )
+
+    return runs.withColumn("end", F.aggregate("log", start, step)).select(run, "end.lr", F.col("end.cuts").alias("n_cuts"))
+
+
 def run_grid(models: DataFrame, heads: DataFrame, seeds: DataFrame, settings: DataFrame) -> DataFrame:
     """All runs of a sweep: every model with every head, seed and setting. The sides are configuration, some rows each; the product is the feature."""
     return models.join(heads, F.lit(True)).join(seeds, F.lit(True)).join(settings, F.lit(True))

@@ -51,17 +51,22 @@ def class_weights(df: DataFrame, label: str, classes: int = 5) -> DataFrame:
     return counts.select(label, "n", (total.scalar() / (classes * F.col("n"))).alias("weight"))
 
 
+def _number(*parts: Column) -> Column:
+    """60 bits of a digest that any engine can make."""
+    return F.conv(F.substring(F.md5(F.concat_ws("|", *[p.cast("string") for p in parts])), 1, 15), 16, 10).cast("bigint")
+
+
 def weighted_draw(df: DataFrame, id: str, label: str, draws: int, seed: int = 42) -> DataFrame:
     """(draw, id): ``draws`` rows drawn with replacement, each label equally likely, each row of a label equally likely; null labels are never drawn.
 
     A draw picks a label and a place in it by hash, and the places are joined: no row is gathered on the driver.
     """
-    ranked = bucketed_rank(df.where(F.col(label).isNotNull()).select(id, label), [label], F.xxhash64(F.lit(seed), id), [id], "place")
+    ranked = bucketed_rank(df.where(F.col(label).isNotNull()).select(id, label), [label], F.shiftleft(_number(F.lit(seed), F.col(id)), 4), [id], "place")
     sizes = ranked.groupBy(label).agg(F.max("place").alias("n"))
     names = sizes.select(label, "n", (F.row_number().over(Window.orderBy(label)) - 1).alias("k"))
     count = names.agg(F.count(F.lit(1)).alias("labels"))
-    drawn = df.sparkSession.range(draws).select(F.col("id").alias("draw")).withColumn("labels", count.scalar()).withColumn("k", F.pmod(F.xxhash64(F.lit(seed), F.lit("l"), "draw"), F.col("labels")))
-    places = drawn.join(names, "k").select("draw", label, (F.pmod(F.xxhash64(F.lit(seed), F.lit("p"), "draw"), F.col("n")) + 1).alias("place"))
+    drawn = df.sparkSession.range(draws).select(F.col("id").alias("draw")).withColumn("labels", count.scalar()).withColumn("k", _number(F.lit(seed), F.lit("l"), F.col("draw")) % F.col("labels"))
+    places = drawn.join(names, "k").select("draw", label, (_number(F.lit(seed), F.lit("p"), F.col("draw")) % F.col("n") + 1).alias("place"))
     return places.join(ranked, [label, "place"]).select("draw", id)
 
 

@@ -165,6 +165,12 @@ from (select unnest([{_FIELDS}]) as field, unnest([{", ".join(p + "::double" for
 select setting, part, count(*) as n_images, count(*) filter (origin = 'real') as n_real, count(*) filter (origin = 'synthetic') as n_synthetic from used group by all""",
     "a22_standardize": VIEWS + _KNOWN + f", z as (select image_id, measured_at, {_Z} from known) select image_id, measured_at, {', '.join(r6(f'z_{m}') + f' as z_{m}' for m in METRICS)} from z",
     "a23_sampling_weights": VIEWS + f"select label, count(*) as n, {r6('1.0 / count(*)')} as weight from master where label is not null group by label",
+    "a23_weighted_draw": VIEWS + """, d as (select distinct image_id, label from master where image_id is not null and label is not null),
+r as (select *, row_number() over (partition by label order by ('0x' || substr(md5('42|' || image_id), 1, 15))::bigint, image_id) as place from d),
+s as (select label, count(*) as n, row_number() over (order by label) - 1 as k from d group by label),
+w as (select draw, ('0x' || substr(md5('42|l|' || draw), 1, 15))::bigint % (select count(*) from s) as k, ('0x' || substr(md5('42|p|' || draw), 1, 15))::bigint as p
+  from range((select count(*) from d)) t(draw))
+select draw, image_id from w join s using (k) join r on r.label = s.label and r.place = p % n + 1""",
     "a24_class_weights": VIEWS + f"select label, count(*) as n, {r6('sum(count(*)) over () / (5.0 * count(*))')} as weight from master where label between 1 and 5 group by label",
     "a26_domains": VIEWS + "select count(*) as n_images, array_to_string(list_sort(list(distinct cam) filter (cam is not null)), ',') as cams, array_to_string(list_sort(list(distinct state) filter (state is not null)), ',') as states from master",
     "f01_parse_filename": VIEWS + f""", m as (

@@ -142,6 +142,7 @@ QUERIES = {
     "j23_runs_of_best": lambda spark, folder: comparable(rollup.runs_of_best(run_results(spark, folder), rollup.best_settings(rollup.by_setting(run_results(spark, folder)), ORDER))),
     "g06_best_epoch": lambda spark, folder: comparable(rollup.best_epochs(_log(spark, folder))),
     "g06_early_stop": lambda spark, folder: rollup.stopped_epochs(_log(spark, folder), 7),
+    "g06_learning_rate": lambda spark, folder: rollup.learning_rates(_log(spark, folder)).select("run", "n_cuts", (F.col("lr") * 1e4).alias("share")),
     "g07_run_grid": _grid,
     "i01_entropy": _kernel("entropy"),
     "i02_laplacian_var": _kernel("laplacian_var"),
@@ -275,6 +276,14 @@ from rolled l join rolled r on l.model = r.model and l.setting like 'train_real_
 b as (select *, max(v) over (partition by run order by epoch rows between unbounded preceding and 1 preceding) as best from l),
 c as (select *, epoch - max(case when best is null or v > best then epoch end) over (partition by run order by epoch) as since from b)
 select run, min(epoch) filter (since >= 7) as last_epoch from c group by run""",
+    "g06_learning_rate": """with recursive l as (
+  select user_id as run, round(value, 3) as m, row_number() over (partition by user_id order by event_id) as k from events where value is not null),
+r as (
+  select run, k, m as best, 0 as bad, 0 as cuts from l where k = 1
+  union all select l.run, l.k, case when m > best * 1.0001::double then m else best end, case when m > best * 1.0001::double or bad + 1 > 2 then 0 else bad + 1 end,
+         case when not m > best * 1.0001::double and bad + 1 > 2 then cuts + 1 else cuts end
+  from r join l on l.run = r.run and l.k = r.k + 1)
+select run, arg_max(cuts, k) as n_cuts, 0.5::double ** arg_max(cuts, k) as share from r group by run""",
     "g07_run_grid": VIEWS + "select * from (select distinct model from results), (select unnest(['nominal', 'coral', 'corn']) as head), (select distinct seed from results), (select distinct setting from results)",
     "i01_entropy": _kernel_sql("entropy"),
     "i02_laplacian_var": _kernel_sql("laplacian_var"),
