@@ -53,6 +53,14 @@ def mixed(sizes: DataFrame, rated: DataFrame) -> DataFrame:
     return used.select("mix_id", "source", "id", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"), "n_tokens")
 
 
+def bounds(copies: DataFrame, targets: DataFrame) -> DataFrame:
+    """Per row of the targets: documents that the mix uses more often than max_repeats."""
+    times = copies.groupBy("mix_id", "source", "id").agg(F.count(F.lit(1)).alias("times"))
+    allowed = targets.select("mix_id", "source", F.coalesce("max_repeats", F.lit(0)).alias("most"))
+    over = times.join(allowed, ["mix_id", "source"]).where("times > most").groupBy("mix_id", "source").agg(F.count(F.lit(1)).alias("n_over"))
+    return targets.select("mix_id", "source").join(over, ["mix_id", "source"], "left").select("mix_id", "source", F.coalesce("n_over", F.lit(0)).alias("n_over"))
+
+
 def mix_report(sizes: DataFrame, rated: DataFrame) -> DataFrame:
     """Per row of the targets: wanted and actual tokens, documents used, target and actual share of the mix, and whether the source falls short."""
     draw = F.when(_unit(F.col("mix_id"), F.col("id")) < F.col("rate") - F.floor("rate"), 1).otherwise(0)

@@ -63,6 +63,7 @@ QUERIES = {
     "p5_found": lambda spark, folder: _ties(spark, folder).capture_pairs(),
     "p5_captures": lambda spark, folder: _ties(spark, folder).capture_classes(),
     "p5_splits": _split(splits.splits),
+    "p5_apart": _split(splits.apart),
     "p5_shares": _split(splits.shares_reached),
     "p1_percentiles": _percentiles,
     "p1_daily_percentiles": lambda spark, folder: _comparable(percentiles.percentiles(_daily(spark, folder), ["group_name", "label", "day"], (0.5, 0.9))),
@@ -71,9 +72,11 @@ QUERIES = {
     "p2_sample": lambda spark, folder: _sample(spark, folder).sample(),
     "p2_report": lambda spark, folder: _sample(spark, folder).report,
     "p6_ids": lambda spark, folder: tokens.encode(table(spark, folder, "documents")),
+    "p6_decoded": lambda spark, folder: tokens.decoded(table(spark, folder, "documents")),
     "p6_round_trip": lambda spark, folder: tokens.round_trip(table(spark, folder, "documents")),
     "p7_found": _mix(lambda sizes, rated: mixing.short_sources(rated)),
     "p7_mix": _mix(mixing.mixed),
+    "p7_bounds": lambda spark, folder: mixing.bounds(_mix(mixing.mixed)(spark, folder), table(spark, folder, "mix_targets")),
     "p7_report": _mix(mixing.mix_report),
     "p8_found": lambda spark, folder: visual.same_look_pairs(table(spark, folder, "documents")),
     "p8_classes": lambda spark, folder: visual.same_look_classes(table(spark, folder, "documents")),

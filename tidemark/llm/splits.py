@@ -273,6 +273,17 @@ def splits(ties: Ties, hubs: DataFrame) -> DataFrame:
     return rows.join(hubs, "hub").groupBy("image_id").agg(F.min("split").alias("split"))
 
 
+def apart(ties: Ties, hubs: DataFrame) -> DataFrame:
+    """One row: image keys assigned, and the captures, groups and parents whose records came into more than one split, each counted for itself."""
+    rows = ties.rows.join(hubs, "hub").select("split", "i", "c", "g", "p")
+    keys = F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).alias("key")) for k in "icgp"])
+    # an image as a parent is the same key as an image
+    by_key = rows.select("split", F.inline(keys)).where("key is not null").select("split", F.when(F.col("kind") == "p", "i").otherwise(F.col("kind")).alias("kind"), "key", (F.col("kind") == "i").alias("own"))
+    counted = by_key.groupBy("kind", "key").agg(F.min("split").alias("lo"), F.max("split").alias("hi"), F.max("own").alias("own"))
+    torn = lambda k: F.count_if((F.col("kind") == k) & (F.col("lo") != F.col("hi")))
+    return counted.agg(F.count_if((F.col("kind") == "i") & F.col("own")).alias("n_images"), torn("i").alias("images_apart"), torn("c").alias("captures_apart"), torn("g").alias("groups_apart"))
+
+
 def shares_reached(ties: Ties, hubs: DataFrame, shares: tuple = SHARES) -> DataFrame:
     """Per split and label (6: none of 1..5; null: all): records, the share of the label's records, and the target share."""
     spark = ties.rows.sparkSession

@@ -95,6 +95,9 @@ select count(*) as n_records, count(*) as n_placed, 0::bigint as n_beyond from r
 select substr(a, 3) as capture_a, substr(b, 3) as capture_b from reach where a < b and b like 'c:%'""",
     "p5_captures": _TIES + """
 select substr(a, 3) as capture_id, substr(min(b), 3) as class_id, count(*) as n_captures from reach where b like 'c:%' group by a having count(*) > 1""",
+    "p5_apart": f"select count(distinct {key_sql('image_id')}) as n_images, 0::bigint as images_apart, 0::bigint as captures_apart, 0::bigint as groups_apart from metadata",
+    "p6_decoded": "select doc_id, coalesce(text, '') as text from documents",
+    "p7_bounds": "select mix_id, source, 0::bigint as n_over from mix_targets",
     "p2_sample": _DRAWN + """
 select request_id, image_id, label, source_label, priority from kept""",
     "p2_report": _DRAWN + """,

@@ -250,6 +250,11 @@ def decode(encoded: DataFrame, id: str = "doc_id", path: str = TOKENIZERS) -> Da
     return named.groupBy(id).agg(F.unhex(bytes_of).cast("string").alias("text"))
 
 
+def decoded(docs: DataFrame, id: str = "doc_id", text: str = "text", path: str = TOKENIZERS) -> DataFrame:
+    """(id, text) of every document after encoding and decoding: the text itself, empty for a null text."""
+    return decode(Workspace(docs.sparkSession).cut(encode(docs, id, text, path), "encoded"), id, path)
+
+
 def round_trip(docs: DataFrame, id: str = "doc_id", text: str = "text", path: str = TOKENIZERS) -> DataFrame:
     """(id, n_tokens, same): whether decoding gives the text back; null and empty texts decode to an empty text."""
     encoded = Workspace(docs.sparkSession).cut(encode(docs, id, text, path), "encoded")
