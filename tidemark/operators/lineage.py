@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.quotas import largest_remainder
+from tidemark.operators.ranking import equal_join, bucketed_rank
 from tidemark.sources.workspace import ship
 
 
@@ -29,15 +30,22 @@ def balanced_parents(parents: DataFrame, per_parent: int, quota: int, *by: str,
     """(by..., turn, image_id, capture_id, use): ``quota`` uses of parents, captures taking turns, no parent more than ``per_parent`` times.
 
     The set-based form of "least-loaded capture, then least-used parent": a parent's use u in its capture has the place (u, digest), captures come round by
-    place, and the first ``quota`` turns are taken. Independent of batches and workers. Groups (split, label) are ranked apart; a null capture is a capture of its own.
+    place, and the first ``quota`` turns are taken. Ranks within a capture are exact but cut by hash, so a capture of any size is no task of its own. Independent of batches and workers. Groups (split, label) are ranked apart; a null capture is a capture of its own.
     """
-    digest = F.md5(F.concat(F.lit(seed), F.lit("|"), F.col("image_id")))
-    uses = parents.where(F.col("image_id").isNotNull()).select(*by, "image_id", "capture_id").distinct().select("*", digest.alias("d"), F.explode(F.sequence(F.lit(1), F.lit(per_parent))).alias("use"))
-    inside = Window.partitionBy(*by, "capture_id").orderBy("use", "d", "image_id")
-    ranked = uses.withColumn("round", F.row_number().over(inside))
-    # the first `quota` turns lie in the first `quota` rounds; rounds before the last one needed are bounded by it
+    keys, digest = [*by, "capture_id"], F.md5(F.concat(F.lit(seed), F.lit("|"), F.col("image_id")))
+    rows = parents.where(F.col("image_id").isNotNull()).select(*keys, "image_id").distinct().withColumn("d", digest)
+    # the number of the digest's first 15 digits, moved to the top, has its order
+    number = F.shiftleft(F.conv(F.substring("d", 1, 15), 16, 10).cast("bigint"), 4)
+    ranked = bucketed_rank(rows, keys, number, ["d", "image_id"], "__rank")
+    # all first uses of a capture come before its second ones
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    uses = equal_join(ranked, sizes, keys).select("*", F.explode(F.sequence(F.lit(1), F.lit(per_parent))).alias("use")).withColumn("round", (F.col("use") - 1) * F.col("__n") + F.col("__rank"))
+    uses = uses.where(F.col("round") <= quota)
+    # no more rounds than it takes to have ``quota`` turns: what a task sorts is that many turns and one round
+    before = F.coalesce(F.sum("__c").over(Window.partitionBy(*by).orderBy("round").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    rounds = uses.groupBy(*by, "round").agg(F.count(F.lit(1)).alias("__c")).withColumn("__before", before).where(F.col("__before") < quota).drop("__before", "__c")
     turn = F.row_number().over(Window.partitionBy(*by).orderBy("round", "d", "image_id", "use"))
-    return ranked.where(F.col("round") <= quota).withColumn("turn", turn).where(F.col("turn") <= quota).select(*by, "turn", "image_id", "capture_id", "use")
+    return equal_join(uses, rounds, [*by, "round"]).withColumn("turn", turn).where(F.col("turn") <= quota).select(*by, "turn", "image_id", "capture_id", "use")
 
 
 def eligible_sources(used: DataFrame, priority: DataFrame) -> DataFrame:

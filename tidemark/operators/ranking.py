@@ -20,7 +20,7 @@ def value_range(value: Column) -> Column:
     return F.when(value == 0, 0).when(value > 0, size).otherwise(-size).cast("int")
 
 
-def _same(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+def equal_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """A join on equal keys, null being a key like any other; the right side's keys are dropped."""
     other = right.select(*[F.col(k).alias(f"__{i}") for i, k in enumerate(keys)], *[c for c in right.columns if c not in keys])
     on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{i}")) for i, k in enumerate(keys)]) if keys else F.lit(True)
@@ -46,7 +46,7 @@ def running(counted: DataFrame, by: list[str], value: str, sums: list[str], desc
     )
     inside = Window.partitionBy(*by, "__r").orderBy(order(value))
     upto = inside.rowsBetween(Window.unboundedPreceding, -1)
-    return _same(rows, offsets, [*by, "__r"]).select(
+    return equal_join(rows, offsets, [*by, "__r"]).select(
         *counted.columns, *[(F.col(f"__{s}") + F.coalesce(F.sum(s).over(upto), F.lit(0))).alias(f"{s}_before") for s in sums], *[f"{s}_total" for s in sums],
         F.coalesce(F.lead(value).over(inside), F.col("__then")).alias("__next"),
     )
@@ -68,7 +68,7 @@ def percentiles(values: DataFrame, by: list[str], value: str, quantiles: dict[st
     ends = {k: (F.floor(p), F.ceil(p)) for k, p in place.items()}
     holds = lambda at: (F.col("__before") <= at) & (at < F.col("__before") + F.col("__c"))
     wanted = parts.where(reduce(lambda a, b: a | b, [holds(at) for pair in ends.values() for at in pair])).select(*by, "__r", "__before", "n")
-    counted = _same(known, wanted, [*by, "__r"]).groupBy(*by, "__r", "__before", "n", "__v").agg(F.count(F.lit(1)).alias("__c"))
+    counted = equal_join(known, wanted, [*by, "__r"]).groupBy(*by, "__r", "__before", "n", "__v").agg(F.count(F.lit(1)).alias("__c"))
     inside = Window.partitionBy(*by, "__r").orderBy("__v").rowsBetween(Window.unboundedPreceding, -1)
     counted = counted.withColumn("__before", F.col("__before") + F.coalesce(F.sum("__c").over(inside), F.lit(0)))
     found = counted.groupBy(*by, "n").agg(*[F.max(F.when(holds(at), F.col("__v"))).alias(f"__{e}_{k}") for k, pair in ends.items() for e, at in zip(("lo", "hi"), pair)])
@@ -81,7 +81,7 @@ def range_rank(df: DataFrame, group: list[str], order: str, tie: list[str], out:
     before = Window.partitionBy(*group).orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)
     offsets = rows.groupBy(*group, "__r").agg(F.count(F.lit(1)).alias("__n")).withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
     inside = Window.partitionBy(*group, "__r").orderBy(order, *tie)
-    return _same(rows, offsets, [*group, "__r"]).withColumn(out, (F.row_number().over(inside) + F.col("__before")).cast("bigint")).select(*df.columns, out)
+    return equal_join(rows, offsets, [*group, "__r"]).withColumn(out, (F.row_number().over(inside) + F.col("__before")).cast("bigint")).select(*df.columns, out)
 
 
 def bucketed_rank(df: DataFrame, group: list[str], order: Column, tie: list[str], out: str = "rank") -> DataFrame:

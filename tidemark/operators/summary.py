@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.derive import as_number
 from tidemark.functions.keys import finite
-from tidemark.operators.ranking import _same, bucketed_rank, percentiles, running
+from tidemark.operators.ranking import equal_join, bucketed_rank, percentiles, running
 
 
 def long(df: DataFrame, columns: list[str], *keep: str) -> DataFrame:
@@ -23,7 +23,7 @@ def described(values: DataFrame, *by: str) -> DataFrame:
     v = F.col("value")
     one = values.groupBy(*by).agg(F.count(v).alias("n"), F.avg(v).alias("mean"), F.stddev_pop(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max"))
     middle = percentiles(values, list(by), "value", {"median": 0.5}).drop("n")
-    return _same(one, middle, list(by), "left").select(*by, "n", "mean", "std", "min", "median", "max")
+    return equal_join(one, middle, list(by), "left").select(*by, "n", "mean", "std", "min", "median", "max")
 
 
 def side_by_side(values: DataFrame, group: str, left: str, right: str) -> DataFrame:
