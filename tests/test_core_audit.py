@@ -64,6 +64,16 @@ def test_near_duplicates_equal_cross_join(spark, blocks):
     assert whole.count() == len(signed) and whole.where("n_same > 1").count() == sum(signed.count(v) > 1 for v in signed)
 
 
+def test_full_bands_are_cut(spark, monkeypatch):
+    """Hashes that share most of their bits, in pieces of three: the same pairs."""
+    rng = random.Random(2)
+    signed = list({sum(1 << b for b in rng.sample(range(20), rng.randrange(8))) for _ in range(120)})
+    df = spark.createDataFrame(list(enumerate(signed)), "id int, hash bigint")
+    want = {(a, b, bin(a ^ b).count("1")) for a, b in itertools.combinations(sorted(signed), 2) if bin(a ^ b).count("1") <= 4}
+    monkeypatch.setattr(duplicates, "FULL", 3)
+    assert rows(duplicates.near_duplicates(df)) == want and len(want) > 100
+
+
 def test_exact_duplicates(spark):
     df = spark.createDataFrame([(3, "a"), (1, "a"), (2, "b"), (4, None), (5, None)], "id int, d string")
     assert rows(duplicates.exact_duplicates(df, "id", "d")) == {(3, 1, 2), (1, 1, 2)}

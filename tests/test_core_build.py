@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import compositing, rollup, tensors
-from tidemark.sources import build, files, release, sinks
+from tidemark.sources import build, files, pictures, release, sinks
 
 
 def test_png_is_read_back(spark, tmp_path):
@@ -24,7 +24,40 @@ def test_png_is_read_back(spark, tmp_path):
         want = a if a.shape[2] == 1 else a[..., [2, 1, 0, *range(3, a.shape[2])]]
         assert (got == want).all(), p
     with pytest.raises(ValueError):
-        sinks.png(b"123", 2, 2)
+        pictures.png(b"123", 2, 2)
+
+
+def test_jpeg_is_read_back(spark, tmp_path):
+    """Smooth and noisy images, sides that aren't multiples of 8, grey and RGB: the decoder sees what was written, but for quantisation."""
+    rng = np.random.default_rng(4)
+    y, x = np.mgrid[0:45, 0:61]
+    smooth = np.dstack([x * 4, y * 5, 255 - x * 2 - y * 2]).clip(0, 255).astype(np.uint8)
+    images = {"smooth.jpg": smooth, "noise.jpg": rng.integers(0, 256, (16, 24, 3)).astype(np.uint8), "flat.jpg": np.full((9, 7, 3), (200, 30, 90), np.uint8), "grey.jpg": smooth[..., :1], "one.jpg": np.full((1, 1, 3), 77, np.uint8)}
+    df = spark.createDataFrame([(p, bytearray(a.tobytes()), a.shape[1], a.shape[0]) for p, a in images.items()], "path string, pixels binary, width int, height int")
+    assert sinks.write_images(df, str(tmp_path), "jpeg").count() == len(images)
+    back = {r["path"].rsplit("/", 1)[-1]: r for r in spark.read.format("image").load(str(tmp_path)).select(F.col("image.origin").alias("path"), "image.*").collect()}
+    for p, a in images.items():
+        r = back[p]
+        got = np.frombuffer(bytes(r["data"]), np.uint8).reshape(r["height"], r["width"], -1).astype(int)
+        want = a if a.shape[2] == 1 else a[..., ::-1]
+        off = np.abs(got - want.astype(int))
+        assert got.shape == want.shape and off.mean() < (6 if p == "noise.jpg" else 1.5) and off.max() < (40 if p == "noise.jpg" else 8), (p, off.mean(), off.max())
+        assert pictures.header((tmp_path / p).read_bytes()) == (a.shape[1], a.shape[0], "L" if a.shape[2] == 1 else "RGB")
+
+
+def test_headers_of_files(spark, tmp_path):
+    rgb = bytes(range(12)) * 4
+    made = {"a.png": pictures.png(rgb, 4, 4), "b.jpg": pictures.jpeg(rgb, 4, 4), "c.png": b"no image", "d.png": b"", "f.jpg": pictures.jpeg(rgb, 4, 4)[:40]}
+    jpg = made["b.jpg"]
+    made["late.jpg"] = jpg[:2] + (b"\xff\xfe\xff\xff" + b"n" * 65533) * 3 + jpg[2:]
+    made["e.bmp"] = b"BM" + bytes(16) + (5).to_bytes(4, "little") + (-7).to_bytes(4, "little", signed=True) + b"\1\0\x18\0"
+    made["x.txt"] = made["a.png"]
+    for name, data in made.items():
+        (tmp_path / name).write_bytes(data)
+    got = {r["path"].rsplit("/", 1)[-1]: (r["width"], r["height"], r["mode"]) for r in files.headers(spark, str(tmp_path)).collect()}
+    none = (None, None, None)
+    assert got == {"a.png": (4, 4, "RGB"), "b.jpg": (4, 4, "RGB"), "c.png": none, "f.jpg": none, "late.jpg": (4, 4, "RGB"), "e.bmp": (5, 7, "RGB")}
+    assert pictures.header(None) is None
 
 
 def test_empty_files_are_listed_and_copied_bytes_are_equal(spark, tmp_path):
@@ -108,5 +141,5 @@ def test_accepted_images_become_files_and_rows(spark, tmp_path):
     parents = spark.createDataFrame([tuple(parent.get(n) for n in names)], release.COLUMNS)
     rows = build.synthetic_rows(compositing.synthesized(tasks), tasks, parents, str(tmp_path), "made_here").collect()
     assert [(r["image_id"], r["label"], r["source_label"], r["cam"], r["synthetic_split"], r["synthetic_seed"], r["sha256"]) for r in rows] == [("S_0000000", 5, 3, "c1", "val", 42_000_000, None)]
-    assert rows[0]["relative_path"] == "images/synthetic/val/label_5/S_0000000.png" and (tmp_path / rows[0]["relative_path"]).exists() and rows[0].asDict().keys() == set(names)
+    assert rows[0]["relative_path"] == "images/synthetic/val/label_5/S_0000000.jpg" and (tmp_path / rows[0]["relative_path"]).exists() and rows[0].asDict().keys() == set(names)
     assert rows[0]["label_boost"] == (3 if rows[0]["avg_blockage"] < 0.25 else 4) and json.dumps(rows[0]["generator_version"]) == '"made_here"'

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.ranking import range_rank
 
+#: So many hashes with one key meet in one piece at most.
+FULL = 10_000
+
 
 def exact_duplicates(df: DataFrame, id: str, digest: str) -> DataFrame:
     """(id, class_id, n): rows whose digest comes more than once, with the smallest id of the digest and the number of rows; null digests are no content.
@@ -54,9 +57,13 @@ def near_duplicates(hashes: DataFrame, bits: str = "hash", distance: int = 4, wi
     keys = [F.array(*[block[k] for k in choice]) for choice in combinations(range(n), n - distance)]
     values = hashes.where(F.col(bits).isNotNull()).select(F.col(bits).alias("h")).distinct()
     banded = values.select("h", F.posexplode(F.array(*keys)).alias("band", "part"))
-    a, b = banded.withColumnRenamed("h", "hash_a"), banded.withColumnRenamed("h", "hash_b")
+    # a key that very many hashes share is cut: one side into pieces, the other copied to each of them
+    full = banded.groupBy("band", "part").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > FULL).select("band", "part", F.ceil(F.col("n") / FULL).cast("int").alias("pieces"))
+    banded = banded.join(full, ["band", "part"], "left").withColumn("pieces", F.coalesce("pieces", F.lit(1)))
+    a = banded.select("band", "part", F.col("h").alias("hash_a"), F.pmod(F.xxhash64("h"), "pieces").cast("int").alias("piece"))
+    b = banded.select("band", "part", F.col("h").alias("hash_b"), F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece"))
     apart = F.bit_count(F.col("hash_a").bitwiseXOR(F.col("hash_b")))
-    return a.join(b, ["band", "part"]).where((F.col("hash_a") < F.col("hash_b")) & (apart <= distance)).select("hash_a", "hash_b", apart.alias("distance")).distinct()
+    return a.join(b, ["band", "part", "piece"]).where((F.col("hash_a") < F.col("hash_b")) & (apart <= distance)).select("hash_a", "hash_b", apart.alias("distance")).distinct()
 
 
 def near_duplicate_rows(hashes: DataFrame, id: str = "id", bits: str = "hash", distance: int = 4, width: int = 64) -> DataFrame:

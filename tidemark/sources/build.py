@@ -11,7 +11,7 @@ from tidemark.sources.release import aligned
 from tidemark.sources.workspace import Workspace
 
 
-def synthetic_rows(results: DataFrame, tasks: DataFrame, parents: DataFrame, root: str, version: str, kind: str = "png") -> DataFrame:
+def synthetic_rows(results: DataFrame, tasks: DataFrame, parents: DataFrame, root: str, version: str, kind: str = "jpeg") -> DataFrame:
     """Write the image of every accepted result below ``root`` and return its metadata row in the public schema.
 
     ``results``: from :func:`tidemark.operators.compositing.synthesized`; ``tasks(uid, split, asset_id, asset_filename, seed, width, height)``; ``parents``: metadata of the real images, one
@@ -19,7 +19,7 @@ def synthetic_rows(results: DataFrame, tasks: DataFrame, parents: DataFrame, roo
     """
     work = Workspace(results.sparkSession)
     kept = work.cut(results.where("accepted"), "accepted")
-    path = F.concat(F.lit("images/synthetic/"), F.col("split"), F.lit("/label_"), F.col("label").cast("string"), F.lit("/"), F.col("image_id"), F.lit(f".{kind}"))
+    path = F.concat(F.lit("images/synthetic/"), F.col("split"), F.lit("/label_"), F.col("label").cast("string"), F.lit("/"), F.col("image_id"), F.lit(".jpg" if kind == "jpeg" else f".{kind}"))
     told = tasks.select("uid", "split", "asset_id", "asset_filename", "seed", "width", "height")
     made = kept.withColumnRenamed("image_id", "parent_image_id").join(told, "uid").withColumn("image_id", derive.synthetic_image_id(F.col("uid"))).withColumn("relative_path", path)
     sinks.write_images(made.select(F.col("relative_path").alias("path"), "pixels", "width", "height"), root, kind).agg(F.sum("size")).collect()

@@ -6,11 +6,14 @@ import json
 from collections.abc import Callable
 from urllib.parse import unquote
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.derive import asset_key
 from tidemark.operators.kernels import to_gray
+from tidemark.sources import pictures
 from tidemark.sources.release import exists
 from tidemark.sources.workspace import ship
 
@@ -84,11 +87,24 @@ def images(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.format("image").option("dropInvalid", True).option("recursiveFileLookup", True).load(root)
 
 
+@F.pandas_udf(T.StructType([T.StructField("width", T.IntegerType()), T.StructField("height", T.IntegerType()), T.StructField("mode", T.StringType())]))
+def _header(content: pd.Series) -> pd.DataFrame:
+    found = [pictures.header(None if c is None else bytes(c)) or (None, None, None) for c in content]
+    return pd.DataFrame(found, columns=["width", "height", "mode"]).astype({"width": "Int32", "height": "Int32"})
+
+
 def headers(spark: SparkSession, root: str) -> DataFrame:
-    """(path, width, height, mode) of all image files; mode null where a file can't be decoded."""
-    decoded = spark.read.format("image").option("dropInvalid", False).option("recursiveFileLookup", True).load(root).select("image.origin", "image.width", "image.height", "image.nChannels")
-    mode = F.when(F.col("nChannels") == 1, "L").when(F.col("nChannels") == 3, "RGB").when(F.col("nChannels") == 4, "RGBA")
-    return decoded.select(_plain(F.col("origin")).alias("path"), F.when(F.col("width") > 0, F.col("width")).alias("width"), F.when(F.col("height") > 0, F.col("height")).alias("height"), mode.alias("mode"))
+    """(path, width, height, mode) of all files with an image's ending; all null where the header can't be read. No pixel is decoded.
+
+    The first 64 KiB of a file nearly always hold its header; a JPEG with longer notes before it is looked at as a whole.
+    """
+    ship(spark)
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select(_plain(F.col("path")).alias("path"), "content")
+    found = found.where(F.lower(F.element_at(F.split("path", r"\."), -1)).isin(*IMAGES))
+    first = found.withColumn("h", _header(F.substring("content", 1, 1 << 16)))
+    late = F.col("h.width").isNull() & (F.octet_length("content") > 1 << 16)
+    whole = first.withColumn("w", _header(F.when(late, F.col("content"))))
+    return whole.select("path", *[F.coalesce(f"h.{c}", f"w.{c}").alias(c) for c in ("width", "height", "mode")])
 
 
 def gray_images(spark: SparkSession, root: str) -> DataFrame:

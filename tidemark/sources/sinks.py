@@ -6,11 +6,9 @@ import hashlib
 import importlib.metadata
 import json
 import platform
-import struct
 import sys
 import uuid
 import zipfile
-import zlib
 from dataclasses import dataclass
 from datetime import datetime, timezone
 from pathlib import Path
@@ -18,7 +16,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.sources import files
+from tidemark.sources import files, pictures
 from tidemark.sources.release import columns, sanitized
 from tidemark.sources.workspace import ship
 
@@ -129,23 +127,8 @@ def build_zip(source: str, target: str) -> None:
             z.writestr(info, p.read_bytes())
 
 
-def png(pixels: bytes, width: int, height: int) -> bytes:
-    """A PNG of 8-bit grey, RGB or RGBA pixels: lossless, and made with what every Python has."""
-    channels = len(pixels) // (width * height)
-    if channels not in (1, 3, 4) or len(pixels) != width * height * channels:
-        raise ValueError(f"{len(pixels)} bytes aren't {width} x {height} pixels")
-    row = width * channels
-    raw = b"".join(b"\0" + pixels[k * row : (k + 1) * row] for k in range(height))
-    chunk = lambda kind, data: struct.pack(">I", len(data)) + kind + data + struct.pack(">I", zlib.crc32(kind + data))
-    head = struct.pack(">IIBBBBB", width, height, 8, {1: 0, 3: 2, 4: 6}[channels], 0, 0, 0)
-    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", head) + chunk(b"IDAT", zlib.compress(raw)) + chunk(b"IEND", b"")
-
-
-def _ppm(pixels: bytes, width: int, height: int) -> bytes:
-    return b"P6\n%d %d\n255\n" % (width, height) + pixels
-
-
-ENCODERS = {"png": png, "ppm": _ppm}
+#: What :func:`write_images` can make of pixels.
+ENCODERS = {"png": pictures.png, "ppm": pictures.ppm, "jpeg": pictures.jpeg}
 
 
 def _local(root: str) -> str:
@@ -181,7 +164,7 @@ def write_files(rows: DataFrame, root: str) -> DataFrame:
 def write_images(rows: DataFrame, root: str, kind: str = "ppm") -> DataFrame:
     """Write (path, pixels, width, height) as image files below ``root`` from the tasks and return (path, size). Only for a folder that all executors share.
 
-    ``kind``: ``png`` (grey, RGB or RGBA) or ``ppm`` (RGB).
+    ``kind``: ``jpeg`` (grey or RGB, quality 95), ``png`` (grey, RGB or RGBA) or ``ppm`` (RGB).
     """
     if kind not in ENCODERS:
         raise ValueError(f"no encoder for {kind}: {', '.join(ENCODERS)}")
