@@ -105,7 +105,7 @@ class QuotaSample:
         draw = F.shiftleft(F.conv(F.substring(F.md5(F.concat(F.lit(f"{SEED}|"), F.col("id"))), 1, 15), 16, 10).cast("bigint"), 4)
         self.records = work.cut(rows.groupBy("id").agg(F.collect_set(F.struct(*self._c)).alias("in")).withColumn("h", draw), "eligible")
         each = self.records.select(F.inline("in"), (F.size("in") == 1).alias("alone"))
-        counts = work.cut(each.groupBy(*self._c).agg(F.count(F.lit(1)).alias("available"), F.count_if("alone").alias("alone")), "categories")
+        counts = each.groupBy(*self._c).agg(F.count(F.lit(1)).alias("available"), F.count_if("alone").alias("alone"))
         self.n = self.records.count()
         self.bits = min(20, max(4, math.ceil(math.log2(self.n / RANGE_ROWS + 1))))
 
