@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import compositing, rollup, tensors
+from tidemark.operators import compositing, losses, rollup, tensors
 from tidemark.sources import build, files, pictures, release, sinks
 
 
@@ -143,3 +143,23 @@ def test_accepted_images_become_files_and_rows(spark, tmp_path):
     assert [(r["image_id"], r["label"], r["source_label"], r["cam"], r["synthetic_split"], r["synthetic_seed"], r["sha256"]) for r in rows] == [("S_0000000", 5, 3, "c1", "val", 42_000_000, None)]
     assert rows[0]["relative_path"] == "images/synthetic/val/label_5/S_0000000.jpg" and (tmp_path / rows[0]["relative_path"]).exists() and rows[0].asDict().keys() == set(names)
     assert rows[0]["label_boost"] == (3 if rows[0]["avg_blockage"] < 0.25 else 4) and json.dumps(rows[0]["generator_version"]) == '"made_here"'
+
+
+def test_losses_against_plain_sums(spark):
+    import math
+    import random
+
+    rng = random.Random(6)
+    data = [("a", [rng.gauss(0, 3) for _ in range(4)], rng.randrange(5), rng.random()) for _ in range(60)] + [("a", [800.0, -800.0, 0.0, 1.0], 2, 1.0)]
+    bad = [("a", None, 1, 1.0), ("a", [0.0] * 4, None, 1.0), ("a", [0.0] * 4, 7, 1.0), ("a", [0.0] * 4, -1, 1.0), ("a", [None, 0.0, 0.0, 0.0], 1, 1.0), ("none", None, 1, 1.0)]
+    df = spark.createDataFrame([*data, *bad], "g string, logits array<double>, index int, w double")
+    soft = lambda z: max(z, 0) + math.log1p(math.exp(-abs(z)))
+    ask = lambda z, yes: soft(-z) if yes else soft(z)
+    coral = sum(ask(z, i > k) for _, zs, i, _ in data for k, z in enumerate(zs)) / len(data)
+    asked = [ask(z, i > k) for _, zs, i, _ in data for k, z in enumerate(zs) if i >= k]
+    known = [(zs, i, w) for _, zs, i, w in data if i < 4]
+    nll = [(w, max(zs) + math.log(sum(math.exp(z - max(zs)) for z in zs)) - zs[i]) for zs, i, w in known]
+    got = {f.__name__: [tuple(r) for r in f(df, "g", **kw).collect()] for f, kw in ((losses.coral_loss, {}), (losses.corn_loss, {}), (losses.cross_entropy, {"weight": "w"}))}
+    assert [x[:2] for x in got["coral_loss"]] == [("a", len(data))] and got["coral_loss"][0][2] == pytest.approx(coral)
+    assert [x[:2] for x in got["corn_loss"]] == [("a", len(asked))] and got["corn_loss"][0][2] == pytest.approx(sum(asked) / len(asked))
+    assert [x[:2] for x in got["cross_entropy"]] == [("a", len(known))] and got["cross_entropy"][0][2] == pytest.approx(sum(w * x for w, x in nll) / sum(w for w, _ in nll))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import agreement, classification, compositing, distribution, kernels, rollup, summary
+from tidemark.operators import agreement, classification, compositing, distribution, kernels, losses, rollup, summary
 from tidemark.plans.views import VIEWS, annotations, comparable, over_release, over_values, predictions, r6, r9, run_classes, run_results
 from tidemark.sources.tables import table
 from tidemark.sources.workspace import ship
@@ -50,6 +50,19 @@ def _logits(spark, folder):
     return e.select("vec_id", F.transform(F.slice("embedding", 1, 4), lambda x: x.cast("double") * 10).alias("logits"))
 
 
+def _judged(spark, folder, n):
+    """Logits made of the embeddings, with a class from their label."""
+    e = table(spark, folder, "embeddings")
+    return e.select("vec_id", F.transform(F.slice("embedding", 1, n), lambda x: x.cast("double") * 10).alias("logits"), (F.col("label") % 5).cast("int").alias("index"), (F.col("vec_id") % 3).alias("fold"))
+
+
+def _weighed(spark, folder):
+    """Cross-entropy with balanced class weights."""
+    rows = _judged(spark, folder, 5)
+    weights = summary.class_weights(rows.withColumn("class", F.col("index") + 1), "class").select((F.col("class") - 1).alias("index"), "weight")
+    return comparable(losses.cross_entropy(rows.join(weights, "index"), "fold", weight="weight"))
+
+
 def _decoded(label, probabilities):
     def run(spark, folder):
         rows = _logits(spark, folder)
@@ -143,6 +156,9 @@ QUERIES = {
     "g06_best_epoch": lambda spark, folder: comparable(rollup.best_epochs(_log(spark, folder))),
     "g06_early_stop": lambda spark, folder: rollup.stopped_epochs(_log(spark, folder), 7),
     "g06_learning_rate": lambda spark, folder: rollup.learning_rates(_log(spark, folder)).select("run", "n_cuts", (F.col("lr") * 1e4).alias("share")),
+    "g08_coral_loss": lambda spark, folder: comparable(losses.coral_loss(_judged(spark, folder, 4), "fold")),
+    "g08_corn_loss": lambda spark, folder: comparable(losses.corn_loss(_judged(spark, folder, 4), "fold")),
+    "g08_cross_entropy": _weighed,
     "g07_run_grid": _grid,
     "i01_entropy": _kernel("entropy"),
     "i02_laplacian_var": _kernel("laplacian_var"),
@@ -207,6 +223,10 @@ _LONG = """, long as (
                  unnest([laplacian_var, tenengrad, rms_contrast, entropy, brightness_mean]) as value from stats) where isfinite(value))
 """
 
+_JUDGED = """with j as (select vec_id, vec_id % 3 as fold, (label % 5)::int as index, embedding from embeddings),
+q as (select vec_id, fold, index, unnest(embedding[1:5])::double * 10 as z, generate_subscripts(embedding[1:5], 1) - 1 as k from j)
+"""
+
 SQL = {
     "o09_first_vote": VIEWS + "select * from first_vote",
     "j13_pairwise_annotators": VIEWS + "select a.annotator as annotator_a, b.annotator as annotator_b, a.label as x, b.label as y, count(*) as n from first_vote a join first_vote b using (image_id) where a.annotator < b.annotator group by all",
@@ -284,6 +304,11 @@ r as (
          case when not m > best * 1.0001::double and bad + 1 > 2 then cuts + 1 else cuts end
   from r join l on l.run = r.run and l.k = r.k + 1)
 select run, arg_max(cuts, k) as n_cuts, 0.5::double ** arg_max(cuts, k) as share from r group by run""",
+    "g08_coral_loss": _JUDGED + f"""select fold, count(distinct vec_id) as n, {r6("sum(ln(1 + exp(-z)) + case when index > k then 0 else z end) / count(distinct vec_id)")} as loss from q where k < 4 group by fold""",
+    "g08_corn_loss": _JUDGED + f"""select fold, count(*) as n, {r6("avg(ln(1 + exp(-z)) + case when index > k then 0 else z end)")} as loss from q where k < 4 and index >= k group by fold""",
+    "g08_cross_entropy": _JUDGED + f""", c as (select index, count(*) as n from j group by 1), w as (select index, (sum(n) over ()) / (5.0::double * n) as weight from c),
+l as (select vec_id, fold, j.index as index, ln(sum(exp(z))) - any_value(z) filter (k = j.index) as nll from q j group by vec_id, fold, j.index)
+select fold, count(*) as n, {r6("sum(weight * nll) / sum(weight)")} as loss from l join w using (index) group by fold""",
     "g07_run_grid": VIEWS + "select * from (select distinct model from results), (select unnest(['nominal', 'coral', 'corn']) as head), (select distinct seed from results), (select distinct setting from results)",
     "i01_entropy": _kernel_sql("entropy"),
     "i02_laplacian_var": _kernel_sql("laplacian_var"),
